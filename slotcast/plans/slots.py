@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.timecols import add_time_columns, level_time_columns, slot_label, time_columns
-from ..operators import clean, grid, rollup
+from ..operators import clean, explore, grid, rollup
 from ..sources import adapters, dims
 from . import sqlparts as S
 from .registry import query
@@ -210,3 +210,91 @@ def _make_rollup(level):
 
 for _lvl in ("interval", "hour", "day", "week"):
     query(f"level_rollup_{_lvl}", "A2 F8 P25 M27", _rollup_sql(_lvl))(_make_rollup(_lvl))
+
+
+# --- profiles and correlations (A3-A9, O3, O4) -----------------------------------------------
+
+CORR_COLS = ADAPTER_CATS + [dims.TOTAL]
+SUM_CATS = " + ".join(CATS)
+
+
+@query("daily_totals", "A3",
+       _with(S.wide_cte(), S.open_cte()) + "SELECT store_id, CAST(datetime AS DATE) AS date, "
+       + ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in MEAS) + " FROM wopen GROUP BY ALL")
+def daily_totals(spark, sf_dir):
+    return explore.daily_totals(wide_open(spark, sf_dir), MEAS)
+
+
+@query("weekday_profile", "A4 Q14",
+       _with(S.wide_cte(), S.open_cte()) + f"SELECT store_id, CAST(isodow(datetime) - 1 AS INTEGER) AS weekday, "
+       f"round(avg({SUM_CATS}), 6) AS mean_total FROM wopen GROUP BY ALL")
+def weekday_profile(spark, sf_dir):
+    return explore.weekday_profile(wide_open(spark, sf_dir), CATS).withColumn("weekday", F.col("weekday").cast("int"))
+
+
+@query("weekday_slot_profile", "A5 P18",
+       _with(S.wide_cte(), S.open_cte(),
+             f"p AS (SELECT store_id, CAST(isodow(datetime) - 1 AS INTEGER) AS weekday, strftime(datetime, '%H:%M') AS slot_label, "
+             f"avg({SUM_CATS}) AS m FROM wopen WHERE strftime(datetime, '%H:%M') IN ({S.slots_in_list()}) GROUP BY ALL)",
+             f"fr AS (SELECT s.store_id, CAST(w.weekday AS INTEGER) AS weekday, l.slot_label FROM (SELECT DISTINCT store_id FROM wopen) s, "
+             f"(SELECT unnest(generate_series(0, 6)) AS weekday) w, (SELECT unnest([{S.slots_in_list()}]) AS slot_label) l)")
+       + "SELECT fr.store_id, fr.weekday, fr.slot_label, round(coalesce(p.m, 0.0), 6) AS mean_total FROM fr LEFT JOIN p "
+         "ON fr.store_id = p.store_id AND fr.weekday = p.weekday AND fr.slot_label = p.slot_label")
+def weekday_slot_profile(spark, sf_dir):
+    return explore.weekday_slot_profile(wide_open(spark, sf_dir), CATS).withColumn("weekday", F.col("weekday").cast("int"))
+
+
+@query("category_daily", "A6 P17",
+       _with(S.wide_cte(), S.open_cte(),
+             "d AS (SELECT store_id, CAST(datetime AS DATE) AS date, " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in CATS)
+             + " FROM wopen WHERE isodow(datetime) <= 5 GROUP BY ALL)")
+       + f"SELECT store_id, date, category, items FROM d UNPIVOT (items FOR category IN ({', '.join(CATS)}))")
+def category_daily(spark, sf_dir):
+    return explore.category_daily(wide_open(spark, sf_dir), CATS)
+
+
+@query("weekday_daily_total", "A7 P17",
+       _with(S.wide_cte(), S.open_cte()) + f"SELECT store_id, CAST(datetime AS DATE) AS date, CAST(sum({SUM_CATS}) AS BIGINT) AS total_sales "
+       "FROM wopen WHERE isodow(datetime) <= 5 GROUP BY ALL")
+def weekday_daily_total(spark, sf_dir):
+    return explore.weekday_daily_total(wide_open(spark, sf_dir), CATS)
+
+
+def _corr_sql() -> str:
+    parts = [f"SELECT store_id, '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM wopen GROUP BY store_id"
+             for a in CORR_COLS for b in CORR_COLS]
+    return _with(S.wide_cte(), S.open_cte()) + " UNION ALL ".join(parts)
+
+
+@query("correlation_long", "A8 S14 P23", _corr_sql())
+def correlation_long(spark, sf_dir):
+    return explore.correlation_long(wide_open(spark, sf_dir), CORR_COLS)
+
+
+def _top_sql() -> str:
+    body = _corr_sql().split("\n")[-1]
+    ctes = _with(S.wide_cte(), S.open_cte(), f"cl AS ({body})")
+    late = ", ".join(f"'{c}'" for c in dims.LATE_CATEGORIES)
+    sel = []
+    for variant, k, excl in (("A", 7, late), ("B", 6, "''")):
+        sel.append(f"""SELECT store_id, target, '{variant}' AS variant, CAST(rank AS INTEGER) AS rank, predictor, corr FROM (
+  SELECT store_id, col_a AS target, col_b AS predictor, corr,
+         row_number() OVER (PARTITION BY store_id, col_a ORDER BY corr DESC NULLS LAST, col_b) AS rank
+  FROM cl WHERE col_a IN ({late}) AND col_b <> col_a AND col_b NOT IN ({excl})) WHERE rank <= {k}""")
+    return ctes + " UNION ALL ".join(sel)
+
+
+@query("top_correlates", "O3 O4", _top_sql())
+def top_correlates(spark, sf_dir):
+    cl = explore.correlation_long(wide_open(spark, sf_dir), CORR_COLS)
+    a = explore.top_correlates(cl, dims.LATE_CATEGORIES, 7, dims.LATE_CATEGORIES, "A")
+    b = explore.top_correlates(cl, dims.LATE_CATEGORIES, 6, [], "B")
+    return a.unionByName(b)
+
+
+@query("category_moments", "A9",
+       _with(S.wide_cte(), S.open_cte()) + " UNION ALL ".join(
+           f"SELECT store_id, '{c}' AS column_name, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std_samp, "
+           f"round(stddev_pop({c}), 6) AS std_pop FROM wopen GROUP BY store_id" for c in CORR_COLS))
+def category_moments(spark, sf_dir):
+    return explore.moments(wide_open(spark, sf_dir), CORR_COLS)
