@@ -1 +1,342 @@
-"""Daily-series queries over adapter B (orders)."""
+"""Hierarchy and reconciliation queries over adapter B (orders): total -> store ->
+store x category, daily. Base forecast = value 7 days earlier + level offset; residual
+dates = a seeded half of the dates (O5), the other half is the forecast horizon."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import hierarchy as H
+from ..operators import reconcile as R
+from ..operators import splits
+from ..session import cut_lineage
+from ..sources import adapters
+from . import sqlparts as S
+from .registry import query
+
+SEED = 42
+BOOT_SAMPLES = 40
+
+
+def _with(*ctes: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# --- Spark side ---------------------------------------------------------------------------------
+
+def levels(spark, sf_dir):
+    d = adapters.daily_sales_long(spark, sf_dir)
+    return H.all_levels(H.bottom_grid(d, "items"), "items")
+
+
+def base(spark, sf_dir):
+    return H.base_forecast(levels(spark, sf_dir))
+
+
+def parts(spark, sf_dir):
+    """(base, residual dates, residuals with zero series dropped, horizon rows)."""
+    # The base-forecast table is what a forecasting job would write once; reading it
+    # back from the checkpoint folder keeps the reconciliation plans short.
+    b = cut_lineage(base(spark, sf_dir))
+    rd = cut_lineage(splits.sample_dates(b, 0.5, SEED))
+    inres, hz = splits.split_by_dates(b, rd)
+    res = inres.select("series_id", "date", (F.col("yhat") - F.col("y")).alias("e"))
+    return b, rd, _drop_zero(res), hz
+
+
+def _drop_zero(res):
+    from ..operators.clean import drop_zero_series
+    return drop_zero_series(res, ["series_id"], "e")
+
+
+def nodes(spark, sf_dir, base_df=None):
+    """Node table; from the (checkpointed) base table when given, so the reconciliation
+    plans do not re-derive the hierarchy from the raw tables."""
+    src = base_df if base_df is not None else levels(spark, sf_dir)
+    return cut_lineage(H.nodes(src)) if base_df is not None else H.nodes(src)
+
+
+# --- SQL side -------------------------------------------------------------------------------------
+
+HASH = ("((CAST(datediff('day', DATE '1970-01-01', date) AS BIGINT) * 2654435761 + CAST(42 AS BIGINT) * 40503) "
+        "% 4294967296)")
+OFFSET_SQL = "CASE gid WHEN 0 THEN 1.0 WHEN 1 THEN 2.0 WHEN 3 THEN 4.0 ELSE 0.0 END"
+BASE_CTES = (
+    S.daily_long_cte(),
+    "bb AS (SELECT min(date) AS d0, max(date) AS d1 FROM daily)",
+    "bd AS (SELECT CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS date FROM bb)",
+    "bs AS (SELECT DISTINCT store_id, category FROM daily)",
+    "bg AS (SELECT bd.date, bs.store_id, bs.category, CAST(coalesce(d.items, 0) AS BIGINT) AS items FROM bd CROSS JOIN bs "
+    "LEFT JOIN daily d ON d.date = bd.date AND d.store_id = bs.store_id AND d.category = bs.category)",
+    "lv AS (SELECT date, store_id, category, CAST(sum(items) AS BIGINT) AS y, CAST(GROUPING(store_id, category) AS INTEGER) AS gid "
+    "FROM bg GROUP BY GROUPING SETS ((date, store_id, category), (date, store_id), (date)))",
+    "lv2 AS (SELECT *, concat_ws('|', coalesce(CAST(store_id AS VARCHAR), '*'), coalesce(category, '*')) AS series_id, "
+    "CASE gid WHEN 0 THEN 'store_id_category' WHEN 1 THEN 'store_id' WHEN 3 THEN 'total' END AS level FROM lv)",
+    f"base AS (SELECT * FROM (SELECT *, CAST(lag(y, 7) OVER (PARTITION BY series_id ORDER BY date) AS DOUBLE) + {OFFSET_SQL} AS yhat "
+    "FROM lv2) WHERE yhat IS NOT NULL)",
+    f"rd AS (SELECT date FROM (SELECT date, row_number() OVER (ORDER BY {HASH}, date) AS r, count(*) OVER () AS n "
+    "FROM (SELECT DISTINCT date FROM base)) WHERE r <= floor(n * 0.5))",
+    "res0 AS (SELECT series_id, date, yhat - y AS e FROM base WHERE date IN (SELECT date FROM rd))",
+    "res AS (SELECT * FROM res0 WHERE series_id IN (SELECT series_id FROM res0 GROUP BY series_id "
+    "HAVING max(CASE WHEN e <> 0 THEN 1 ELSE 0 END) = 1))",
+    "hz AS (SELECT * FROM base WHERE date NOT IN (SELECT date FROM rd))",
+    "nodes AS (SELECT DISTINCT series_id, gid, level, store_id, category FROM lv2)",
+)
+
+
+def _base(*more: str) -> str:
+    return _with(*BASE_CTES, *more)
+
+
+# --- H1-H4, J9 ----------------------------------------------------------------------------------------
+
+@query("hierarchy_nodes", "H1 H3 H4",
+       _base() + "SELECT n.series_id, n.gid, n.level, n.store_id, n.category, CAST((SELECT count(*) FROM bs WHERE "
+       "(n.store_id IS NULL OR bs.store_id = n.store_id) AND (n.category IS NULL OR bs.category = n.category)) AS BIGINT) AS n_leaves "
+       "FROM nodes n")
+def hierarchy_nodes(spark, sf_dir):
+    return nodes(spark, sf_dir)
+
+
+@query("summing_edges", "H2 J9",
+       _base() + "SELECT n.series_id, b.series_id AS bottom_id FROM nodes n JOIN nodes b ON b.gid = 0 "
+       "AND (n.store_id IS NULL OR n.store_id = b.store_id) AND (n.category IS NULL OR n.category = b.category)")
+def summing_edges(spark, sf_dir):
+    return H.summing_edges(nodes(spark, sf_dir))
+
+
+@query("level_index", "H3 H4",
+       _base() + "SELECT level, gid, count(*) AS n_series FROM nodes GROUP BY level, gid")
+def level_index(spark, sf_dir):
+    return nodes(spark, sf_dir).groupBy("level", "gid").agg(F.count(F.lit(1)).alias("n_series"))
+
+
+# --- H7-H9, A20, A22, H17 ---------------------------------------------------------------------------------
+
+@query("assemble_levels", "H5 H6 H7 U2",
+       _base() + "SELECT series_id, level, store_id, category, date, y, yhat FROM hz")
+def assemble_levels(spark, sf_dir):
+    _, _, _, hz = parts(spark, sf_dir)
+    return hz.select("series_id", "level", "store_id", "category", "date", "y", "yhat")
+
+
+@query("residuals_long", "H8 H9 P20 P16",
+       _base() + "SELECT series_id, date, round(e, 6) AS e FROM res")
+def residuals_long(spark, sf_dir):
+    _, _, res, _ = parts(spark, sf_dir)
+    return res.withColumn("e", F.round("e", 6))
+
+
+def gram_and_index(spark, sf_dir):
+    b, _, res, hz = parts(spark, sf_dir)
+    nd = nodes(spark, sf_dir, b)
+    live = nd.join(res.select("series_id").distinct(), "series_id", "left_semi")
+    # The Gram table and the series index are hierarchy-sized; writing them to the
+    # checkpoint folder cuts the long lineage they are reused from (solve, lambda, apply).
+    index = cut_lineage(R.series_index(live))
+    gram = cut_lineage(H.partial_gram(res, index))
+    return gram, index, nd, res, hz
+
+
+@query("residual_moments", "A20",
+       _base() + "SELECT a.series_id AS series_i, b.series_id AS series_j, round(sum(a.e * b.e) / count(*), 6) AS w "
+       "FROM res a JOIN res b ON a.date = b.date AND a.series_id <= b.series_id GROUP BY ALL")
+def residual_moments(spark, sf_dir):
+    gram, index, *_ = gram_and_index(spark, sf_dir)
+    t = gram.where("i = -1").select("w_sum").scalar()
+    ii = index.select(F.col("idx").alias("i"), F.col("series_id").alias("series_i"))
+    jj = index.select(F.col("idx").alias("j"), F.col("series_id").alias("series_j"))
+    return gram.where("i >= 0").join(ii, "i").join(jj, "j").select(
+        "series_i", "series_j", F.round(F.col("w_sum") / t, 6).alias("w"))
+
+
+@query("residual_checks", "A22 H22",
+       _base() + "SELECT (SELECT count(DISTINCT series_id) FROM res0) AS n_series, "
+       "(SELECT count(*) FROM (SELECT series_id FROM res0 GROUP BY series_id HAVING sum(e * e) = 0)) AS n_zero_var, "
+       "(SELECT count(DISTINCT date) FROM res0) AS n_dates")
+def residual_checks(spark, sf_dir):
+    b = base(spark, sf_dir)
+    rd = splits.sample_dates(b, 0.5, SEED)
+    res0 = b.join(rd, "date", "left_semi").select("series_id", "date", (F.col("yhat") - F.col("y")).alias("e"))
+    per = res0.groupBy("series_id").agg(F.sum(F.col("e") * F.col("e")).alias("ss"))
+    return per.agg(F.count(F.lit(1)).alias("n_series"), F.count_if(F.col("ss") == 0).alias("n_zero_var")) \
+              .withColumn("n_dates", res0.select(F.countDistinct("date")).scalar())
+
+
+LAMBDA_SQL = _base(
+    "t AS (SELECT count(DISTINCT date) AS t FROM res)",
+    "dg AS (SELECT series_id, sum(e * e) / (SELECT t FROM t) AS d FROM res GROUP BY series_id)",
+    "pr AS (SELECT a.series_id AS si, b.series_id AS sj, sum(a.e * b.e) / (SELECT t FROM t) AS w, sum(a.e * a.e * b.e * b.e) AS q "
+    "FROM res a JOIN res b ON a.date = b.date AND a.series_id < b.series_id GROUP BY ALL)",
+    "rr AS (SELECT pr.*, di.d AS di, dj.d AS dj, pr.w / sqrt(di.d * dj.d) AS r FROM pr JOIN dg di ON di.series_id = pr.si "
+    "JOIN dg dj ON dj.series_id = pr.sj)",
+    "agg AS (SELECT sum((q / (di * dj) - (SELECT t FROM t) * r * r) / ((SELECT t FROM t) * ((SELECT t FROM t) - 1))) AS sv, "
+    "sum(r * r) AS sr FROM rr)")
+
+
+@query("shrinkage_lambda", "H17 H25",
+       LAMBDA_SQL + "SELECT round(greatest(least(sv / sr, 1.0), 0.0), 6) AS lambda, (SELECT t FROM t) AS n_dates FROM agg")
+def shrinkage_lambda(spark, sf_dir):
+    gram, *_ = gram_and_index(spark, sf_dir)
+    return R.shrinkage_lambda(gram).withColumn("lambda", F.round("lambda", 6))
+
+
+# --- R1 / BU ---------------------------------------------------------------------------------------------
+
+def reconciled(spark, sf_dir, method: str):
+    R.check_method(method)
+    if method in ("MinTSa", "MinTSh"):
+        gram, index, nd, res, hz = gram_and_index(spark, sf_dir)
+        edges = H.summing_edges(nd)
+        lam = R.shrinkage_lambda(gram) if method == "MinTSh" else None
+        coef = R.mint_coefficients(gram, index, edges, method, lam)
+        return R.apply_coefficients(hz, coef, index)
+    b, _, res, hz = parts(spark, sf_dir)
+    if method == "BU":
+        return R.reconcile_bu(hz)
+    w = R.diagonal_weights(method, nodes(spark, sf_dir, b), res)
+    return R.reconcile_tree(hz, w)
+
+
+def _out(df):
+    return df.select("series_id", "date", F.round("yhat", 6).alias("yhat"), F.round("yhat_rec", 6).alias("yhat_rec"))
+
+
+WEIGHT_SQL = {
+    "OLS": "wt AS (SELECT series_id, 1.0 AS w FROM nodes)",
+    "SS": "wt AS (SELECT n.series_id, CAST((SELECT count(*) FROM bs WHERE (n.store_id IS NULL OR bs.store_id = n.store_id) "
+          "AND (n.category IS NULL OR bs.category = n.category)) AS DOUBLE) AS w FROM nodes n)",
+    "VS": "wt AS (SELECT series_id, avg(e * e) AS w FROM res GROUP BY series_id)",
+}
+
+
+def _rec_ctes(method: str) -> tuple[str, ...]:
+    if method == "BU":
+        return ("rec AS (SELECT concat_ws('|', coalesce(CAST(store_id AS VARCHAR), '*'), coalesce(category, '*')) AS sid, date, "
+                "sum(yhat) AS bval FROM hz WHERE gid = 0 GROUP BY GROUPING SETS ((date, store_id, category), (date, store_id), (date)))",)
+    return (
+        WEIGHT_SQL[method],
+        "b AS (SELECT hz.series_id, hz.store_id, hz.category, hz.gid, hz.date, hz.yhat, wt.w FROM hz JOIN wt ON hz.series_id = wt.series_id)",
+        "l2 AS (SELECT store_id, category, date, yhat AS m, w AS v FROM b WHERE gid = 0)",
+        "a1 AS (SELECT store_id, date, sum(m) AS bigm, sum(v) AS bigv FROM l2 GROUP BY store_id, date)",
+        "n1 AS (SELECT b.store_id, b.date, a1.bigm, a1.bigv, 1 / (1 / b.w + 1 / a1.bigv) AS v, "
+        "(1 / (1 / b.w + 1 / a1.bigv)) * (b.yhat / b.w + a1.bigm / a1.bigv) AS m "
+        "FROM b JOIN a1 ON b.store_id = a1.store_id AND b.date = a1.date WHERE b.gid = 1)",
+        "a0 AS (SELECT date, sum(m) AS bigm, sum(v) AS bigv FROM n1 GROUP BY date)",
+        "n0 AS (SELECT b.date, a0.bigm, a0.bigv, (1 / (1 / b.w + 1 / a0.bigv)) * (b.yhat / b.w + a0.bigm / a0.bigv) AS m "
+        "FROM b JOIN a0 ON b.date = a0.date WHERE b.gid = 3)",
+        "d1 AS (SELECT n1.store_id, n1.date, n1.m + n1.v / n0.bigv * (n0.m - n0.bigm) AS bval FROM n1 JOIN n0 ON n1.date = n0.date)",
+        "d2 AS (SELECT l2.store_id, l2.category, l2.date, l2.m + l2.v / n1.bigv * (d1.bval - n1.bigm) AS bval FROM l2 "
+        "JOIN n1 ON l2.store_id = n1.store_id AND l2.date = n1.date JOIN d1 ON d1.store_id = l2.store_id AND d1.date = l2.date)",
+        "rec AS (SELECT '*|*' AS sid, date, m AS bval FROM n0 UNION ALL "
+        "SELECT concat_ws('|', CAST(store_id AS VARCHAR), '*'), date, bval FROM d1 UNION ALL "
+        "SELECT concat_ws('|', CAST(store_id AS VARCHAR), category), date, bval FROM d2)",
+    )
+
+
+def _rec_sql(method: str) -> str:
+    return (_base(*_rec_ctes(method))
+            + "SELECT hz.series_id, hz.date, round(hz.yhat, 6) AS yhat, round(rec.bval, 6) AS yhat_rec "
+              "FROM hz LEFT JOIN rec ON hz.series_id = rec.sid AND hz.date = rec.date")
+
+
+def _make_rec(method):
+    def q(spark, sf_dir):
+        return _out(reconciled(spark, sf_dir, method))
+    return q
+
+
+for _m, _ids in (("bu", "H12 H18"), ("ols", "H11 H18 R1"), ("ss", "H13 R1"), ("vs", "H14 R1")):
+    query(f"reconcile_{_m}", _ids, _rec_sql(_m.upper()))(_make_rec(_m.upper()))
+query("reconcile_mint_sample", "H15 R2 S13")(_make_rec("MinTSa"))
+query("reconcile_mint_shrink", "H16 R2 H24")(_make_rec("MinTSh"))
+
+
+# --- H19, H20, H23 ------------------------------------------------------------------------------------
+
+R1_METHODS = ["BU", "OLS", "SS", "VS"]
+
+
+def _scores_sql() -> str:
+    parts_ = []
+    for m in R1_METHODS:
+        ctes = _rec_ctes(m)
+        body = ("SELECT '" + m + "' AS method, hz.level, round(avg(abs(hz.yhat - hz.y)), 6) AS mae_base, "
+                "round(avg(abs(rec.bval - hz.y)), 6) AS mae_rec, round(sqrt(avg((hz.yhat - hz.y) * (hz.yhat - hz.y))), 6) AS rmse_base, "
+                "round(sqrt(avg((rec.bval - hz.y) * (rec.bval - hz.y))), 6) AS rmse_rec "
+                "FROM hz JOIN rec ON hz.series_id = rec.sid AND hz.date = rec.date GROUP BY hz.level")
+        parts_.append("(" + "WITH " + ",\n".join(ctes) + "\n" + body + ")")
+    return _base() + "\nUNION ALL\n".join(f"SELECT * FROM {p}" for p in parts_)
+
+
+def _score(df, method):
+    return df.groupBy("level").agg(
+        F.round(F.avg(F.abs(F.col("yhat") - F.col("y"))), 6).alias("mae_base"),
+        F.round(F.avg(F.abs(F.col("yhat_rec") - F.col("y"))), 6).alias("mae_rec"),
+        F.round(F.sqrt(F.avg(F.pow(F.col("yhat") - F.col("y"), 2))), 6).alias("rmse_base"),
+        F.round(F.sqrt(F.avg(F.pow(F.col("yhat_rec") - F.col("y"), 2))), 6).alias("rmse_rec"),
+    ).withColumn("method", F.lit(method))
+
+
+@query("recon_scores", "H19 A10 A11", _scores_sql())
+def recon_scores(spark, sf_dir):
+    out = None
+    for m in R1_METHODS:
+        s = _score(reconciled(spark, sf_dir, m), m)
+        out = s if out is None else out.unionByName(s)
+    return out.select("method", "level", "mae_base", "mae_rec", "rmse_base", "rmse_rec")
+
+
+@query("recon_method_compare", "H20 H23")
+def recon_method_compare(spark, sf_dir):
+    """Per-date RMSE over all series (cross_score), averaged over dates, per method."""
+    out = None
+    for m in R.METHODS:
+        r = reconciled(spark, sf_dir, m)
+        per_date = r.groupBy("date").agg(F.sqrt(F.avg(F.pow(F.col("yhat_rec") - F.col("y"), 2))).alias("rmse"),
+                                         F.avg(F.abs(F.col("yhat_rec") - F.col("y"))).alias("mae"))
+        s = per_date.agg(F.round(F.avg("rmse"), 6).alias("mean_rmse"), F.round(F.avg("mae"), 6).alias("mean_mae"),
+                         F.count(F.lit(1)).alias("n_dates")).withColumn("method", F.lit(m))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+# --- H21, A19, A23 --------------------------------------------------------------------------------------
+
+def bootstrap(spark, sf_dir, samples: int = BOOT_SAMPLES, alpha: float = 0.1, method: str = "OLS"):
+    """For every horizon date and sample s, add the residual vector of a hash-picked
+    residual date, reconcile (keys = date, sample), and take per-series quantiles over
+    the samples. Samples are generated with ``sequence`` (no cross join); the residual
+    vector is fetched by an equi-join on (series, picked residual-date rank)."""
+    b, rd, res, hz = parts(spark, sf_dir)
+    ranked = splits.ranked_dates(rd).select(F.col("date").alias("rdate"), "rank", "n")
+    n_r = ranked.select(F.max("n")).scalar()
+    smp = hz.select("*", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("sample"))
+    smp = smp.withColumn("rank", F.pmod(splits.date_hash("date", F.col("sample") + SEED), n_r).cast("int"))
+    picked = res.join(ranked, res["date"] == ranked["rdate"]).select("series_id", "rank", "e")
+    pert = smp.join(picked, ["series_id", "rank"], "left") \
+              .withColumn("yhat", F.col("yhat") + F.coalesce("e", F.lit(0.0))).drop("e", "rank")
+    if method == "BU":
+        rec = R.reconcile_bu(pert, keys=["date", "sample"])
+    else:
+        w = R.diagonal_weights(method, nodes(spark, sf_dir, b), res)
+        rec = R.reconcile_tree(pert, w, keys=["date", "sample"])
+    lo, hi = alpha / 2, 1 - alpha / 2
+    q = rec.groupBy("series_id", "level", "date").agg(
+        F.percentile("yhat_rec", F.array(F.lit(lo), F.lit(0.5), F.lit(hi))).alias("_q"), F.first("y").alias("y"))
+    return q.select("series_id", "level", "date", "y", F.round(F.col("_q")[0], 6).alias("q_lo"),
+                    F.round(F.col("_q")[1], 6).alias("q_mid"), F.round(F.col("_q")[2], 6).alias("q_hi"))
+
+
+@query("bootstrap_intervals", "H21 A19")
+def bootstrap_intervals(spark, sf_dir):
+    return bootstrap(spark, sf_dir)
+
+
+@query("interval_miss_counts", "A23 A14")
+def interval_miss_counts(spark, sf_dir):
+    b = bootstrap(spark, sf_dir)
+    return b.groupBy("level").agg(F.count_if(F.col("y") < F.col("q_lo")).alias("n_below"),
+                                  F.count_if(F.col("y") > F.col("q_hi")).alias("n_above"),
+                                  F.round(F.avg(F.col("y").between(F.col("q_lo"), F.col("q_hi")).cast("double")), 6).alias("coverage"),
+                                  F.count(F.lit(1)).alias("n"))

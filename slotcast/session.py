@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings every slotcast job wants. Cluster deployments override the sizes.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,6 +21,8 @@ DEFAULT_CONF = {
     # broadcast only by AQE after it has measured them at runtime.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
+# Only used when this process starts the JVM (local runs, tests, bench).
+LOCAL_CONF = {"spark.driver.memory": "16g", "spark.driver.maxResultSize": "4g"}
 
 
 def get_session(master: str | None = None, app: str = "slotcast",
@@ -30,6 +33,8 @@ def get_session(master: str | None = None, app: str = "slotcast",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
