@@ -1 +1,246 @@
-"""Daily-series queries over adapter B (orders)."""
+"""Imputation, model fitting / evaluation and parameter search queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import calendar as cal
+from ..functions.timecols import level_time_columns
+from ..operators import clean, impute, learn, metrics, splits
+from ..sources import adapters, dims
+from . import daily as D
+from . import slots as SL
+from . import sqlparts as S
+from .registry import query
+
+CATS = dims.CATEGORIES
+LATE = dims.LATE_CATEGORIES
+
+
+def _with(*ctes: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# --- M1 with k = 1 (oracle: regr_slope / regr_intercept) ----------------------------------------------
+
+def _impute_top1_sql() -> str:
+    cand = [c for c in CATS if c not in LATE]
+    cut = " UNION ALL ".join(
+        f"SELECT store_id, '{t}' AS target, min(CASE WHEN {t} <> 0 THEN datetime END) AS first_sold FROM fixture GROUP BY store_id"
+        for t in LATE)
+    ycase = "CASE c.target " + " ".join(f"WHEN '{t}' THEN CAST(f.{t} AS DOUBLE)" for t in LATE) + " END"
+    late_sum = " + ".join(LATE)
+    tr_cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c != "OTHER" else f"CAST(OTHER + {late_sum} AS DOUBLE) AS OTHER"
+                        for c in cand)
+    cr = " UNION ALL ".join(f"SELECT store_id, target, '{c}' AS predictor, corr(y, {c}) AS corr, "
+                            f"regr_slope(y, {c}) AS slope, regr_intercept(y, {c}) AS icpt FROM tr GROUP BY store_id, target"
+                            for c in cand)
+    xcase = "CASE b.predictor " + " ".join(f"WHEN '{c}' THEN CAST(lg.{c} AS DOUBLE)" for c in cand) + " END"
+    return (_with(S.wide_cte(), S.open_cte(), S.late_fixture_cte(), f"cut AS ({cut})",
+                  f"lg AS (SELECT f.*, c.target, c.first_sold, {ycase} AS y FROM fixture f JOIN cut c ON f.store_id = c.store_id)",
+                  f"tr AS (SELECT store_id, target, y, {tr_cols} FROM lg WHERE datetime >= first_sold)",
+                  f"cr AS ({cr})",
+                  "b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY store_id, target ORDER BY corr DESC, predictor) AS rk "
+                  "FROM cr WHERE corr IS NOT NULL AND NOT isnan(corr)) WHERE rk = 1)")
+            + f"SELECT lg.store_id, lg.datetime, lg.target, b.predictor, "
+              f"CAST(greatest(round_even(b.icpt + b.slope * {xcase}, 0), 0) AS BIGINT) AS imputed "
+              "FROM lg JOIN b ON lg.store_id = b.store_id AND lg.target = b.target WHERE lg.datetime < lg.first_sold")
+
+
+@query("impute_top1", "M1 P10 P12 P13 O3 A8", _impute_top1_sql())
+def impute_top1(spark, sf_dir):
+    wide = SL.fixture(spark, sf_dir)
+    cuts = clean.first_time_sold(wide, LATE).withColumnRenamed("category", "target")
+    long = impute._long_by_target(wide, LATE).join(cuts, ["store_id", "target"], "inner")
+    after = F.col("datetime") >= F.col("first_sold")
+    train = long.where(after).withColumn("OTHER", F.col("OTHER") + sum(F.col(t) for t in LATE))
+    cand = impute.candidates_for(wide, LATE, LATE, include_total=False)
+    masks = impute.top_predictors(train, cand, 1, ["store_id", "target"])
+    stats = learn.normal_equations(train, ["store_id", "target"], cand, "y").join(
+        masks.select("store_id", "target", "mask"), ["store_id", "target"])
+    coefs = learn.solve_groups(stats, ["store_id", "target"], cand, mask_col="mask")
+    scored = learn.predict(long.where(~after), coefs, ["store_id", "target"], cand, name="pred")
+    scored = scored.join(masks.select("store_id", "target", F.col("_chosen")[0].alias("predictor")), ["store_id", "target"])
+    return scored.select("store_id", "datetime", "target", "predictor",
+                         clean.clip_imputed("pred").cast("bigint").alias("imputed"))
+
+
+@query("impute_top7_variant_a", "M1 M3 P5 P7 P4 Q1 Q2")
+def impute_top7_variant_a(spark, sf_dir):
+    return impute.impute_variant_a(SL.fixture(spark, sf_dir), LATE, k=7)
+
+
+@query("impute_variant_b", "M2 M4 P6 P8 O4 Q32")
+def impute_variant_b(spark, sf_dir):
+    return impute.impute_variant_b(SL.fixture(spark, sf_dir), LATE, k=6)
+
+
+# --- M5-M7: gradient-boosted trees on the interval-level model frame ---------------------------------
+
+GBT_SPLIT = "2024-01-22"
+GBT_PARAMS = dict(max_iter=10, max_depth=5, step_size=0.1, subsampling=0.8)
+
+
+def gbt_frame(spark, sf_dir):
+    """Interval model frame (M27): time keys, calendar keys, store id, targets."""
+    return SL._make_rollup("interval")(spark, sf_dir)
+
+
+def gbt_targets(spark, sf_dir, frame):
+    """Targets = categories with any sale (P2: all-zero columns are dropped)."""
+    prof = clean.zero_column_profile(frame, CATS).where("kept").select("column_name")
+    return [r[0] for r in prof.collect()]          # one row per category (schema-sized)
+
+
+def gbt_runs(spark, sf_dir):
+    frame = gbt_frame(spark, sf_dir).withColumn("store_id", F.col("store_id").cast("double"))
+    feats = ["store_id"] + level_time_columns("interval") + cal.LEVEL_CALENDAR["interval"]
+    train = frame.where(F.col("date") < F.lit(GBT_SPLIT).cast("date"))
+    test = frame.where(F.col("date") >= F.lit(GBT_SPLIT).cast("date"))
+    out = []
+    for t in gbt_targets(spark, sf_dir, frame):
+        model = learn.fit_gbt(train, feats, t, **GBT_PARAMS)
+        out.append((t, model, model.transform(test)))
+    return feats, out
+
+
+@query("gbt_eval", "M5 M6 M7 M18 M19 A12 A13")
+def gbt_eval(spark, sf_dir):
+    _, runs = gbt_runs(spark, sf_dir)
+    parts = []
+    for t, _, pred in runs:
+        parts.append(pred.select(F.lit(t).alias("target"), F.col("store_id").cast("int").alias("store_id"),
+                                 F.col(t).cast("double").alias("y"), F.col(f"pred_{t}").alias("yhat")))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    per = metrics.per_target(long, ["target", "store_id"])
+    tot = metrics.with_uniform_total(metrics.per_target(long, ["target"]), "target")
+    out = per.unionByName(tot.withColumn("store_id", F.lit(None).cast("int")).select(*per.columns))
+    return metrics.round6(out, ["mae", "mse", "rmse"])
+
+
+@query("gbt_importance", "M7 S11")
+def gbt_importance(spark, sf_dir):
+    feats, runs = gbt_runs(spark, sf_dir)
+    rows = [(t, f, round(v, 6)) for t, model, _ in runs for f, v in learn.importances(model, feats)]
+    return spark.createDataFrame(rows, "target string, feature string, importance double")
+
+
+# --- M8-M12, M14, M30: seasonal additive model as grouped ridge regression ------------------------------
+
+HORIZON = 60
+RIDGE = 0.01
+
+
+def _seasonal_input(spark, sf_dir, shift=adapters.CALENDAR_SHIFT_YEARS):
+    """Daily store totals (dense) plus the future frame (M12): each store's next HORIZON
+    days with null y; the phase-rule regressor C7 on calendar-aligned dates."""
+    d = D.dense(spark, sf_dir, shift)
+    b = d.groupBy("store_id").agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
+    fut = b.select("store_id", F.explode(F.sequence(F.date_add("d1", 1), F.date_add("d1", HORIZON))).alias("date"),
+                   F.lit(None).cast("bigint").alias("y"))
+    allr = d.withColumn("is_future", F.lit(0)).unionByName(fut.withColumn("is_future", F.lit(1)))
+    allr = allr.join(b.select("store_id", "d0"), "store_id")
+    t = F.datediff("date", "d0")
+    feats = learn.seasonal_features(t, span_days=2400)
+    feats["semester_phase"] = cal.phase_rule_a("date").cast("double")
+    return allr.withColumns(feats), list(feats)
+
+
+def seasonal(spark, sf_dir, multiplicative: bool = False):
+    frame, feats = _seasonal_input(spark, sf_dir)
+    label = F.log1p(F.col("y").cast("double")) if multiplicative else F.col("y").cast("double")
+    frame = frame.withColumn("_label", label)
+    hist = frame.where("is_future = 0")
+    coefs = learn.solve_groups(learn.normal_equations(hist, ["store_id"], feats, "_label"), ["store_id"], feats,
+                               ridge=RIDGE)
+    pred = learn.predict(frame, coefs, ["store_id"], feats, name="_fit")
+    pred = pred.withColumn("yhat", F.expm1("_fit") if multiplicative else F.col("_fit"))
+    # interval = fitted value + residual quantiles (10 %, 90 %) of the store's history
+    resid = pred.where("is_future = 0").groupBy("store_id").agg(
+        F.percentile(F.col("y") - F.col("yhat"), F.array(F.lit(0.1), F.lit(0.9))).alias("_q"))
+    out = pred.join(resid, "store_id")
+    return out.select("store_id", "date", "y", "is_future", F.round("yhat", 4).alias("yhat"),
+                      F.round(F.col("yhat") + F.col("_q")[0], 4).alias("yhat_lower"),
+                      F.round(F.col("yhat") + F.col("_q")[1], 4).alias("yhat_upper"))
+
+
+@query("seasonal_forecast", "M8 M10 M12 M29 J13 L6")
+def seasonal_forecast(spark, sf_dir):
+    return seasonal(spark, sf_dir)
+
+
+@query("seasonal_forecast_mult", "M9 M25")
+def seasonal_forecast_mult(spark, sf_dir):
+    return seasonal(spark, sf_dir, multiplicative=True)
+
+
+@query("seasonal_cv", "M14 M17 M30 A15 M11")
+def seasonal_cv(spark, sf_dir, n_splits: int = 5):
+    """Expanding 5-fold CV of the seasonal model, all folds fitted together: every date
+    contributes its partial Gram to the first fold it trains, and fold f's system is the
+    prefix sum over folds <= f (n_splits rows per store), so rows are not replicated."""
+    frame, feats = _seasonal_input(spark, sf_dir)
+    hist = frame.where("is_future = 0").withColumn("_label", F.col("y").cast("double"))
+    folds = splits.expanding_folds(hist, n_splits)
+    first_train = folds.where("role = 'train'").groupBy("date").agg(F.min("fold").alias("ft"))
+    test_fold = folds.where("role = 'test'").select("date", F.col("fold").alias("tf"))
+    tagged = hist.join(first_train, "date", "left").join(test_fold, "date", "left")
+    part = learn.normal_equations(tagged.where(F.col("ft").isNotNull()), ["store_id", "ft"], feats, "_label")
+    # prefix-sum the partial Grams over folds: fold f uses every ft <= f (explode to <= n_splits folds)
+    ex = part.select("store_id", F.explode(F.sequence("ft", F.lit(n_splits - 1))).alias("fold"),
+                     F.posexplode("zz").alias("pos", "v"))
+    zz = ex.groupBy("store_id", "fold", "pos").agg(F.sum("v").alias("v")) \
+           .groupBy("store_id", "fold").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))),
+                                                        lambda s: s["v"]).alias("zz"))
+    coefs = learn.solve_groups(zz, ["store_id", "fold"], feats, ridge=RIDGE)
+    test = tagged.where(F.col("tf").isNotNull()).withColumnRenamed("tf", "fold")
+    pred = learn.predict(test, coefs, ["store_id", "fold"], feats)
+    per_fold = pred.groupBy("fold").agg(metrics.mae("_label", "yhat").alias("mae"),
+                                        metrics.rmse("_label", "yhat").alias("rmse"),
+                                        metrics.coverage("_label", "yhat", "yhat").alias("exact_share"))
+    return metrics.round6(metrics.fold_summary(per_fold, ["mae", "rmse"]), ["mean", "std"])
+
+
+# --- M21-M24, A16: parameter grid evaluated on the data --------------------------------------------------
+
+GRID_WINDOWS = [3, 7, 14, 28]
+
+
+def _grid_sql() -> str:
+    parts = []
+    for w in GRID_WINDOWS:
+        parts.append(
+            f"SELECT {w} AS window_days, ser.date, ser.y, avg(y) OVER w AS yhat, count(y) OVER w AS c FROM ser "
+            f"WINDOW w AS (PARTITION BY store_id, category ORDER BY date ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)")
+    return (_with(*D.SERIES_SQL[:4],
+                  "rk AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS rank, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM ser))",
+                  "q AS (SELECT date, CAST((n - rank - 1) // (n // 6) + 1 AS INTEGER) AS j FROM rk)",
+                  "ft AS (SELECT 5 - j AS fold, date FROM q WHERE j BETWEEN 1 AND 5)",
+                  "runs AS (" + " UNION ALL ".join(parts) + ")",
+                  "pf AS (SELECT window_days, ft.fold, avg(abs(y - yhat)) AS mae FROM runs JOIN ft ON runs.date = ft.date "
+                  "WHERE runs.c = window_days GROUP BY window_days, ft.fold)",
+                  "s AS (SELECT window_days, avg(mae) AS mean_mae, stddev_pop(mae) AS std_mae FROM pf GROUP BY window_days)")
+            + "SELECT window_days, round(mean_mae, 6) AS mean_mae, round(std_mae, 6) AS std_mae, "
+              "window_days = (SELECT arg_min(window_days, mean_mae) FROM s) AS is_best FROM s")
+
+
+@query("best_run", "M21 M23 M24 A15 A16 M17", _grid_sql())
+def best_run(spark, sf_dir):
+    """Grid of naive-forecast windows evaluated by expanding 5-fold CV on the data; mean
+    and population std of fold MAE per run, and the argmin (``min_by``)."""
+    ser = D.series_daily(spark, sf_dir)
+    folds = splits.expanding_folds(ser, 5).where("role = 'test'").select("fold", "date")
+    runs = None
+    for wd in GRID_WINDOWS:   # one frame per run: window frames need literal bounds
+        w = Window.partitionBy("store_id", "category").orderBy("date").rowsBetween(-wd, -1)
+        r = ser.select(F.lit(wd).alias("window_days"), "date", "y", F.avg("y").over(w).alias("yhat"),
+                       F.count("y").over(w).alias("_c")).where(F.col("_c") == wd)
+        runs = r if runs is None else runs.unionByName(r)
+    per_fold = runs.join(folds, "date").groupBy("window_days", "fold").agg(metrics.mae().alias("mae"))
+    s = per_fold.groupBy("window_days").agg(F.avg("mae").alias("mean_mae"), F.stddev_pop("mae").alias("std_mae"))
+    best = s.agg(F.min_by("window_days", "mean_mae")).scalar()
+    return s.select("window_days", F.round("mean_mae", 6).alias("mean_mae"), F.round("std_mae", 6).alias("std_mae"),
+                    (F.col("window_days") == best).alias("is_best"))
