@@ -368,3 +368,45 @@ def fold_summary(spark, sf_dir):
 def coverage(spark, sf_dir):
     nf = naive_forecast(spark, sf_dir)
     return nf.groupBy("category").agg(F.round(metrics.coverage(), 6).alias("coverage"), F.count(F.lit(1)).alias("n"))
+
+
+# --- S8, A17, A18, A24: lenient date parsing and data-range profile ---------------------------------------
+
+@query("date_quality", "S8 A17 A18 A24 F13",
+       "WITH raw AS (SELECT o.o_orderkey, CASE WHEN o.o_orderstatus = 'P' THEN 'pending' ELSE strftime(o.o_orderdate, '%Y-%m-%d') END AS raw_date, "
+       "CAST(n.n_regionkey AS INTEGER) AS store_id FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey "
+       "JOIN nation n ON c.c_nationkey = n.n_nationkey), p AS (SELECT *, CAST(try_strptime(raw_date, '%Y-%m-%d') AS DATE) AS d FROM raw)\n"
+       "SELECT count(*) FILTER (WHERE d IS NULL) AS bad_dates, min(d) AS min_date, max(d) AS max_date, "
+       "CAST(datediff('day', min(d), max(d)) + 1 AS INTEGER) AS span_days, count(DISTINCT d) AS distinct_dates, "
+       "count(DISTINCT store_id) AS distinct_stores, CAST(datediff('day', min(d), max(d)) + 1 - count(DISTINCT d) AS BIGINT) AS missing_dates FROM p")
+def date_quality(spark, sf_dir):
+    """Dates arrive as strings (pending orders carry a placeholder); parse leniently with
+    ``try_to_date`` (ANSI-safe) and profile the range in one aggregation."""
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    raw = F.when(F.col("o_orderstatus") == "P", F.lit("pending")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    p = j.select(F.try_to_date(raw, "yyyy-MM-dd").alias("d"), F.col("n_regionkey").cast("int").alias("store_id"))
+    span = F.datediff(F.max("d"), F.min("d")) + 1
+    return p.agg(F.count_if(F.col("d").isNull()).alias("bad_dates"), F.min("d").alias("min_date"),
+                 F.max("d").alias("max_date"), span.cast("int").alias("span_days"),
+                 F.countDistinct("d").alias("distinct_dates"), F.countDistinct("store_id").alias("distinct_stores"),
+                 (span - F.countDistinct("d")).cast("bigint").alias("missing_dates"))
+
+
+# --- A21: pivot for export, first value wins ------------------------------------------------------------
+
+STORES_B = [0, 1, 2, 3, 4]        # regions of the driver tables = stores of adapter B
+
+
+@query("store_pivot_daily", "A21 J7 F19",
+       _with(S.daily_long_cte(), S.store_totals_cte())
+       + "SELECT date, " + ", ".join(f"first(y) FILTER (WHERE store_id = {s}) AS store_{s}" for s in STORES_B)
+       + " FROM tot GROUP BY date")
+def store_pivot_daily(spark, sf_dir):
+    """Daily totals with one column per store: ``pivot`` with an explicit value list (no
+    extra distinct job), ``first`` as the aggregate."""
+    t = adapters.daily_store_totals(spark, sf_dir)
+    p = t.groupBy("date").pivot("store_id", STORES_B).agg(F.first("y"))
+    return p.select("date", *[F.col(str(s)).alias(f"store_{s}") for s in STORES_B])

@@ -340,3 +340,33 @@ def interval_miss_counts(spark, sf_dir):
                                   F.count_if(F.col("y") > F.col("q_hi")).alias("n_above"),
                                   F.round(F.avg(F.col("y").between(F.col("q_lo"), F.col("q_hi")).cast("double")), 6).alias("coverage"),
                                   F.count(F.lit(1)).alias("n"))
+
+
+# --- O8, O2: seeded sample of at most five series per level, for export -----------------------------------
+
+@query("series_sample_export", "O8 O2 O1",
+       _base() + "SELECT level, series_id, store_id, category, CAST(rk AS INTEGER) AS rank FROM (SELECT *, row_number() OVER "
+       "(PARTITION BY level ORDER BY md5(series_id), series_id) AS rk FROM nodes) WHERE rk <= 5")
+def series_sample_export(spark, sf_dir):
+    """A sampling operator: up to 5 series per level, ordered by a seeded-free stable hash
+    (``md5``); windows are partitioned by level over the node table (hierarchy-sized)."""
+    from pyspark.sql import Window
+    n = nodes(spark, sf_dir)
+    w = Window.partitionBy("level").orderBy(F.md5("series_id"), "series_id")
+    return n.select("level", "series_id", "store_id", "category", F.row_number().over(w).cast("int").alias("rank")) \
+            .where("rank <= 5")
+
+
+# --- J8, F11: attach actuals to forecast rows by date; day-month-year key -----------------------------------
+
+@query("forecast_date_keys", "J8 F11 H6",
+       _base("tot AS (SELECT date, y FROM lv2 WHERE gid = 3)")
+       + "SELECT hz.series_id, hz.date, concat_ws('-', CAST(day(hz.date) AS VARCHAR), CAST(month(hz.date) AS VARCHAR), "
+         "CAST(year(hz.date) AS VARCHAR)) AS date_key, hz.yhat, tot.y AS total_actual FROM hz LEFT JOIN tot ON hz.date = tot.date "
+         "WHERE hz.gid = 3")
+def forecast_date_keys(spark, sf_dir):
+    _, _, _, hz = parts(spark, sf_dir)
+    key = F.concat_ws("-", F.dayofmonth("date").cast("string"), F.month("date").cast("string"), F.year("date").cast("string"))
+    # actuals of dates before the first forecast date are not in ``b``: take them from the levels
+    lv = levels(spark, sf_dir).where("gid = 3").select("date", F.col("y").alias("total_actual"))
+    return hz.where("gid = 3").select("series_id", "date", key.alias("date_key"), "yhat").join(lv, "date", "left")

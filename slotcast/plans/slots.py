@@ -298,3 +298,41 @@ def top_correlates(spark, sf_dir):
            f"round(stddev_pop({c}), 6) AS std_pop FROM wopen GROUP BY store_id" for c in CORR_COLS))
 def category_moments(spark, sf_dir):
     return explore.moments(wide_open(spark, sf_dir), CORR_COLS)
+
+
+# --- S7: daily series per store (ds, y) -----------------------------------------------------------------
+
+@query("daily_store_series", "S7 S3",
+       _with(S.wide_cte(), S.open_cte()) + "SELECT store_id, CAST(datetime AS DATE) AS ds, CAST(sum(TOTAL_SALES) AS BIGINT) AS y "
+       "FROM wopen WHERE store_id = 1 GROUP BY ALL")
+def daily_store_series(spark, sf_dir, store_id: int = 1):
+    """Daily total of one store renamed to (ds, y); the store filter sits right after the
+    scan (on a store-partitioned table it prunes partitions)."""
+    w = wide_open(spark, sf_dir).where(F.col("store_id") == store_id)
+    return w.groupBy("store_id", F.to_date("datetime").alias("ds")).agg(F.sum(dims.TOTAL).cast("bigint").alias("y"))
+
+
+def _total_rollup_sql() -> str:
+    tcols = level_time_columns("day")
+    ccols = cal.LEVEL_CALENDAR["day"]
+    tex = {"year": "year(datetime)", "month": "month(datetime)", "week": "week(datetime)",
+           "weekday": "isodow(datetime) - 1", "day": "day(datetime)"}
+    sel = ", ".join(f"CAST({tex[c]} AS INTEGER) AS {c}" for c in tcols)
+    sums = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in MEAS)
+    comb = "comb AS (SELECT datetime, " + ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in MEAS) + " FROM wopen GROUP BY datetime)"
+    return (_with(S.wide_cte(), S.open_cte(), comb,
+                  S.grid_sql("comb", "g1", "interval", stores=False),
+                  S.grid_sql("g1", "g2", "period", *ROLLUP_BOUNDS, stores=False),
+                  S.semester_values_cte(),
+                  f"feat AS (SELECT g2.*, {sel}, {S.calendar_select('g2.datetime')} FROM g2 {S.calendar_joins('g2')})")
+            + f"SELECT date, {', '.join(tcols + ccols)}, {sums} FROM feat GROUP BY date, {', '.join(tcols + ccols)}")
+
+
+@query("level_rollup_day_total", "S2 F20 M20 M27 A2", _total_rollup_sql())
+def level_rollup_day_total(spark, sf_dir):
+    """Model frame with ``store_ids=None``: the summed-store scan (S2), then the reference's
+    densify order (F20), time + calendar keys, day roll-up."""
+    cfg = rollup.DataConfig(temporal_level="day", time_columns=level_time_columns("day"),
+                            calendar_columns=cal.LEVEL_CALENDAR["day"], category_columns=MEAS, store_ids=None,
+                            add_missing_days=False, start_date=ROLLUP_BOUNDS[0], end_date=ROLLUP_BOUNDS[1])
+    return rollup.model_frame(wide_open(spark, sf_dir), cfg)

@@ -113,7 +113,7 @@ def calendar_joins(src_alias: str, ts: str = "datetime") -> str:
 
 
 def grid_sql(src: str, name: str, mode: str, start: str | None = None, end: str | None = None,
-             slots: list[str] | None = None, measures: list[str] | None = None) -> str:
+             slots: list[str] | None = None, measures: list[str] | None = None, stores: bool = True) -> str:
     """Dense grid CTEs mirroring operators.grid.dense_grid."""
     measures = measures or CATS + ["TOTAL_SALES"]
     if mode == "interval":
@@ -137,6 +137,12 @@ def grid_sql(src: str, name: str, mode: str, start: str | None = None, end: str
     else:
         times = f"SELECT DISTINCT CAST(hour(datetime) * 60 + minute(datetime) AS INTEGER) AS tmin FROM {src}"
     fills = ", ".join(f"CAST(coalesce(s.{m}, 0) AS BIGINT) AS {m}" for m in measures)
+    if not stores:
+        return f"""{name}_d AS ({dates}),
+{name}_t AS ({times}),
+{name}_g AS (SELECT d.date, CAST(d.date AS TIMESTAMP) + to_minutes(CAST(t.tmin AS BIGINT)) AS datetime
+             FROM {name}_d d, {name}_t t),
+{name} AS (SELECT g.date, g.datetime, {fills} FROM {name}_g g LEFT JOIN {src} s ON g.datetime = s.datetime)"""
     return f"""{name}_d AS ({dates}),
 {name}_t AS ({times}),
 {name}_s AS (SELECT DISTINCT store_id FROM {src}),
