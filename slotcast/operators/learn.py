@@ -163,3 +163,39 @@ def importances(model, features: list[str]) -> list[tuple[str, float]]:
     """M7: feature importances with names (a k-vector from the fitted model)."""
     imp = model.stages[-1].featureImportances.toArray()
     return list(zip(features, [float(v) for v in imp]))
+
+
+# --- E4 / S12: model interface (fit / predict / eval / save / load) ------------------------------------------
+
+class GroupedLinearModel:
+    """Per-group linear model with the fit/predict/eval/save/load surface of the
+    reference's model classes, backed by the grouped sufficient-statistics fit. The
+    coefficients are a DataFrame (one row per group) persisted as Parquet."""
+
+    def __init__(self, groups: list[str], features: list[str], label: str, ridge: float = 0.0):
+        self.groups, self.features, self.label, self.ridge = groups, features, label, ridge
+        self.coefs: DataFrame | None = None
+
+    def fit(self, df: DataFrame) -> "GroupedLinearModel":
+        stats = normal_equations(df, self.groups, self.features, self.label)
+        self.coefs = solve_groups(stats, self.groups, self.features, ridge=self.ridge)
+        return self
+
+    def predict(self, df: DataFrame, name: str = "yhat") -> DataFrame:
+        return predict(df, self.coefs, self.groups, self.features, name)
+
+    def eval(self, df: DataFrame) -> DataFrame:
+        from .metrics import per_target
+        return per_target(self.predict(df), self.groups, y=self.label, yhat="yhat")
+
+    def save(self, path: str) -> None:
+        self.coefs.withColumn("_features", F.lit(",".join(self.features))) \
+            .write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str, groups: list[str], label: str) -> "GroupedLinearModel":
+        c = spark.read.parquet(path)
+        feats = c.select("_features").first()[0].split(",")
+        m = cls(groups, feats, label)
+        m.coefs = c.drop("_features")
+        return m

@@ -32,6 +32,7 @@ def read_store_csv(spark: SparkSession, paths: list[str] | str, categories: list
     schema = raw_sales_schema(categories, time_col)
     reader = spark.read.schema(schema).option("header", True)
     if tolerant:
+        paths = existing_paths(spark, [paths] if isinstance(paths, str) else list(paths))
         reader = reader.option("mode", "PERMISSIVE").option("ignoreMissingFiles", True) \
                        .option("ignoreCorruptFiles", True)
     else:
@@ -43,6 +44,21 @@ def read_store_csv(spark: SparkSession, paths: list[str] | str, categories: list
               .withColumn("store_id", F.when(store != "", store.cast("int"))))
 
 
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Keep the paths that exist, checked through the Hadoop file system of each path
+    (works for local, HDFS and object-store URIs alike)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    keep = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            keep.append(p)
+        else:
+            print(f"skipping unreadable input {p}")
+    return keep
+
+
 def count_bad_timestamps(df: DataFrame, raw_col: str, parsed_col: str) -> DataFrame:
     """Number of values that did not parse."""
     return df.agg(F.count_if(F.col(raw_col).isNotNull() & F.col(parsed_col).isNull()).alias("bad_dates"))
