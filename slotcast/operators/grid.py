@@ -63,12 +63,15 @@ def grid_times(df: DataFrame, mode: str, ts: str = "datetime", slots: list[str]
 
 def dense_grid(df: DataFrame, mode: str, measures: list[str], keys: list[str] | None = None,
                start: str | None = None, end: str | None = None, ts: str = "datetime",
-               slots: list[str] | None = None, fill: float | int | None = 0) -> DataFrame:
+               slots: list[str] | None = None, fill: float | int | None = 0,
+               all_slots: bool = False) -> DataFrame:
     """Reindex ``df`` onto the grid; rows off the grid are dropped and missing
-    cells are filled with ``fill`` (Q6)."""
+    cells are filled with ``fill`` (Q6). ``all_slots`` uses the 96 slots of a day as the
+    time axis whatever the mode."""
     keys = keys if keys is not None else (["store_id"] if "store_id" in df.columns else [])
     dates = grid_dates(df, mode, start, end, ts)
-    cols = [F.col("date"), F.explode(grid_times(df, mode, ts, slots)).alias("_tmin")]
+    times = grid_times(df, "interval" if all_slots else mode, ts, slots)
+    cols = [F.col("date"), F.explode(times).alias("_tmin")]
     grid = dates.select(*cols)
     for k in keys:
         grid = grid.withColumn(k, F.explode(df.select(F.array_sort(F.collect_set(k))).scalar()))
@@ -85,12 +88,12 @@ def model_grid(df: DataFrame, measures: list[str], add_missing_intervals: bool =
                add_missing_days: bool = True, start: str = "2023-01-01", end: str = "2025-01-31",
                ts: str = "datetime") -> DataFrame:
     """the reference's order — 96-slot densify on observed dates first, then the day
-    or period densify with bounds."""
-    out = df
-    if add_missing_intervals:
-        out = dense_grid(out, "interval", measures, ts=ts).drop("date")
-    out = dense_grid(out, "day" if add_missing_days else "period", measures, start=start, end=end, ts=ts)
-    return out
+    or period densify with bounds. The composition is built as ONE grid and ONE join:
+    the second step's dates derive from the first step's dates (= observed dates) and
+    its time axis is the full day when the first step ran, so the intermediate grid
+    never has to be materialised."""
+    mode = "day" if add_missing_days else "period"
+    return dense_grid(df, mode, measures, start=start, end=end, ts=ts, all_slots=add_missing_intervals)
 
 
 def calendar_grid_fill(df: DataFrame, measures: list[str], start: str = "2023-01-01",

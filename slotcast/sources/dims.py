@@ -97,13 +97,17 @@ def semester_df(spark: SparkSession) -> DataFrame:
 def semester_wide(spark: SparkSession) -> DataFrame:
     """One row per year with ``<column>_<institution>`` boundary columns, so all four
     semester features need a single broadcast join instead of four."""
-    sem = semester_df(spark)
-    parts = None
-    for inst in INSTITUTIONS:
-        part = sem.where(F.col("institution") == inst).select(
-            "year", *[F.col(c).alias(f"{c}_{inst}") for c in SEMESTER_COLUMNS[2:]])
-        parts = part if parts is None else parts.join(part, "year", "full")
-    return parts
+    # joined here in Python: the result is a local relation, broadcast without any shuffle
+    by_year: dict[int, dict[str, str]] = {}
+    for row in SEMESTER_ROWS:
+        inst, year = row[0], row[1]
+        rec = by_year.setdefault(year, {})
+        for c, v in zip(SEMESTER_COLUMNS[2:], row[2:]):
+            rec[f"{c}_{inst}"] = v
+    cols = [f"{c}_{inst}" for inst in INSTITUTIONS for c in SEMESTER_COLUMNS[2:]]
+    rows = [(y, *[by_year[y].get(c) for c in cols]) for y in sorted(by_year)]
+    df = spark.createDataFrame(rows, "year int, " + ", ".join(f"{c} string" for c in cols))
+    return df.select("year", *[F.to_date(c).alias(c) for c in cols])
 
 
 def holiday_window_df(spark: SparkSession, variant: str = "A") -> DataFrame:
