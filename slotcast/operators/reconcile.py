@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import hierarchy as H
 
 METHODS = ["BU", "OLS", "SS", "VS", "MinTSa", "MinTSh"]
@@ -56,7 +57,8 @@ def reconcile_tree(base: DataFrame, weights: DataFrame, labels: list[str] = H.LA
     aggregated), ``series_id``, ``keys`` (default ``date``) and ``yhat``."""
     keys = keys or ["date"]
     k = len(labels)
-    b = base.join(weights, "series_id").withColumn("_d", H.node_depth(labels))
+    # the weighted input is read by every level of both passes: write it once
+    b = cut_lineage(base.join(weights, "series_id").withColumn("_d", H.node_depth(labels)))
     up = {k: b.where(F.col("_d") == k).select(*labels, *keys, F.col("yhat").alias("m"), F.col("w").alias("v"))}
     agg = {}
     for m in range(k - 1, -1, -1):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut a long lineage by writing the table as Parquet under the shared
+    ``spark.checkpoint.dir`` and reading it back: one computation (an RDD checkpoint would
+    compute the plan twice unless cached), compact columnar files, and the re-read gets
+    column pruning, filter pushdown and real size statistics for AQE. The files live on
+    the shared storage, so the result survives the loss of any executor."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/slotcast-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
