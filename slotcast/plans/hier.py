@@ -127,9 +127,28 @@ def residuals_long(spark, sf_dir):
     return res.withColumn("e", F.round("e", 6))
 
 
-def gram_and_index(spark, sf_dir):
-    b, _, res, hz = parts(spark, sf_dir)
-    nd = nodes(spark, sf_dir, b)
+class Context:
+    """Inputs shared by every reconciliation method of one query: base, residual dates,
+    residuals, horizon and nodes are computed (and written) once, the Gram table lazily."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.b, self.rd, self.res, self.hz = parts(spark, sf_dir)
+        self.nd = nodes(spark, sf_dir, self.b)
+        self._gram = None
+
+    def gram(self):
+        if self._gram is None:
+            self._gram = gram_and_index(self.spark, self.sf_dir, self)
+        return self._gram
+
+
+def gram_and_index(spark, sf_dir, ctx: "Context | None" = None):
+    if ctx is None:
+        b, _, res, hz = parts(spark, sf_dir)
+        nd = nodes(spark, sf_dir, b)
+    else:
+        res, hz, nd = ctx.res, ctx.hz, ctx.nd
     live = nd.join(res.select("series_id").distinct(), "series_id", "left_semi")
     # The Gram table and the series index are hierarchy-sized; writing them to the
     # checkpoint folder cuts the long lineage they are reused from (solve, lambda, apply).
@@ -183,19 +202,19 @@ def shrinkage_lambda(spark, sf_dir):
 
 # --- R1 / BU ---------------------------------------------------------------------------------------------
 
-def reconciled(spark, sf_dir, method: str):
+def reconciled(spark, sf_dir, method: str, ctx: Context | None = None):
     R.check_method(method)
+    ctx = ctx or Context(spark, sf_dir)
     if method in ("MinTSa", "MinTSh"):
-        gram, index, nd, res, hz = gram_and_index(spark, sf_dir)
+        gram, index, nd, res, hz = ctx.gram()
         edges = H.summing_edges(nd)
         lam = R.shrinkage_lambda(gram) if method == "MinTSh" else None
         coef = R.mint_coefficients(gram, index, edges, method, lam)
         return R.apply_coefficients(hz, coef, index)
-    b, _, res, hz = parts(spark, sf_dir)
     if method == "BU":
-        return R.reconcile_bu(hz)
-    w = R.diagonal_weights(method, nodes(spark, sf_dir, b), res)
-    return R.reconcile_tree(hz, w)
+        return R.reconcile_bu(ctx.hz)
+    w = R.diagonal_weights(method, ctx.nd, ctx.res)
+    return R.reconcile_tree(ctx.hz, w)
 
 
 def _out(df):
@@ -281,8 +300,9 @@ def _score(df, method):
 @query("recon_scores", "H19 A10 A11", _scores_sql())
 def recon_scores(spark, sf_dir):
     out = None
+    ctx = Context(spark, sf_dir)
     for m in R1_METHODS:
-        s = _score(reconciled(spark, sf_dir, m), m)
+        s = _score(reconciled(spark, sf_dir, m, ctx), m)
         out = s if out is None else out.unionByName(s)
     return out.select("method", "level", "mae_base", "mae_rec", "rmse_base", "rmse_rec")
 
@@ -291,8 +311,9 @@ def recon_scores(spark, sf_dir):
 def recon_method_compare(spark, sf_dir):
     """Per-date RMSE over all series (cross_score), averaged over dates, per method."""
     out = None
+    ctx = Context(spark, sf_dir)
     for m in R.METHODS:
-        r = reconciled(spark, sf_dir, m)
+        r = reconciled(spark, sf_dir, m, ctx)
         per_date = r.groupBy("date").agg(F.sqrt(F.avg(F.pow(F.col("yhat_rec") - F.col("y"), 2))).alias("rmse"),
                                          F.avg(F.abs(F.col("yhat_rec") - F.col("y"))).alias("mae"))
         s = per_date.agg(F.round(F.avg("rmse"), 6).alias("mean_rmse"), F.round(F.avg("mae"), 6).alias("mean_mae"),
