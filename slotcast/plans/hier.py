@@ -38,7 +38,7 @@ def parts(spark, sf_dir):
     # The base-forecast table is what a forecasting job would write once; reading it
     # back from the checkpoint folder keeps the reconciliation plans short.
     b = cut_lineage(base(spark, sf_dir))
-    rd = cut_lineage(splits.sample_dates(b, 0.5, SEED))
+    rd = splits.sample_dates(b, 0.5, SEED)      # distinct dates of the written base: cheap
     inres, hz = splits.split_by_dates(b, rd)
     res = inres.select("series_id", "date", (F.col("yhat") - F.col("y")).alias("e"))
     return b, rd, _drop_zero(res), hz
@@ -53,7 +53,7 @@ def nodes(spark, sf_dir, base_df=None):
     """Node table; from the (checkpointed) base table when given, so the reconciliation
     plans do not re-derive the hierarchy from the raw tables."""
     src = base_df if base_df is not None else levels(spark, sf_dir)
-    return cut_lineage(H.nodes(src)) if base_df is not None else H.nodes(src)
+    return H.nodes(src)
 
 
 # --- SQL side -------------------------------------------------------------------------------------
