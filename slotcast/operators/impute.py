@@ -27,7 +27,7 @@ from . import clean, learn
 KEYS = ["store_id", "datetime"]
 
 
-def _long_by_target(df: DataFrame, targets: list[str], role: F.Column | None = None) -> DataFrame:
+def _long_by_target(df: DataFrame, targets: list[str]) -> DataFrame:
     """Explode each row once per target (``target``, ``y``); bounded fan-out = #targets."""
     arr = F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias("y")) for t in targets])
     return df.select("*", F.explode(arr).alias("_t")).select("*", "_t.target", "_t.y").drop("_t")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..functions.timecols import add_time_columns, level_time_columns, slot_label, time_columns
+from ..functions.timecols import add_time_columns, level_time_columns, slot_label
 from ..operators import clean, explore, grid, rollup
 from ..sources import adapters, dims
 from . import sqlparts as S
