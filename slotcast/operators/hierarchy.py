@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 LABELS = ["store_id", "category"]
 OFFSETS = {0: 1.0, 1: 2.0, 3: 4.0}      # level-dependent offset of the test forecast
 LAG_DAYS = 7
@@ -142,5 +144,6 @@ def partial_gram(resid: DataFrame, index: DataFrame, date: str = "date", value:
                             "w_sum": acc_w[iu, ju], "q_sum": acc_q[iu, ju]})
         yield pd.DataFrame({"i": [-1], "j": [-1], "w_sum": [float(cnt)], "q_sum": [float(cnt)]})
 
+    ship_package(resid.sparkSession)
     parts = ncol.mapInPandas(gram, "i int, j int, w_sum double, q_sum double")
     return parts.groupBy("i", "j").agg(F.sum("w_sum").alias("w_sum"), F.sum("q_sum").alias("q_sum"))

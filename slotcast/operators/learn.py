@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 # --- sufficient statistics + per-group solve ----------------------------------------------------------
 
 
@@ -59,6 +61,7 @@ def normal_equations(df: DataFrame, groups: list[str], features: list[str], labe
         yield pd.DataFrame(rows, columns=groups + ["zz"])
 
     schema = T.StructType(gfields + [T.StructField("zz", T.ArrayType(T.DoubleType()))])
+    ship_package(df.sparkSession)
     parts = df.select(*groups, *features, label).mapInPandas(partial, schema)
     summed = (parts.select(*groups, F.posexplode("zz").alias("pos", "v"))
               .groupBy(*groups, "pos").agg(F.sum("v").alias("v")))
@@ -110,6 +113,7 @@ def solve_groups(stats: DataFrame, groups: list[str], features: list[str], ridge
             out.append([r[c] for c in groups] + [inter, beta.tolist()])
         return pd.DataFrame(out, columns=groups + ["intercept", "coef"])
 
+    ship_package(stats.sparkSession)
     return stats.select(*cols).groupBy(*groups).applyInPandas(solve, schema)
 
 

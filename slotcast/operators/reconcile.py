@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 from . import hierarchy as H
 
 METHODS = ["BU", "OLS", "SS", "VS", "MinTSa", "MinTSh"]
@@ -173,6 +173,7 @@ def mint_coefficients(gram: DataFrame, index: DataFrame, edges: DataFrame, metho
     rows = w_rows.unionByName(s_rows).select(
         F.lit(0).alias("tree_id"), "kind", "i", "j", "value", n.cast("int").alias("n"), t.alias("t"),
         lam_c.cast("double").alias("lam"), F.lit(method == "MinTSh").alias("shrink"))
+    ship_package(gram.sparkSession)
     return rows.groupBy("tree_id").applyInPandas(_solve_group, "bottom_idx int, idx int, g double")
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 
 def _w(series: list[str], order: str) -> Window:
     return Window.partitionBy(*series).orderBy(order)
@@ -58,4 +60,5 @@ def ema(df: DataFrame, value: str, series: list[str], order: str, span: float, o
         pdf[out] = vals.ewm(span=span, adjust=False, ignore_na=False).mean()
         return pdf[cols + [out]]
 
+    ship_package(df.sparkSession)
     return df.select(*cols).groupBy(*series).applyInPandas(run, schema)

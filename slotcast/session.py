@@ -62,6 +62,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``slotcast`` importable in the Python workers (pandas UDFs reference its
+    functions): zip the package once per application and ``addPyFile`` it, the same
+    thing ``--py-files`` does on a cluster. Spark distributes the file to executors."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    stage = tempfile.mkdtemp(prefix="slotcast-pyfiles-")
+    archive = shutil.make_archive(os.path.join(stage, "slotcast"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Cut a long lineage by writing the table as Parquet under the shared
     ``spark.checkpoint.dir`` and reading it back: one computation (an RDD checkpoint would
