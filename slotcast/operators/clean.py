@@ -164,11 +164,15 @@ def drop_zero_series(df: DataFrame, series: list[str], value: str) -> DataFrame:
 
 
 def winsorize(df: DataFrame, value: str, by: list[str] | None = None, lower: float = 1, upper: float = 99,
-              name: str | None = None) -> DataFrame:
+              name: str | None = None, approx_accuracy: int | None = None) -> DataFrame:
     """Clip to the [lower, upper] percentiles (exact, linear interpolation like
-    numpy). Bounds are one row per group, computed by a partial aggregation and joined."""
+    numpy). Bounds are one row per group, computed by a partial aggregation and joined.
+    ``approx_accuracy`` switches to ``percentile_approx`` (bounded sketch per group) for
+    columns with very many distinct values; the default stays exact."""
     by = by or []
-    pct = F.percentile(F.col(value), F.array(F.lit(lower / 100), F.lit(upper / 100)))
+    probs = F.array(F.lit(lower / 100), F.lit(upper / 100))
+    pct = (F.percentile(F.col(value), probs) if approx_accuracy is None
+           else F.percentile_approx(F.col(value), probs, approx_accuracy).cast("array<double>"))
     if by:
         out = df.join(df.groupBy(*by).agg(pct.alias("_b")), by, "left")
     else:  # global bounds: a scalar subquery, no join
