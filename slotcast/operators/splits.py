@@ -1,9 +1,9 @@
 """Train/test splits and folds.
 
 Folds are assigned by arithmetic on a date's rank or day number, and each row is
-exploded to the folds it belongs to with ``sequence`` (no joins, no pairs). Ranks are
-taken over the DISTINCT dates, a calendar-sized set (one row per day), which is the
-only place a single ordered pass is used.
+exploded to the folds it belongs to with ``sequence`` (no joins, no pairs). Ranks over
+the distinct dates are computed per bucket (month, or hash prefix) plus a prefix sum
+over the bucket counts, so no window runs over all rows in one task.
 """
 
 from __future__ import annotations
@@ -37,21 +37,38 @@ def date_split(df: DataFrame, date: str = "date", cv_end: str = "2024-12-31", te
     return df.withColumns({"in_cv": in_cv.cast("int"), "p14_role": p14, "p15_role": p15})
 
 
+def global_rank(df: DataFrame, order: list[str], bucket: Column) -> DataFrame:
+    """0-based rank of every row in the global ``order`` plus the row count ``n``, without
+    a single-partition window over the rows: ``bucket`` must be monotone in ``order``
+    (e.g. the month of a date); rows are ranked inside their bucket (window partitioned
+    by bucket) and offset by the number of rows in earlier buckets (a prefix sum over
+    the small per-bucket count table)."""
+    b = df.withColumn("_bucket", bucket)
+    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", "_c", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    # bucket -> offset map and n in ONE scalar subquery (a small job), so the ranked
+    # rows need no join
+    meta = offsets.select(F.struct(F.map_from_entries(F.collect_list(F.struct("_bucket", "_off"))).alias("m"),
+                                   F.sum("_c").alias("n"))).scalar()
+    inner = Window.partitionBy("_bucket").orderBy(*order)
+    ranked = b.withColumn("_r", F.row_number().over(inner) - 1).withColumn("_meta", meta)
+    return ranked.select(*df.columns, (F.element_at(F.col("_meta.m"), F.col("_bucket")) + F.col("_r")).alias("rank"),
+                         F.col("_meta.n").alias("n"))
+
+
 def ranked_dates(df: DataFrame, date: str = "date") -> DataFrame:
-    """Distinct dates with a 0-based rank and the total count n."""
+    """Distinct dates with a 0-based rank and the total count n (buckets = months)."""
     dates = df.select(date).distinct()
-    w = Window.orderBy(date)
-    return dates.select(date, (F.row_number().over(w) - 1).alias("rank"),
-                        F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
+    return global_rank(dates, [date], F.trunc(date, "month"))
 
 
 def sample_dates(df: DataFrame, ratio: float = 0.5, seed: int = 42, date: str = "date") -> DataFrame:
-    """Exactly floor(n * ratio) distinct dates, chosen by seeded hash order."""
+    """Exactly floor(n * ratio) distinct dates, chosen by seeded hash order (ties by
+    date). Buckets are the top bits of the 32-bit hash, so the rank is distributed."""
     dates = df.select(date).distinct().withColumn("_h", date_hash(date, seed))
-    w = Window.orderBy("_h", date)
-    ranked = dates.select(date, F.row_number().over(w).alias("_r"),
-                          F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
-    return ranked.where(F.col("_r") <= F.floor(F.col("_n") * F.lit(ratio))).select(date)
+    ranked = global_rank(dates, ["_h", date], F.shiftright(F.col("_h"), 22))
+    return ranked.where(F.col("rank") < F.floor(F.col("n") * F.lit(ratio))).select(date)
 
 
 def split_by_dates(df: DataFrame, dates: DataFrame, date: str = "date") -> tuple[DataFrame, DataFrame]:

@@ -38,7 +38,7 @@ def parts(spark, sf_dir):
     # The base-forecast table is what a forecasting job would write once; reading it
     # back from the checkpoint folder keeps the reconciliation plans short.
     b = cut_lineage(base(spark, sf_dir))
-    rd = splits.sample_dates(b, 0.5, SEED)      # distinct dates of the written base: cheap
+    rd = cut_lineage(splits.sample_dates(b, 0.5, SEED))   # used by both split sides: rank once
     inres, hz = splits.split_by_dates(b, rd)
     res = inres.select("series_id", "date", (F.col("yhat") - F.col("y")).alias("e"))
     return b, rd, _drop_zero(res), hz
