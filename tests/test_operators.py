@@ -282,3 +282,13 @@ def test_single_child_parent_is_not_bottom(spark):
 def test_method_enum():
     with pytest.raises(ValueError):
         R.check_method("MintSh")
+
+
+def test_global_rank_matches_row_number(spark):
+    rng = np.random.default_rng(2)
+    days = sorted({int(x) for x in rng.integers(0, 3000, size=700)})
+    df = spark.createDataFrame([(D("2000-01-01") + dt.timedelta(days=d),) for d in days], "date date")
+    r = splits.ranked_dates(df).toPandas().sort_values("date")
+    assert list(r["rank"]) == list(range(len(days))) and (r["n"] == len(days)).all()
+    s = splits.sample_dates(df, 0.5, 7).count()
+    assert s == len(days) // 2
