@@ -292,3 +292,39 @@ def test_global_rank_matches_row_number(spark):
     assert list(r["rank"]) == list(range(len(days))) and (r["n"] == len(days)).all()
     s = splits.sample_dates(df, 0.5, 7).count()
     assert s == len(days) // 2
+
+
+def test_impute_variant_a_matches_pandas(spark):
+    """M1/M3 on the sf0.001 fixture against a pandas + numpy lstsq re-computation."""
+    from conftest import SMALL
+    from slotcast.operators import impute
+    from slotcast.plans import slots as SL
+
+    fx = SL.fixture(spark, SMALL)
+    got = impute.impute_variant_a(fx, dims.LATE_CATEGORIES, k=7).toPandas()
+    pdf = fx.toPandas()
+    late = dims.LATE_CATEGORIES
+    cand = [c for c in dims.CATEGORIES if c not in late]
+    expect = pdf.copy()
+    for (store, t), g in [((s, t), pdf[pdf.store_id == s]) for s in sorted(pdf.store_id.unique()) for t in late]:
+        nz = g[g[t] != 0]
+        if nz.empty:
+            continue
+        cut = nz.datetime.min()
+        after = g[g.datetime >= cut].copy()
+        after["OTHER"] = after["OTHER"] + after[late].sum(axis=1)
+        corr = {c: after[t].corr(after[c]) for c in cand if after[c].std() > 0}
+        top = sorted(corr, key=lambda c: (-corr[c], c))[:7]
+        X = np.column_stack([np.ones(len(after))] + [after[c].to_numpy(float) for c in top])
+        beta, *_ = np.linalg.lstsq(X, after[t].to_numpy(float), rcond=None)
+        before = g[g.datetime < cut]
+        Xb = np.column_stack([np.ones(len(before))] + [before[c].to_numpy(float) for c in top])
+        pred = np.maximum(np.rint(Xb @ beta), 0)
+        expect.loc[before.index, t] = pred
+    key = ["store_id", "datetime"]
+    m = expect.merge(got, on=key, suffixes=("_exp", "_got"))
+    assert len(m) == len(got) == len(pdf)
+    for t in late:
+        assert (m[f"{t}_exp"].astype(int) == m[f"{t}_got"].astype(int)).all()
+    assert (got[dims.TOTAL] == got[dims.CATEGORIES].sum(axis=1)).all()      # P4
+    assert (got[late] >= 0).all().all()
