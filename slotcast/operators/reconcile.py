@@ -108,12 +108,14 @@ def reconcile_bu(base: DataFrame, labels: list[str] = H.LABELS, keys: list[str]
 # --- R2: dense weights ----------------------------------------------------------------------------
 
 def series_index(nodes_df: DataFrame) -> DataFrame:
-    """Integer index per node (hierarchy-sized table, ordered by series_id)."""
+    """Contiguous integer index per node, ordered by series_id. The node table has one
+    row per series of the hierarchy (31 here, a few thousand for large hierarchies), so
+    a plain ordered window is the cheapest correct plan; the dense MinT solve needs the
+    whole hierarchy in one group anyway."""
     from pyspark.sql import Window
     w = Window.orderBy("series_id")
     return nodes_df.select("series_id", "gid", (F.row_number().over(w) - 1).cast("int").alias("idx"))
 
-
 def shrinkage_lambda(gram: DataFrame) -> DataFrame:
     """H17 from the aggregated Gram table: one row ``(lambda, n_dates)``.
     w_ij = sum e_i e_j / T, r_ij = w_ij / sqrt(w_ii w_jj), q_ij = sum e_i^2 e_j^2,
