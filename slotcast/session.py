@@ -50,15 +50,19 @@ def get_session(master: str | None = None, app: str = "slotcast",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests)
     fall back to a fresh scratch folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the conf is all there is
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None and hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="slotcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
@@ -69,8 +73,11 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``slotcast`` importable in the Python workers (pandas UDFs reference its
     functions): zip the package once per application and ``addPyFile`` it, the same
     thing ``--py-files`` does on a cluster. Spark distributes the file to executors."""
-    sc = spark.sparkContext
-    key = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # Spark Connect
+        sc, key = None, f"connect-{id(spark)}"
     if key in _SHIPPED:
         return
     import shutil
@@ -78,7 +85,10 @@ def ship_package(spark: SparkSession) -> None:
     stage = tempfile.mkdtemp(prefix="slotcast-pyfiles-")
     archive = shutil.make_archive(os.path.join(stage, "slotcast"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
-    sc.addPyFile(archive)
+    if sc is not None:
+        sc.addPyFile(archive)
+    else:
+        spark.addArtifacts(archive, pyfile=True)
     _SHIPPED.add(key)
 
 
