@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import token_count
+from slotcast.llm import language_id, quality, token_count
+from slotcast.llm.common import crc_fold
 from slotcast.sources.tables import read_table
 
 QUERIES = {}
@@ -17,7 +18,33 @@ def query(fn):
     return fn
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def held_out(parts: int, fold: int):
+    return F.coalesce(crc_fold(F.col("doc_id"), parts) == fold, F.lit(False)).alias("held_out")
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    dictionaries = language_id.train_dictionaries(docs, crc_fold(F.col("doc_id"), 4) != 2)
+    found = language_id.identify(docs, dictionaries)
+    return found.select("doc_id", held_out(4, 2), "lang_pred", "score",
+                        "margin", "accepted")
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"), crc_fold(F.col("doc_id"), 3) != 1)
+    scored = quality.classify(docs, model)
+    return scored.select("doc_id", held_out(3, 1), "score", "predicted")
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = documents(spark, sf_dir)
     return token_count.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
