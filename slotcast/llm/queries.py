@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import language_id, quality, token_count
+from slotcast.llm import language_id, mixing, quality, sharding, token_count
 from slotcast.llm.common import crc_fold
 from slotcast.sources.tables import read_table
 
@@ -27,6 +27,37 @@ def held_out(parts: int, fold: int):
     return F.coalesce(crc_fold(F.col("doc_id"), parts) == fold, F.lit(False)).alias("held_out")
 
 
+SHARD_BYTES = 1 << 20
+
+
+@query
+def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.assign(documents(spark, sf_dir), SHARD_BYTES)
+    shards = rows.groupBy("shard_depth", "shard_prefix").agg(
+        F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_rows"))
+    return rows.drop("key_hash").join(shards, ["shard_depth", "shard_prefix"])
+
+
+ORACLES["op1_extendible_shards"] = sharding.oracle(SHARD_BYTES)
+
+MIX_WEIGHTS = {"domain": {"family0": 4, "family1": 3, "family2": 2, "family3": 1},
+               "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
+MIX_SHARE = (3, 5)      # the budget is three fifths of the corpus's tokens
+MIX_EPOCHS = 2
+MIX_SEED = 7
+
+
+@query
+def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    num, den = MIX_SHARE
+    return mixing.mix(docs, mixing.source_family(docs["source"]), docs["lang"], docs["source"], MIX_WEIGHTS,
+                      F.floor(F.col("tokens") * num / den), MIX_EPOCHS, MIX_SEED)
+
+
+ORACLES["op8_mixture"] = mixing.oracle(MIX_WEIGHTS, *MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
