@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import language_id, mixing, quality, sharding, token_count
+from slotcast.llm import decontaminate, language_id, mixing, quality, sharding, token_count
 from slotcast.llm.common import crc_fold
 from slotcast.sources.tables import read_table
 
@@ -58,6 +58,11 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_mixture"] = mixing.oracle(MIX_WEIGHTS, *MIX_SHARE, MIX_EPOCHS, MIX_SEED)
 
 
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contaminated(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
