@@ -69,3 +69,32 @@ def crc_fold(id_col: Column, parts: int) -> Column:
 def id_field(df: DataFrame, name: str):
     """The input's own field of the id column, for output schemas."""
     return df.schema[name]
+
+
+def size_checked(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """A written table as the small side of a join: marked for broadcast only when its counted
+    rows are within ``max_rows``; a larger one stays a plain (shuffled, skew-splitting) join."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def text_runs(texts: list, limit: int = 4_000_000):
+    """Index ranges of consecutive texts of about ``limit`` characters together."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t) if t is not None else 0
+        if size >= limit or i == len(texts) - 1:
+            yield start, i + 1
+            start, size = i + 1, 0
+
+
+def hashed_words(texts: list, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a run of texts, and the bounds of each text's words (len(texts) + 1).
+    Null texts have no words. ``lower`` folds A-Z only."""
+    raw = [b"" if t is None else t.encode("utf-8", "replace") for t in texts]
+    sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+    buf = np.frombuffer(b" ".join(raw), dtype=np.uint8)
+    if lower:
+        buf = np.where((buf >= 65) & (buf <= 90), buf + 32, buf).astype(np.uint8)
+    starts, ends = word_spans(buf)
+    edges = np.concatenate((np.cumsum(sizes + 1) - sizes - 1, [len(buf) + 1]))
+    return word_hashes(buf, starts, ends), np.searchsorted(starts, edges)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import decontaminate, language_id, mixing, quality, sharding, token_count
+from slotcast.llm import decontaminate, language_id, mixing, near_dedup, quality, sharding, token_count
 from slotcast.llm.common import crc_fold
 from slotcast.sources.tables import read_table
 
@@ -40,6 +40,11 @@ def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op1_extendible_shards"] = sharding.oracle(SHARD_BYTES)
 
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), size=5, percent=85)
+
+
 MIX_WEIGHTS = {"domain": {"family0": 4, "family1": 3, "family2": 2, "family3": 1},
                "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
 MIX_SHARE = (3, 5)      # the budget is three fifths of the corpus's tokens
