@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import decontaminate, language_id, mixing, near_dedup, quality, sharding, token_count
+from slotcast.llm import ann, decontaminate, language_id, mixing, near_dedup, quality, sharding, token_count
 from slotcast.llm.common import crc_fold
 from slotcast.sources.tables import read_table
 
@@ -63,6 +63,12 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_mixture"] = mixing.oracle(MIX_WEIGHTS, *MIX_SHARE, MIX_EPOCHS, MIX_SEED)
 
 
+@query
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    return ann.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contaminated(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
