@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import ann, decontaminate, language_id, mixing, near_dedup, quality, sharding, token_count
+from slotcast.llm import ann, decontaminate, language_id, license_scan, mixing, near_dedup, quality, sharding, token_count
 from slotcast.llm.common import crc_fold
 from slotcast.sources.tables import read_table
 
@@ -69,6 +69,11 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(vectors, F.col("vec_id") % 20 == 0, k=20)
 
 
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contaminated(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
