@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from slotcast.session import ensure_checkpoint_dir
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Words are maximal runs of bytes other than ASCII white space (0x20, 0x09-0x0D).
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 SPACE_BYTES = np.zeros(256, dtype=bool)
@@ -90,11 +95,31 @@ def text_runs(texts: list, limit: int = 4_000_000):
 def hashed_words(texts: list, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of a run of texts, and the bounds of each text's words (len(texts) + 1).
     Null texts have no words. ``lower`` folds A-Z only."""
-    raw = [b"" if t is None else t.encode("utf-8", "replace") for t in texts]
+    return hashed_bytes([b"" if t is None else t.encode("utf-8", "replace") for t in texts], lower)[:2]
+
+
+def hashed_bytes(raw: list, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Word hashes of a run of UTF-8 texts, the bounds of each text's words (len(raw) + 1), the byte
+    spans of the words in the joined run, and that run."""
     sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
-    buf = np.frombuffer(b" ".join(raw), dtype=np.uint8)
+    joined = b" ".join(raw)
+    buf = np.frombuffer(joined, dtype=np.uint8)
     if lower:
         buf = np.where((buf >= 65) & (buf <= 90), buf + 32, buf).astype(np.uint8)
     starts, ends = word_spans(buf)
     edges = np.concatenate((np.cumsum(sizes + 1) - sizes - 1, [len(buf) + 1]))
-    return word_hashes(buf, starts, ends), np.searchsorted(starts, edges)
+    return word_hashes(buf, starts, ends), np.searchsorted(starts, edges), starts, ends, joined
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` for big intermediates: compact files, and the shuffles of the write are removed
+    from the executors' disks when it ends (the written table no longer needs them)."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/slotcast-tables/{uuid.uuid4().hex}"
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.parquet(path)

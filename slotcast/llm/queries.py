@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import ann, decontaminate, language_id, license_scan, mixing, near_dedup, quality, sharding, token_count
+from slotcast.llm import ann, decontaminate, language_id, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, token_count
 from slotcast.llm.common import crc_fold
 from slotcast.sources.tables import read_table
 
@@ -40,6 +40,12 @@ def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op1_extendible_shards"] = sharding.oracle(SHARD_BYTES)
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(documents(spark, sf_dir), words=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), size=5, percent=85)
