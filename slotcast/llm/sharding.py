@@ -48,10 +48,11 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
                  .groupBy("d", F.expr(f"shiftright(__fine, {top} - d)").alias("p"))
                  .agg(F.sum("b").alias("b"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
         fits = nodes.where((F.col("b") <= limit) | (F.col("lo") == F.col("hi"))).select("d", "p")
-        # the shallowest fitting prefix of every fine bucket; none: still to be split
-        chosen = (fine.select("__fine", F.explode(F.sequence(F.lit(depth), F.lit(top))).alias("d"))
-                  .withColumn("p", F.expr(f"shiftright(__fine, {top} - d)"))
-                  .join(fits, ["d", "p"]).groupBy("__fine").agg(F.min("d").alias("shard_depth")))
+        # a shard fits and its parent does not; it stands for all fine prefixes below it
+        parents = fits.select((F.col("d") + 1).alias("d"), F.explode(F.array(F.col("p") * 2, F.col("p") * 2 + 1)).alias("p"))
+        chosen = fits.join(parents, ["d", "p"], "left_anti").select(
+            F.col("d").alias("shard_depth"),
+            F.explode(F.expr(f"sequence(shiftleft(p, {top} - d), shiftleft(p + 1, {top} - d) - 1)")).alias("__fine"))
         marked = cut_lineage(
             pending.withColumn("__fine", F.shiftright("__h", BITS - top)).join(chosen, "__fine", "left").drop("__fine"))
         settled.append(marked.where("shard_depth is not null"))
