@@ -7,9 +7,10 @@
 3. Pairs are compared signature batch by batch. After each batch a pair is dropped when the posterior
    probability (uniform prior) that its similarity reaches the threshold is below ``MISS``.
 4. Survivors are confirmed on their full sets; confirmed links give components.
-5. A bucket that still holds several components pairs the nodes outside its largest component with
-   the nodes of other components, and steps 3 and 4 decide those pairs too. So every pair of a
-   bucket is either decided or already connected, and no pairs within a component are made.
+5. In a bucket that still holds several components, the nodes outside the largest one meet the whole
+   bucket in tiles of bounded size; steps 3 and 4 decide their pairs inside the tile, most alike
+   first, and a pair whose components have met is skipped. So every pair of a bucket is either decided or
+   connected, pairs are never written out, and a tile returns at most one link per node.
 
 A pair of similarity 0.85 shares no band with probability (1 - 0.85^5)^18 = 2.6e-5.
 
@@ -30,16 +31,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from slotcast.llm.common import gram_hashes, hashed_words, size_checked, text_runs
+from slotcast.llm.common import gram_hashes, hashed_words, size_checked, text_runs, written
 from slotcast.llm.components import components
 from slotcast.llm.sharding import key_text
-from slotcast.session import cut_lineage, ship_package
+from slotcast.session import ship_package
 
 HASHES = 128
 ROWS = 5
 BANDS = 18
 BATCH = 16
 MISS = 1e-6
+TILE = 512
 _MULTIPLIERS = np.random.default_rng(77).integers(1 << 62, (1 << 64) - 1, HASHES, dtype=np.uint64) | np.uint64(1)
 
 
@@ -75,12 +77,15 @@ def least_matches(threshold: float, miss: float) -> list[int]:
     return out
 
 
-def surviving(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
-    """Rows of two signature matrices that no batch abandons."""
-    alive, equal = np.arange(len(a)), np.zeros(len(a), dtype=np.int64)
-    for i, m in enumerate(least):
-        part = slice(i * BATCH, (i + 1) * BATCH)
-        equal[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
+def surviving(a: np.ndarray, b: np.ndarray, least: list[int], i: np.ndarray | None = None,
+              j: np.ndarray | None = None) -> np.ndarray:
+    """Which of the pairs (row i of a, row j of b; by default row by row) no batch abandons."""
+    i = np.arange(len(a)) if i is None else i
+    j = i if j is None else j
+    alive, equal = np.arange(len(i)), np.zeros(len(i), dtype=np.int64)
+    for k, m in enumerate(least):
+        part = slice(k * BATCH, (k + 1) * BATCH)
+        equal[alive] += (a[i[alive], part] == b[j[alive], part]).sum(axis=1)
         alive = alive[equal[alive] >= m]
     return alive
 
@@ -108,7 +113,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
     schema = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("id", docs.schema[id_col].dataType),
                            T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()),
                            T.StructField("sig", T.BinaryType())])
-    return cut_lineage(rows.mapInPandas(run, schema))
+    return written(rows.mapInPandas(run, schema))
 
 
 def bucket_members(rows: DataFrame) -> DataFrame:
@@ -120,48 +125,124 @@ def bucket_members(rows: DataFrame) -> DataFrame:
         .alias("bucket"), "node", F.xxhash64("node").alias("k"))
     several = (bands.groupBy("bucket").agg(F.min("k").alias("lead"), F.max("k").alias("last"))
                .where("lead <> last").select("bucket", "lead"))
-    return cut_lineage(bands.join(several, "bucket").distinct())
+    return written(bands.join(several, "bucket").distinct())
 
 
-def verified_links(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int,
-                   percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets meet the threshold, by sequential tests and then exactly."""
-    least = least_matches(percent / 100, MISS)
-
-    def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                one, two = (np.frombuffer(b"".join(f[c]), dtype="<u4").reshape(len(f), HASHES) for c in ("sig_a", "sig_b"))
-                yield f.iloc[surviving(one, two, least)][["a", "b"]]
-
-    side = lambda x: sigs.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
-    compared = (pairs.join(side("b"), "b").join(side("a"), "a")
-                .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b", "sig_a", "sig_b"))
-    survivors = cut_lineage(compared.mapInPandas(test, "a binary, b binary"))
-    needed = cut_lineage(survivors.select(F.col("a").alias("node")).union(survivors.select("b")).distinct()
-                         .join(sigs.select("node", "key"), "node"))
+def full_sets(rows: DataFrame, members: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """Written table (node, n, sig, shingles) of the bucket members: one text of each node is read again."""
+    nodes = written(members.select("node").distinct())
+    needed = written(rows.join(size_checked(nodes), "node").groupBy("node").agg(
+        F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("key").alias("key")))
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             texts = list(f["text"])
             for a, b in text_runs(texts):
-                yield pd.DataFrame({"node": f["node"].iloc[a:b].to_numpy(),
+                yield pd.DataFrame({"key": f["key"].iloc[a:b].to_numpy(),
                                     "shingles": [s.tobytes() for s in shingle_sets(texts[a:b], size)]})
 
     wanted = (docs.select(F.unhex(key_text(docs[id_col], docs[text_col])).alias("key"),
                           docs[text_col].cast("string").alias("text"))
-              .join(size_checked(needed), "key").dropDuplicates(["key"]).select("node", "text"))
-    full = cut_lineage(wanted.mapInPandas(sets, "node binary, shingles binary"))
+              .join(size_checked(needed.select("key")), "key").dropDuplicates(["key"]))
+    return written(wanted.mapInPandas(sets, "key binary, shingles binary").join(needed, "key")
+                   .select("node", "n", "sig", "shingles"))
+
+
+def _side(sets: DataFrame, x: str, value: str) -> DataFrame:
+    return sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col(value).alias(f"v_{x}"))
+
+
+def verified_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets meet the threshold, by sequential tests and then exactly."""
+    least = least_matches(percent / 100, MISS)
+
+    def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                one, two = (signatures(f[c]) for c in ("v_a", "v_b"))
+                yield f.iloc[surviving(one, two, least)][["a", "b"]]
 
     def confirm(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                  for x, y in zip(f["set_a"], f["set_b"])]
+                  for x, y in zip(f["v_a"], f["v_b"])]
             yield f.loc[ok, ["a", "b"]]
 
-    own = lambda x: full.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}"))
-    both = survivors.join(own("b"), "b").join(own("a"), "a").select("a", "b", "set_a", "set_b")
-    return cut_lineage(both.mapInPandas(confirm, "a binary, b binary"))
+    def both(p: DataFrame, value: str) -> DataFrame:
+        return p.join(_side(sets, "b", value), "b").join(_side(sets, "a", value), "a").where(
+            f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b", "v_a", "v_b")
+
+    survivors = written(both(pairs, "sig").mapInPandas(test, "a binary, b binary"))
+    return written(both(survivors, "shingles").mapInPandas(confirm, "a binary, b binary"))
+
+
+def signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype="<u4").reshape(len(column), HASHES)
+
+
+def closing_links(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components that still share a bucket. The nodes outside a bucket's largest
+    component meet the bucket in tiles of about ``TILE`` x ``TILE`` nodes. A tile tests its pairs on
+    signatures, then on full sets, most alike first, and joins components as it goes; it returns only
+    links that joined two, so at most one per node."""
+    placed = written(members.select("bucket", "node").join(size_checked(roots), "node", "left")
+                     .select("bucket", "node", F.coalesce("root", "node").alias("root")))
+    sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+    tiles = (sizes.groupBy("bucket").agg(F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all"))
+             .where("m.c < all").select("bucket", F.col("m.root").alias("main"), F.ceil((F.col("all") - F.col("m.c")) / TILE).alias("rows"),
+                                        F.ceil(F.col("all") / TILE).alias("cols")))
+    open_ = written(placed.join(tiles, "bucket").join(_side(sets, "node", "sig").withColumnRenamed("v_node", "sig"), "node")
+                    .join(sets.select("node", "shingles"), "node"))
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    columns = ["node", "root", "n_node", "sig", "shingles"]
+    others = open_.where("root <> main").withColumn("r", place("rows")).withColumn("c", every("cols"))
+    bucket = open_.withColumn("c", place("cols")).withColumn("r", every("rows"))
+    least = least_matches(percent / 100, MISS)
+
+    def meet(f: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        if len(f) and len(g):
+            one, two = signatures(f["sig"]), signatures(g["sig"])
+            rf, rg, main = f["root"].to_numpy(), g["root"].to_numpy(), f["main"].iloc[0]
+            nf, ng = f["n_node"].to_numpy(), g["n_node"].to_numpy()
+            # two outside components meet once, by their order; the main one meets each of them
+            wanted = np.array([[y == main or x < y for y in rg] for x in rf])
+            wanted &= 100 * np.minimum(nf[:, None], ng) >= percent * np.maximum(nf[:, None], ng)
+            i, j = np.nonzero(wanted)
+            alive = surviving(one, two, least, i, j)
+            i, j = i[alive], j[alive]
+            order = np.argsort(-(one[i] == two[j]).sum(axis=1), kind="stable")
+            above: dict = {}
+
+            def find(x):
+                while x in above:
+                    x = above[x]
+                return x
+
+            own: dict = {}
+
+            def shingles(node, packed):
+                if node not in own:
+                    own[node] = frozenset(np.frombuffer(packed, np.uint64).tolist())
+                return own[node]
+
+            node_f, node_g = f["node"].to_numpy(), g["node"].to_numpy()
+            set_f, set_g = f["shingles"].to_numpy(), g["shingles"].to_numpy()
+            for x, y in zip(i[order].tolist(), j[order].tolist()):
+                a, b = find(rf[x]), find(rg[y])
+                if a != b:
+                    p, q = shingles(node_f[x], set_f[x]), shingles(node_g[y], set_g[y])
+                    shared = len(p & q)
+                    if 100 * shared >= percent * (len(p) + len(q) - shared):
+                        above[b] = a
+                        out.append((node_f[x], node_g[y]))
+        return pd.DataFrame({"a": pd.Series([o[0] for o in out], dtype=object),
+                             "b": pd.Series([o[1] for o in out], dtype=object)})
+
+    keys = ["bucket", "r", "c"]
+    return written(others.select(*keys, "main", *columns).groupBy(*keys).cogroup(
+        bucket.select(*keys, *columns).groupBy(*keys)).applyInPandas(meet, "a binary, b binary").distinct())
 
 
 def groups(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
@@ -169,35 +250,17 @@ def groups(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int)
     ship_package(docs.sparkSession)
     rows = describe(docs, id_col, text_col, size)
     members = bucket_members(rows)
-    candidates = cut_lineage(members.select("node").distinct())
-    sigs = cut_lineage(rows.join(size_checked(candidates), "node").groupBy("node").agg(
-        F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("key").alias("key")))
-
+    sets = full_sets(rows, members, docs, id_col, text_col, size)
     leaders = members.where("k = lead").select("bucket", F.col("node").alias("a"))
-    pairs = cut_lineage(members.where("k <> lead").join(leaders, "bucket")
-                        .select("a", F.col("node").alias("b")).distinct())
-    links = verified_links(pairs, sigs, docs, id_col, text_col, size, percent)
-    roots = cut_lineage(components(links))
-
-    # buckets that still hold several components: their other nodes meet the rest of the bucket
-    placed = cut_lineage(members.select("bucket", "node").join(roots, "node", "left")
-                         .select("bucket", "node", F.coalesce("root", "node").alias("root")))
-    sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("c"))
-    largest = (sizes.groupBy("bucket").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("parts"))
-               .where("parts > 1").select("bucket", F.col("m.root").alias("main")))
-    open_ = cut_lineage(placed.join(largest, "bucket"))
-    others = open_.where("root <> main").select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"))
-    # two outside nodes meet once, by the order of their components; the main one meets each of them
-    meet = others.join(open_, "bucket").where("rx <> root and (root = main or rx < root)")
-    more = (meet.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-            .join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    more = cut_lineage(more)
+    pairs = written(members.where("k <> lead").join(leaders, "bucket")
+                    .select("a", F.col("node").alias("b")).distinct())
+    links = verified_links(pairs, sets, percent)
+    roots = written(components(links))
+    more = closing_links(members, roots, sets, percent)
     if not more.isEmpty():
-        extra = verified_links(more, sigs, docs, id_col, text_col, size, percent)
-        if not extra.isEmpty():
-            roots = cut_lineage(components(links.unionByName(extra)))
-    return cut_lineage(rows.select("key", "id", "n", "node").join(size_checked(roots), "node", "left")
-                       .select("key", "id", "n", F.coalesce("root", "node").alias("root")))
+        roots = written(components(links.unionByName(more)))
+    return written(rows.select("key", "id", "n", "node").join(size_checked(roots), "node", "left")
+                   .select("key", "id", "n", F.coalesce("root", "node").alias("root")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
@@ -223,7 +286,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     lost = rows.join(best, "root").where("key <> keep").select("key").distinct().withColumn("times", F.lit(0))
     again = rows.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
     # decisions only for the rows that something happens to: 0 dropped, else that many equal rows
-    marks = cut_lineage(lost.unionByName(again).groupBy("key").agg(F.min("times").alias("times"))
+    marks = written(lost.unionByName(again).groupBy("key").agg(F.min("times").alias("times"))
                         .select(F.col("key").alias("__key"), F.col("times").alias("__times")))
     wide = docs.withColumn("__key", F.unhex(key_text(docs[id_col], docs[text_col]))).join(
         size_checked(marks), "__key", "left")

@@ -60,7 +60,8 @@ def test_query_equals_all_pairs(spark):
     check(queries.op7_near_duplicates(spark, MID).collect(), docs, 85)
 
 
-def test_chains_and_near_misses(spark):
+def test_chains_and_near_misses(spark, monkeypatch):
+    monkeypatch.setattr(nd, "TILE", 7)
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(3000)]
     docs = []
