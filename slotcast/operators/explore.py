@@ -59,9 +59,16 @@ def weekday_daily_total(df: DataFrame, categories: list[str], ts: str = "datetim
 
 def correlation_long(df: DataFrame, columns: list[str], by=("store_id",)) -> DataFrame:
     """Pearson correlation of every column pair, one aggregation, long output
-    ``(by..., col_a, col_b, corr)``."""
+    ``(by..., col_a, col_b, corr)``; null where a column does not vary."""
     pairs = [(a, b) for a in columns for b in columns]
-    agg = df.groupBy(*by).agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    sums = df.groupBy(*by).agg(*[F.covar_pop(a, b).alias(f"{a}__{b}") for a, b in pairs],
+                               *[F.stddev_pop(c).alias(f"_sd_{c}") for c in columns])
+
+    def corr(a: str, b: str):
+        sd = F.col(f"_sd_{a}") * F.col(f"_sd_{b}")
+        return F.when(sd > 0, F.col(f"{a}__{b}") / sd).alias(f"{a}__{b}")
+
+    agg = sums.select(*by, *[corr(a, b) for a, b in pairs])
     long = agg.unpivot(list(by), [f"{a}__{b}" for a, b in pairs], "_pair", "corr")
     parts = F.split("_pair", "__")
     return long.select(*by, parts[0].alias("col_a"), parts[1].alias("col_b"), F.round("corr", 6).alias("corr"))

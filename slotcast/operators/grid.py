@@ -14,40 +14,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import minute_of_day
+from ..session import cut_lineage
 from ..sources import dims
 
 SLOTS_PER_DAY = 96
 
 
-def _dates_between(spark, start: str, end: str) -> DataFrame:
-    return spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("date"))
-
-
 def observed_dates(df: DataFrame, ts: str = "datetime") -> DataFrame:
     return df.select(F.to_date(ts).alias("date")).distinct()
 
 
+def date_bounds(df: DataFrame, start: str | None, end: str | None, pad_days: int, cover: bool, ts: str) -> DataFrame:
+    """One row (d0, d1, s, e): first and last observed day, and the bounds of the date axis. A missing
+    bound is the data's own, moved out by ``pad_days``; ``cover`` widens a given one to hold the data."""
+    s, e = F.date_sub("d0", pad_days), F.date_add("d1", pad_days)
+    if start is not None:
+        given = F.lit(start).cast("date")
+        s = F.least(given, "d0") if cover else given
+    if end is not None:
+        given = F.lit(end).cast("date")
+        e = F.greatest(given, "d1") if cover else given
+    return df.agg(F.min(F.to_date(ts)).alias("d0"), F.max(F.to_date(ts)).alias("d1")).select(
+        "d0", "d1", s.alias("s"), e.alias("e"))
+
+
 def grid_dates(df: DataFrame, mode: str, start: str | None = None, end: str | None = None,
-               ts: str = "datetime") -> DataFrame:
-    """Date axis per mode: ``interval`` observed; ``day`` every day start..end;
-    ``period`` observed dates in [start, end] plus every day before the first and after
+               ts: str = "datetime", pad_days: int = 0, cover: bool = False) -> DataFrame:
+    """Date axis per mode: ``interval`` observed; ``day`` every day between the bounds;
+    ``period`` observed dates inside the bounds plus every day before the first and after
     the last observation up to the bounds (inner gaps stay)."""
-    spark = df.sparkSession
     if mode in ("interval", "observed"):
         return observed_dates(df, ts)
+    bounds = date_bounds(df, start, end, pad_days, cover, ts)
     if mode == "day":
-        return _dates_between(spark, start, end)
+        return bounds.where("s <= e").select(F.explode(F.sequence("s", "e")).alias("date"))
     if mode == "period":
+        before = bounds.where("d0 > s").select(F.explode(F.sequence("s", F.date_sub("d0", 1))).alias("date"))
+        after = bounds.where("d1 < e").select(F.explode(F.sequence(F.date_add("d1", 1), "e")).alias("date"))
         obs = observed_dates(df, ts)
-        s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
-        inside = obs.where(F.col("date").between(s, e))
-        bounds = obs.agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
-        before = bounds.where(F.col("d0") > s).select(
-            F.explode(F.sequence(s, F.date_sub("d0", 1))).alias("date"))
-        after = bounds.where(F.col("d1") < e).select(
-            F.explode(F.sequence(F.date_add("d1", 1), e)).alias("date"))
-        return inside.unionByName(before).unionByName(after).distinct()
+        if start is not None or end is not None:
+            span = bounds.select(F.struct("s", "e")).scalar()
+            obs = obs.where(F.col("date").between(span["s"], span["e"]))
+        return obs.unionByName(before).unionByName(after).distinct()
     raise ValueError(f"unknown grid mode {mode!r}")
 
 
@@ -64,12 +72,16 @@ def grid_times(df: DataFrame, mode: str, ts: str = "datetime", slots: list[str]
 def dense_grid(df: DataFrame, mode: str, measures: list[str], keys: list[str] | None = None,
                start: str | None = None, end: str | None = None, ts: str = "datetime",
                slots: list[str] | None = None, fill: float | int | None = 0,
-               all_slots: bool = False) -> DataFrame:
+               all_slots: bool = False, pad_days: int = 0, cover: bool = False) -> DataFrame:
     """Reindex ``df`` onto the grid; rows off the grid are dropped and missing
     cells are filled with ``fill`` (Q6). ``all_slots`` uses the 96 slots of a day as the
-    time axis whatever the mode."""
+    time axis whatever the mode.
+
+    Dates, bounds, times, stores and cells all come from ``df``, so it is written once (it is an
+    aggregate, one row per store and slot) and its source is scanned once."""
+    df = cut_lineage(df)
     keys = keys if keys is not None else (["store_id"] if "store_id" in df.columns else [])
-    dates = grid_dates(df, mode, start, end, ts)
+    dates = grid_dates(df, mode, start, end, ts, pad_days, cover)
     times = grid_times(df, "interval" if all_slots else mode, ts, slots)
     cols = [F.col("date"), F.explode(times).alias("_tmin")]
     grid = dates.select(*cols)
@@ -85,7 +97,7 @@ def dense_grid(df: DataFrame, mode: str, measures: list[str], keys: list[str] |
 
 
 def model_grid(df: DataFrame, measures: list[str], add_missing_intervals: bool = True,
-               add_missing_days: bool = True, start: str = "2023-01-01", end: str = "2025-01-31",
+               add_missing_days: bool = True, start: str | None = None, end: str | None = None,
                ts: str = "datetime") -> DataFrame:
     """the reference's order — 96-slot densify on observed dates first, then the day
     or period densify with bounds. The composition is built as ONE grid and ONE join:
@@ -98,5 +110,6 @@ def model_grid(df: DataFrame, measures: list[str], add_missing_intervals: bool =
 
 def calendar_grid_fill(df: DataFrame, measures: list[str], start: str = "2023-01-01",
                        end: str = "2024-12-31", ts: str = "datetime") -> DataFrame:
-    """J1 (as intended, Q7): every day start..end x the eleven opening slots, 0-filled."""
-    return dense_grid(df, "day", measures, start=start, end=end, ts=ts, slots=dims.OPENING_SLOTS)
+    """J1 (as intended, Q7): every day start..end, widened to hold the data, x the eleven opening
+    slots, 0-filled."""
+    return dense_grid(df, "day", measures, start=start, end=end, ts=ts, slots=dims.OPENING_SLOTS, cover=True)

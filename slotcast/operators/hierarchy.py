@@ -16,6 +16,7 @@ from ..session import ship_package
 LABELS = ["store_id", "category"]
 OFFSETS = {0: 1.0, 1: 2.0, 3: 4.0}      # level-dependent offset of the test forecast
 LAG_DAYS = 7
+GRAM_TASKS = 64
 
 
 def level_name(labels: list[str]) -> Column:
@@ -62,6 +63,26 @@ def all_levels(bottom: DataFrame, value: str, labels: list[str] = LABELS, date:
                             "gid": F.col("gid").cast("int")})
 
 
+def with_lag(levels: DataFrame, date: str = "date", days: int = LAG_DAYS) -> DataFrame:
+    """Adds ``x``, the value ``days`` rows (= days, series are dense) earlier; rows without one are left out."""
+    w = Window.partitionBy("series_id").orderBy(date)
+    return levels.withColumn("x", F.lag("y", days).over(w)).where(F.col("x").isNotNull())
+
+
+def fit_lag_model(lagged: DataFrame, fit_dates: DataFrame, date: str = "date") -> DataFrame:
+    """H5/H8: one linear model of ``y`` on ``x`` per series, fitted on ``fit_dates`` for all series of all
+    levels in one partial aggregation, predictions for every date cleaned by P19. A series whose
+    ``x`` does not vary predicts its mean."""
+    from .clean import post_process_predictions
+
+    varies = F.var_pop("x") > 0
+    models = lagged.join(fit_dates, date, "left_semi").groupBy("series_id").agg(
+        F.when(varies, F.regr_slope("y", "x")).otherwise(F.lit(0.0)).alias("_b"),
+        F.when(varies, F.regr_intercept("y", "x")).otherwise(F.avg("y")).alias("_a"))
+    yhat = post_process_predictions(F.round(F.col("_a") + F.col("_b") * F.col("x"), 9))
+    return lagged.join(models, "series_id").withColumn("yhat", yhat).drop("x", "_a", "_b")
+
+
 def base_forecast(levels: DataFrame, date: str = "date") -> DataFrame:
     """Test base forecast: the value ``LAG_DAYS`` earlier plus a level-dependent offset so
     levels disagree (series are dense, so a row lag is a day lag)."""
@@ -119,7 +140,8 @@ def partial_gram(resid: DataFrame, index: DataFrame, date: str = "date", value:
            .agg(F.sort_array(F.collect_list(F.struct("idx", value))).alias("_v")))
     vec = vec.select(F.transform("_v", lambda s: s[value]).alias("v"),
                      F.transform("_v", lambda s: s["idx"]).alias("ix"))
-    ncol = vec.select(n.alias("n"), "v", "ix")
+    # every task returns n^2 / 2 sums, so the number of tasks is bounded too
+    ncol = vec.select(n.alias("n"), "v", "ix").coalesce(GRAM_TASKS)
 
     def gram(it):
         acc_w = acc_q = None

@@ -35,7 +35,11 @@ def normal_equations(df: DataFrame, groups: list[str], features: list[str], labe
 
     Every task folds its rows into one (k+2)^2 partial per group with numpy (so a group
     that holds a third of all rows is pre-aggregated on every partition, never gathered
-    into one task); partials are then added element-wise by position."""
+    into one task); partials are then added element-wise by position. Rows with a null or
+    non-finite predictor or label are no observations and are filtered out first."""
+    for c in [*features, label]:
+        x = F.col(c).cast("double")
+        df = df.where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     k = len(features)
     m = k + 2
     iu, ju = np.triu_indices(m)
@@ -48,13 +52,9 @@ def normal_equations(df: DataFrame, groups: list[str], features: list[str], labe
                 continue
             z = np.column_stack([np.ones(len(pdf))] + [pdf[f].astype("float64").to_numpy() for f in features]
                                 + [pdf[label].astype("float64").to_numpy()])
-            z = np.nan_to_num(z)
-            keys = pdf[groups].itertuples(index=False, name=None)
-            codes, uniq = pd.factorize(pd.Series(list(keys)))
-            for c, key in enumerate(uniq):
-                zz = z[codes == c]
-                g = zz.T @ zz
-                acc[key] = acc.get(key, 0) + g
+            for key, rows in pdf.groupby(groups, dropna=False).indices.items():
+                key = key if isinstance(key, tuple) else (key,)
+                acc[key] = acc.get(key, 0) + z[rows].T @ z[rows]
         if not acc:
             return
         rows = [list(key) + [g[iu, ju].tolist()] for key, g in acc.items()]

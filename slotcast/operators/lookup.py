@@ -56,6 +56,16 @@ def attach_forecast(resolved: DataFrame, history: DataFrame, profile: DataFrame,
             .drop("_hist", "_prof", "weekday", "slot_label")
 
 
+def serve(requests: DataFrame, forecast: DataFrame, history: DataFrame, keys: tuple[str, ...] = ("store_id", "date")) -> DataFrame:
+    """The written forecast (``_f``) by key, else the actual (``_h``), else not available.
+    Both sides have one row per key, so the request side alone can be skewed and AQE splits it."""
+    j = requests.join(forecast, list(keys), "left").join(history, list(keys), "left")
+    source = F.when(F.col("_f").isNotNull(), "forecast").when(F.col("_h").isNotNull(), "history")
+    value = F.coalesce("_f", "_h")
+    return j.select(*requests.columns, source.alias("source"), F.round(value, 6).alias("value"),
+                    value.isNotNull().cast("int").alias("available"))
+
+
 def feature_record(df: DataFrame, ts: str = "slot_start") -> DataFrame:
     """Time and calendar features of the (floored, Q33) request slot, including
     the slot index the reference forgot (Q26)."""

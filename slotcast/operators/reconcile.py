@@ -20,10 +20,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage, ship_package
 from . import hierarchy as H
 
+MAX_SERIES = 4000
 METHODS = ["BU", "OLS", "SS", "VS", "MinTSa", "MinTSh"]
 
 
@@ -34,6 +36,14 @@ def check_method(method: str) -> str:
     return method
 
 
+def check_size(index: DataFrame) -> int:
+    """The dense methods solve one n x n system, so n is bounded."""
+    n = index.count()
+    if n > MAX_SERIES:
+        raise ValueError(f"{n} series: dense reconciliation takes at most {MAX_SERIES}; use a diagonal method")
+    return n
+
+
 # --- weights ----------------------------------------------------------------------------------
 
 def diagonal_weights(method: str, nodes_df: DataFrame, resid: DataFrame | None = None) -> DataFrame:
@@ -164,6 +174,7 @@ def mint_coefficients(gram: DataFrame, index: DataFrame, edges: DataFrame, metho
                       lam: DataFrame | None = None) -> DataFrame:
     """``(bottom_idx, idx, g)``: the combination matrix G of MinTSa / MinTSh."""
     check_method(method)
+    check_size(index)
     n = index.agg(F.count(F.lit(1))).scalar()
     t = gram.where("i = -1").select("w_sum").scalar()
     lam_c = lam.select("lambda").scalar() if (lam is not None and method == "MinTSh") else F.lit(0.0)
@@ -181,12 +192,32 @@ def mint_coefficients(gram: DataFrame, index: DataFrame, edges: DataFrame, metho
 
 def apply_coefficients(base: DataFrame, coef: DataFrame, index: DataFrame, labels: list[str] = H.LABELS,
                        keys: list[str] | None = None) -> DataFrame:
-    """Reconciled bottoms b = G yhat for every date (join on the series index + sum), then
-    S b by a grouping-sets roll-up. Only G (bottoms x series) is joined, not S G."""
+    """Reconciled bottoms b = G yhat for every date, then S b by a grouping-sets roll-up. G (bottoms x
+    series, at most MAX_SERIES squared) goes to the tasks; each date's forecasts form one vector and a
+    task multiplies a block of them, so no date x series x bottom rows exist."""
     keys = keys or ["date"]
+    rows = coef.toPandas()          # bounded by check_size
+    bottoms = np.sort(rows["bottom_idx"].unique())
+    g = np.zeros((len(bottoms), int(rows["idx"].max()) + 1))
+    g[np.searchsorted(bottoms, rows["bottom_idx"]), rows["idx"]] = rows["g"]
     ix = index.select("series_id", "idx")
-    prod = base.select("series_id", *keys, "yhat").join(ix, "series_id").join(coef, "idx")
-    b = prod.groupBy("bottom_idx", *keys).agg(F.sum(F.col("g") * F.col("yhat")).alias("b"))
+    vectors = (base.select("series_id", *keys, "yhat").join(ix, "series_id").groupBy(*keys)
+               .agg(F.collect_list(F.struct("idx", "yhat")).alias("v"))
+               .select(*keys, F.col("v.idx").alias("ix"), F.col("v.yhat").alias("v")))
+
+    def multiply(frames):
+        for f in frames:
+            if len(f):
+                y = np.zeros((len(f), g.shape[1]))
+                for r, (i, v) in enumerate(zip(f["ix"], f["v"])):
+                    y[r, np.asarray(i, dtype=int)] = np.asarray(v, dtype=float)
+                out = f[keys].loc[f.index.repeat(len(bottoms))].reset_index(drop=True)
+                yield out.assign(bottom_idx=np.tile(bottoms, len(f)).astype("int32"), b=(y @ g.T).ravel())
+
+    ship_package(base.sparkSession)
+    schema = T.StructType([base.schema[k] for k in keys] + [T.StructField("bottom_idx", T.IntegerType()),
+                                                            T.StructField("b", T.DoubleType())])
+    b = vectors.mapInPandas(multiply, schema)
     lab = base.where(H.node_depth(labels) == len(labels)).select("series_id", *labels).distinct() \
               .join(ix, "series_id").select(F.col("idx").alias("bottom_idx"), *labels)
     rec = rollup_bottom(b.join(lab, "bottom_idx"), "b", labels, keys).select("series_id", *keys, "yhat_rec")

@@ -8,7 +8,6 @@ best run picked with ``min_by`` (A16).
 from __future__ import annotations
 
 import itertools
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,19 +24,6 @@ LEVEL_FEATURES = {"semester_phase": ["semester_phase_uni", "semester_phase_hs"],
                   "semester_period": ["semester_uni", "semester_hs"]}
 
 
-@dataclass(frozen=True)
-class RunConfig:
-    model_type: str = "xgb"
-    prediction_type: str = "single"
-    temporal_level: str = "day"
-    add_missing_intervals: bool = True
-    add_missing_days: bool = True
-    store_ids: tuple[int, ...] | None = (1, 2)
-    features: tuple[str, ...] = ("year", "month", "week", "weekday", "holiday")
-    targets: tuple[str, ...] = ("TOTAL_SALES",)
-    model_params: dict = field(default_factory=dict)
-
-
 def expand_features(features: list[str], store_ids) -> list[str]:
     """``semester_phase``/``semester_period`` expand to both institutions; ``store_id``
     is a feature when more than one store is modelled."""

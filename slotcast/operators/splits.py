@@ -11,20 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EPOCH = "1970-01-01"
-HASH_MULT = 2654435761          # Knuth multiplicative hash constant
-HASH_SEED_MULT = 40503
-HASH_MOD = 4294967296
-
-
-def day_number(d) -> Column:
-    return F.datediff(F.col(d) if isinstance(d, str) else d, F.lit(EPOCH).cast("date")).cast("bigint")
+HASH_BITS = 32
 
 
 def date_hash(d, seed) -> Column:
-    """Deterministic arithmetic hash of a date (same integer formula in SQL oracles)."""
-    seed_c = seed if isinstance(seed, Column) else F.lit(seed)
-    return F.pmod(day_number(d) * F.lit(HASH_MULT) + seed_c.cast("bigint") * F.lit(HASH_SEED_MULT), F.lit(HASH_MOD))
+    """32-bit hash of a date under a seed: the leading bits of md5 over ``seed:date``, which
+    every SQL engine has; a different seed gives an unrelated order."""
+    day = (F.col(d) if isinstance(d, str) else d).cast("date").cast("string")
+    seed_c = (seed if isinstance(seed, Column) else F.lit(seed)).cast("bigint").cast("string")
+    return F.conv(F.substring(F.md5(F.concat_ws(":", seed_c, day)), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
 def date_split(df: DataFrame, date: str = "date", cv_end: str = "2024-12-31", test_start: str = "2024-09-01",
@@ -67,7 +62,7 @@ def sample_dates(df: DataFrame, ratio: float = 0.5, seed: int = 42, date: str =
     """Exactly floor(n * ratio) distinct dates, chosen by seeded hash order (ties by
     date). Buckets are the top bits of the 32-bit hash, so the rank is distributed."""
     dates = df.select(date).distinct().withColumn("_h", date_hash(date, seed))
-    ranked = global_rank(dates, ["_h", date], F.shiftright(F.col("_h"), 22))
+    ranked = global_rank(dates, ["_h", date], F.shiftright(F.col("_h"), HASH_BITS - 10))
     return ranked.where(F.col("rank") < F.floor(F.col("n") * F.lit(ratio))).select(date)
 
 

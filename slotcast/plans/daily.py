@@ -128,17 +128,20 @@ def level_rollup_year(spark, sf_dir):
 
 # --- J7 ---------------------------------------------------------------------------------------
 
+STORE_PAIR = (0, 1)     # the two stores that are compared; a parameter of the operator
+
+
 @query("store_align_outer", "J7 A7",
        _with(S.daily_long_cte(), S.store_totals_cte(),
              "wk AS (SELECT * FROM tot WHERE isodow(date) <= 5)")
        + "SELECT coalesce(a.date, b.date) AS date, a.y AS store_0_items, b.y AS store_1_items FROM "
-         "(SELECT date, y FROM wk WHERE store_id = 0) a FULL OUTER JOIN (SELECT date, y FROM wk WHERE store_id = 1) b "
-         "ON a.date = b.date")
-def store_align_outer(spark, sf_dir):
+         f"(SELECT date, y FROM wk WHERE store_id = {STORE_PAIR[0]}) a FULL OUTER JOIN "
+         f"(SELECT date, y FROM wk WHERE store_id = {STORE_PAIR[1]}) b ON a.date = b.date")
+def store_align_outer(spark, sf_dir, pair: tuple[int, int] = STORE_PAIR):
     """Full outer alignment of two stores as ONE conditional aggregation (no join)."""
-    t = adapters.daily_store_totals(spark, sf_dir).where((F.weekday("date") < 5) & F.col("store_id").isin(0, 1))
-    return t.groupBy("date").agg(F.sum(F.when(F.col("store_id") == 0, F.col("y"))).cast("bigint").alias("store_0_items"),
-                                 F.sum(F.when(F.col("store_id") == 1, F.col("y"))).cast("bigint").alias("store_1_items"))
+    t = adapters.daily_store_totals(spark, sf_dir).where((F.weekday("date") < 5) & F.col("store_id").isin(*pair))
+    return t.groupBy("date").agg(*[F.sum(F.when(F.col("store_id") == s, F.col("y"))).cast("bigint").alias(f"store_{s}_items")
+                                   for s in pair])
 
 
 # --- W1-W5 ------------------------------------------------------------------------------------
@@ -158,23 +161,33 @@ def rolling_mean_21(spark, sf_dir):
     return d.select("store_id", "date", "y", F.round("m", 6).alias("y_rm21"), F.round("f", 6).alias("y_rm21_filled"))
 
 
-def _median_sql(width: int) -> str:
+def _median_sql(width: int, fill_edges: bool) -> str:
     h = width // 2
     w = f"(PARTITION BY store_id ORDER BY date ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING)"
-    return (_with(*DENSE) + f"SELECT store_id, date, y, round(CASE WHEN count(y) OVER {w} = {width} "
-            f"THEN quantile_cont(y, 0.5) OVER {w} ELSE CAST(y AS DOUBLE) END, 6) AS y_med{width} FROM dense")
-
-
-def _make_median(width):
+    if not fill_edges:
+        return (_with(*DENSE) + f"SELECT store_id, date, y, round(CASE WHEN count(y) OVER {w} = {width} "
+                f"THEN quantile_cont(y, 0.5) OVER {w} ELSE CAST(y AS DOUBLE) END, 6) AS y_med{width} FROM dense")
+    return (_with(*DENSE, f"md AS (SELECT *, CASE WHEN count(y) OVER {w} = {width} THEN quantile_cont(y, 0.5) OVER {w} END AS m FROM dense)")
+            + "SELECT store_id, date, y, round(coalesce("
+            "first_value(m IGNORE NULLS) OVER (PARTITION BY store_id ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), "
+            "last_value(m IGNORE NULLS) OVER (PARTITION BY store_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 6) "
+            f"AS y_med{width} FROM md")
+
+
+def _make_median(width, fill_edges):
+    """W2 keeps raw values where the window is not full; W3 back-fills, then forward-fills there."""
     def q(spark, sf_dir):
         d = dense(spark, sf_dir)
-        return d.select("store_id", "date", "y",
-                        F.round(smooth.centred_median("y", ["store_id"], "date", width), 6).alias(f"y_med{width}"))
+        m = smooth.centred_median("y", ["store_id"], "date", width, keep_edges=not fill_edges)
+        d = d.withColumn("_m", m)
+        if fill_edges:
+            d = d.withColumn("_m", smooth.back_then_forward_fill("_m", ["store_id"], "date"))
+        return d.select("store_id", "date", "y", F.round("_m", 6).alias(f"y_med{width}"))
     return q
 
 
-query("rolling_median_7", "W2 M25", _median_sql(7))(_make_median(7))
-query("rolling_median_5", "W3", _median_sql(5))(_make_median(5))
+query("rolling_median_7", "W2 M25", _median_sql(7, False))(_make_median(7, False))
+query("rolling_median_5", "W3", _median_sql(5, True))(_make_median(5, True))
 
 EMA_SPAN = 7
 
@@ -237,8 +250,7 @@ def time_split(spark, sf_dir):
 
 
 def _hash_sql(d: str, seed: str) -> str:
-    return (f"((CAST(datediff('day', DATE '{splits.EPOCH}', {d}) AS BIGINT) * {splits.HASH_MULT} + "
-            f"CAST({seed} AS BIGINT) * {splits.HASH_SEED_MULT}) % {splits.HASH_MOD})")
+    return S.date_hash_sql(d, seed)
 
 
 SAMPLE_SEED = 42
@@ -397,16 +409,18 @@ def date_quality(spark, sf_dir):
 
 # --- A21: pivot for export, first value wins ------------------------------------------------------------
 
-STORES_B = [0, 1, 2, 3, 4]        # regions of the driver tables = stores of adapter B
+STORES_B = [0, 1, 2, 3, 4]        # regions of the driver tables = stores of adapter B; others share a column
 
 
 @query("store_pivot_daily", "A21 J7 F19",
        _with(S.daily_long_cte(), S.store_totals_cte())
        + "SELECT date, " + ", ".join(f"first(y) FILTER (WHERE store_id = {s}) AS store_{s}" for s in STORES_B)
+       + f", CAST(sum(y) FILTER (WHERE store_id IS NULL OR store_id NOT IN ({', '.join(map(str, STORES_B))})) AS BIGINT) AS store_other"
        + " FROM tot GROUP BY date")
-def store_pivot_daily(spark, sf_dir):
-    """Daily totals with one column per store: ``pivot`` with an explicit value list (no
-    extra distinct job), ``first`` as the aggregate."""
+def store_pivot_daily(spark, sf_dir, stores: list[int] = STORES_B):
+    """Daily totals with one column per listed store (one row per store and date, so the sum is
+    that row) and one for all others together, in one conditional aggregation."""
     t = adapters.daily_store_totals(spark, sf_dir)
-    p = t.groupBy("date").pivot("store_id", STORES_B).agg(F.first("y"))
-    return p.select("date", *[F.col(str(s)).alias(f"store_{s}") for s in STORES_B])
+    rest = F.col("store_id").isNull() | ~F.col("store_id").isin(*stores)
+    return t.groupBy("date").agg(*[F.sum(F.when(F.col("store_id") == s, F.col("y"))).cast("bigint").alias(f"store_{s}") for s in stores],
+                                 F.sum(F.when(rest, F.col("y"))).cast("bigint").alias("store_other"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import hierarchy as H
+from ..operators import lookup
 from ..operators import reconcile as R
 from ..operators import splits
 from ..session import cut_lineage
@@ -15,7 +16,6 @@ from . import sqlparts as S
 from .registry import query
 
 SEED = 42
-BOOT_SAMPLES = 40
 
 
 def _with(*ctes: str) -> str:
@@ -33,11 +33,18 @@ def base(spark, sf_dir):
     return H.base_forecast(levels(spark, sf_dir))
 
 
-def parts(spark, sf_dir):
+def fitted(spark, sf_dir):
+    """Base forecasts of a model per series (H5): y on the value a week earlier, fitted on the sampled
+    half of the dates, predictions cleaned (P19)."""
+    lv = cut_lineage(H.with_lag(levels(spark, sf_dir)))
+    return H.fit_lag_model(lv, cut_lineage(splits.sample_dates(lv, 0.5, SEED)))
+
+
+def parts(spark, sf_dir, forecast=base):
     """(base, residual dates, residuals with zero series dropped, horizon rows)."""
     # The base-forecast table is what a forecasting job would write once; reading it
     # back from the checkpoint folder keeps the reconciliation plans short.
-    b = cut_lineage(base(spark, sf_dir))
+    b = cut_lineage(forecast(spark, sf_dir))
     rd = cut_lineage(splits.sample_dates(b, 0.5, SEED))   # used by both split sides: rank once
     inres, hz = splits.split_by_dates(b, rd)
     res = inres.select("series_id", "date", (F.col("yhat") - F.col("y")).alias("e"))
@@ -58,10 +65,9 @@ def nodes(spark, sf_dir, base_df=None):
 
 # --- SQL side -------------------------------------------------------------------------------------
 
-HASH = ("((CAST(datediff('day', DATE '1970-01-01', date) AS BIGINT) * 2654435761 + CAST(42 AS BIGINT) * 40503) "
-        "% 4294967296)")
+HASH = S.date_hash_sql("date", str(SEED))
 OFFSET_SQL = "CASE gid WHEN 0 THEN 1.0 WHEN 1 THEN 2.0 WHEN 3 THEN 4.0 ELSE 0.0 END"
-BASE_CTES = (
+LEVEL_CTES = (
     S.daily_long_cte(),
     "bb AS (SELECT min(date) AS d0, max(date) AS d1 FROM daily)",
     "bd AS (SELECT CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS date FROM bb)",
@@ -72,10 +78,20 @@ BASE_CTES = (
     "FROM bg GROUP BY GROUPING SETS ((date, store_id, category), (date, store_id), (date)))",
     "lv2 AS (SELECT *, concat_ws('|', coalesce(CAST(store_id AS VARCHAR), '*'), coalesce(category, '*')) AS series_id, "
     "CASE gid WHEN 0 THEN 'store_id_category' WHEN 1 THEN 'store_id' WHEN 3 THEN 'total' END AS level FROM lv)",
+    "lg AS (SELECT * FROM (SELECT *, lag(y, 7) OVER (PARTITION BY series_id ORDER BY date) AS x FROM lv2) WHERE x IS NOT NULL)",
+)
+LAG_BASE = (
     f"base AS (SELECT * FROM (SELECT *, CAST(lag(y, 7) OVER (PARTITION BY series_id ORDER BY date) AS DOUBLE) + {OFFSET_SQL} AS yhat "
     "FROM lv2) WHERE yhat IS NOT NULL)",
-    f"rd AS (SELECT date FROM (SELECT date, row_number() OVER (ORDER BY {HASH}, date) AS r, count(*) OVER () AS n "
-    "FROM (SELECT DISTINCT date FROM base)) WHERE r <= floor(n * 0.5))",
+)
+RD_SQL = (f"rd AS (SELECT date FROM (SELECT date, row_number() OVER (ORDER BY {HASH}, date) AS r, count(*) OVER () AS n "
+          "FROM (SELECT DISTINCT date FROM lg)) WHERE r <= floor(n * 0.5))")
+FIT_BASE = (
+    "co AS (SELECT series_id, CASE WHEN var_pop(x) > 0 THEN regr_slope(y, x) ELSE 0.0 END AS b, "
+    "CASE WHEN var_pop(x) > 0 THEN regr_intercept(y, x) ELSE avg(y) END AS a FROM lg WHERE date IN (SELECT date FROM rd) GROUP BY series_id)",
+    "base AS (SELECT lg.* EXCLUDE (x), round_even(greatest(round(co.a + co.b * lg.x, 9), 0.0), 0) AS yhat FROM lg JOIN co ON lg.series_id = co.series_id)",
+)
+TAIL_CTES = (
     "res0 AS (SELECT series_id, date, yhat - y AS e FROM base WHERE date IN (SELECT date FROM rd))",
     "res AS (SELECT * FROM res0 WHERE series_id IN (SELECT series_id FROM res0 GROUP BY series_id "
     "HAVING max(CASE WHEN e <> 0 THEN 1 ELSE 0 END) = 1))",
@@ -84,8 +100,8 @@ BASE_CTES = (
 )
 
 
-def _base(*more: str) -> str:
-    return _with(*BASE_CTES, *more)
+def _base(*more: str, model=LAG_BASE) -> str:
+    return _with(*LEVEL_CTES, RD_SQL, *model, *TAIL_CTES, *more)
 
 
 # --- H1-H4, J9 ----------------------------------------------------------------------------------------
@@ -131,9 +147,9 @@ class Context:
     """Inputs shared by every reconciliation method of one query: base, residual dates,
     residuals, horizon and nodes are computed (and written) once, the Gram table lazily."""
 
-    def __init__(self, spark, sf_dir):
+    def __init__(self, spark, sf_dir, forecast=base):
         self.spark, self.sf_dir = spark, sf_dir
-        self.b, self.rd, self.res, self.hz = parts(spark, sf_dir)
+        self.b, self.rd, self.res, self.hz = parts(spark, sf_dir, forecast)
         self.nd = nodes(spark, sf_dir, self.b)
         self._gram = None
 
@@ -174,12 +190,11 @@ def residual_moments(spark, sf_dir):
        "(SELECT count(*) FROM (SELECT series_id FROM res0 GROUP BY series_id HAVING sum(e * e) = 0)) AS n_zero_var, "
        "(SELECT count(DISTINCT date) FROM res0) AS n_dates")
 def residual_checks(spark, sf_dir):
-    b = base(spark, sf_dir)
-    rd = splits.sample_dates(b, 0.5, SEED)
-    res0 = b.join(rd, "date", "left_semi").select("series_id", "date", (F.col("yhat") - F.col("y")).alias("e"))
-    per = res0.groupBy("series_id").agg(F.sum(F.col("e") * F.col("e")).alias("ss"))
+    b, rd, _, _ = parts(spark, sf_dir)
+    e = F.col("yhat") - F.col("y")
+    per = b.join(rd, "date", "left_semi").groupBy("series_id").agg(F.sum(e * e).alias("ss"))
     return per.agg(F.count(F.lit(1)).alias("n_series"), F.count_if(F.col("ss") == 0).alias("n_zero_var")) \
-              .withColumn("n_dates", res0.select(F.countDistinct("date")).scalar())
+              .withColumn("n_dates", rd.select(F.count("date")).scalar())
 
 
 LAMBDA_SQL = _base(
@@ -202,19 +217,21 @@ def shrinkage_lambda(spark, sf_dir):
 
 # --- R1 / BU ---------------------------------------------------------------------------------------------
 
-def reconciled(spark, sf_dir, method: str, ctx: Context | None = None):
+def reconciled(spark, sf_dir, method: str, ctx: Context | None = None, rows=None):
+    """Reconcile ``rows`` (default: the horizon) with the weights of ``ctx``."""
     R.check_method(method)
     ctx = ctx or Context(spark, sf_dir)
+    rows = ctx.hz if rows is None else rows
     if method in ("MinTSa", "MinTSh"):
-        gram, index, nd, res, hz = ctx.gram()
+        gram, index, nd, *_ = ctx.gram()
         edges = H.summing_edges(nd)
         lam = R.shrinkage_lambda(gram) if method == "MinTSh" else None
         coef = R.mint_coefficients(gram, index, edges, method, lam)
-        return R.apply_coefficients(hz, coef, index)
+        return R.apply_coefficients(rows, coef, index)
     if method == "BU":
-        return R.reconcile_bu(ctx.hz)
+        return R.reconcile_bu(rows)
     w = R.diagonal_weights(method, ctx.nd, ctx.res)
-    return R.reconcile_tree(ctx.hz, w)
+    return R.reconcile_tree(rows, w)
 
 
 def _out(df):
@@ -324,37 +341,53 @@ def recon_method_compare(spark, sf_dir):
 
 # --- H21, A19, A23 --------------------------------------------------------------------------------------
 
-def bootstrap(spark, sf_dir, samples: int = BOOT_SAMPLES, alpha: float = 0.1, method: str = "OLS"):
-    """For every horizon date and sample s, add the residual vector of a hash-picked
-    residual date, reconcile (keys = date, sample), and take per-series quantiles over
-    the samples. Samples are generated with ``sequence`` (no cross join); the residual
-    vector is fetched by an equi-join on (series, picked residual-date rank)."""
-    b, rd, res, hz = parts(spark, sf_dir)
-    ranked = splits.ranked_dates(rd).select(F.col("date").alias("rdate"), "rank", "n")
-    n_r = ranked.select(F.max("n")).scalar()
-    smp = hz.select("*", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("sample"))
-    smp = smp.withColumn("rank", F.pmod(splits.date_hash("date", F.col("sample") + SEED), n_r).cast("int"))
-    picked = res.join(ranked, res["date"] == ranked["rdate"]).select("series_id", "rank", "e")
-    pert = smp.join(picked, ["series_id", "rank"], "left") \
-              .withColumn("yhat", F.col("yhat") + F.coalesce("e", F.lit(0.0))).drop("e", "rank")
-    if method == "BU":
-        rec = R.reconcile_bu(pert, keys=["date", "sample"])
+def bootstrap(spark, sf_dir, samples: int | None = None, alpha: float = 0.1, method: str = "OLS",
+              centred: bool = True, ctx: Context | None = None):
+    """Intervals from reconciled forecasts perturbed by whole residual vectors. Reconciling is
+    linear, so the horizon and the residual vectors are reconciled once each and added; nothing is
+    replicated before the tree passes, and any method works. By default every residual date is
+    a draw, so the draws' quantiles are one aggregate per series; ``samples`` instead picks that many
+    residual dates per horizon date by seeded hash. A residual is forecast minus actual: ``centred``
+    subtracts it, else it is added (which doubles a bias)."""
+    ctx = ctx or Context(spark, sf_dir)
+    rec = reconciled(spark, sf_dir, method, ctx).select("series_id", "level", "date", "y", F.col("yhat_rec").alias("m"))
+    vectors = ctx.b.join(ctx.rd, "date", "left_semi").withColumn("yhat", F.col("yhat") - F.col("y"))
+    sign = F.lit(-1.0 if centred else 1.0)
+    e = reconciled(spark, sf_dir, method, ctx, vectors).select("series_id", F.col("date").alias("rdate"),
+                                                               (sign * F.col("yhat_rec")).alias("e"))
+    probs = F.array(F.lit(alpha / 2), F.lit(0.5), F.lit(1 - alpha / 2))
+    if samples is None:
+        q = rec.join(e.groupBy("series_id").agg(F.percentile("e", probs).alias("q")), "series_id")
     else:
-        w = R.diagonal_weights(method, nodes(spark, sf_dir, b), res)
-        rec = R.reconcile_tree(pert, w, keys=["date", "sample"])
-    lo, hi = alpha / 2, 1 - alpha / 2
-    q = rec.groupBy("series_id", "level", "date").agg(
-        F.percentile("yhat_rec", F.array(F.lit(lo), F.lit(0.5), F.lit(hi))).alias("_q"), F.first("y").alias("y"))
-    return q.select("series_id", "level", "date", "y", F.round(F.col("_q")[0], 6).alias("q_lo"),
-                    F.round(F.col("_q")[1], 6).alias("q_mid"), F.round(F.col("_q")[2], 6).alias("q_hi"))
-
-
-@query("bootstrap_intervals", "H21 A19")
+        ranked = splits.ranked_dates(ctx.rd).select(F.col("date").alias("rdate"), "rank")
+        n = ctx.rd.select(F.count("date")).scalar()
+        draws = rec.select("date").distinct().select("date", F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("s"))
+        draws = draws.select("date", F.pmod(splits.date_hash("date", F.col("s") + SEED), n).alias("rank"))
+        q = draws.join(ranked, "rank").join(e, "rdate").groupBy("date", "series_id").agg(F.percentile("e", probs).alias("q"))
+        q = rec.join(q, ["date", "series_id"])
+    return q.select("series_id", "level", "date", "y", *[F.round(F.col("m") + F.col("q")[i], 6).alias(c)
+                                                         for i, c in enumerate(("q_lo", "q_mid", "q_hi"))])
+
+
+def _boot_ctes() -> tuple[str, ...]:
+    ctes = ",\n".join(_rec_ctes("OLS"))
+    return ("he AS (SELECT * EXCLUDE (yhat), yhat - y AS yhat FROM base WHERE date IN (SELECT date FROM rd))",
+            f"rech AS (SELECT * FROM (WITH {ctes} SELECT sid, date, bval FROM rec))",
+            f"rece AS (SELECT * FROM (WITH {ctes.replace('hz', 'he')} SELECT sid, date, bval FROM rec))",
+            "rq AS (SELECT sid, quantile_cont(-bval, 0.05) AS lo, quantile_cont(-bval, 0.5) AS mid, quantile_cont(-bval, 0.95) AS hi "
+            "FROM rece GROUP BY sid)",
+            "iv AS (SELECT hz.series_id, hz.level, hz.date, hz.y, round(r.bval + rq.lo, 6) AS q_lo, round(r.bval + rq.mid, 6) AS q_mid, "
+            "round(r.bval + rq.hi, 6) AS q_hi FROM hz JOIN rech r ON hz.series_id = r.sid AND hz.date = r.date JOIN rq ON rq.sid = hz.series_id)")
+
+
+@query("bootstrap_intervals", "H21 A19", _base(*_boot_ctes()) + "SELECT * FROM iv")
 def bootstrap_intervals(spark, sf_dir):
     return bootstrap(spark, sf_dir)
 
 
-@query("interval_miss_counts", "A23 A14")
+@query("interval_miss_counts", "A23 A14",
+       _base(*_boot_ctes()) + "SELECT level, count(*) FILTER (WHERE y < q_lo) AS n_below, count(*) FILTER (WHERE y > q_hi) AS n_above, "
+       "round(avg(CAST(y BETWEEN q_lo AND q_hi AS DOUBLE)), 6) AS coverage, count(*) AS n FROM iv GROUP BY level")
 def interval_miss_counts(spark, sf_dir):
     b = bootstrap(spark, sf_dir)
     return b.groupBy("level").agg(F.count_if(F.col("y") < F.col("q_lo")).alias("n_below"),
@@ -363,6 +396,57 @@ def interval_miss_counts(spark, sf_dir):
                                   F.count(F.lit(1)).alias("n"))
 
 
+# --- H5, H8, H10: a fitted model per series, its residuals, and its reconciliation ---------------------------
+
+@query("level_forecasts", "H5 H8 H10 P19",
+       _base(model=FIT_BASE) + "SELECT series_id, level, date, y, yhat FROM hz")
+def level_forecasts(spark, sf_dir):
+    _, _, _, hz = parts(spark, sf_dir, fitted)
+    return hz.select("series_id", "level", "date", "y", "yhat")
+
+
+@query("level_residuals", "H8 H9 P19 P20",
+       _base(model=FIT_BASE) + "SELECT series_id, date, round(e, 6) AS e FROM res")
+def level_residuals(spark, sf_dir):
+    _, _, res, _ = parts(spark, sf_dir, fitted)
+    return res.withColumn("e", F.round("e", 6))
+
+
+def _make_fitted_rec(method):
+    def q(spark, sf_dir):
+        return _out(reconciled(spark, sf_dir, method, Context(spark, sf_dir, fitted)))
+    return q
+
+
+for _m, _ids in (("ols", "H10 H11 R1"), ("vs", "H10 H14 R1")):
+    query(f"reconcile_fitted_{_m}", _ids,
+          _base(*_rec_ctes(_m.upper()), model=FIT_BASE)
+          + "SELECT hz.series_id, hz.date, round(hz.yhat, 6) AS yhat, round(rec.bval, 6) AS yhat_rec "
+            "FROM hz LEFT JOIN rec ON hz.series_id = rec.sid AND hz.date = rec.date")(_make_fitted_rec(_m.upper()))
+query("reconcile_fitted_mint", "H10 H16 R2")(_make_fitted_rec("MinTSh"))
+
+
+# --- H24, J12, L4: serve the reconciled forecast ---------------------------------------------------------------
+
+@query("lookup_reconciled", "H24 J12 L4 L6",
+       _base(*_rec_ctes("OLS"),
+             "rq AS (SELECT o.o_orderkey AS request_id, CAST(o.o_orderdate AS DATE) AS date, CAST(n.n_regionkey AS INTEGER) AS store_id "
+             "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)",
+             "sv AS (SELECT * FROM (SELECT hz.store_id, hz.date, rec.bval AS v FROM hz JOIN rec ON hz.series_id = rec.sid AND hz.date = rec.date "
+             "WHERE hz.gid = 1))",
+             "hi AS (SELECT store_id, date, CAST(y AS DOUBLE) AS v FROM lv2 WHERE gid = 1)", model=FIT_BASE)
+       + "SELECT rq.request_id, rq.store_id, rq.date, CASE WHEN sv.v IS NOT NULL THEN 'forecast' WHEN hi.v IS NOT NULL THEN 'history' END AS source, "
+         "round(coalesce(sv.v, hi.v), 6) AS value, CAST(coalesce(sv.v, hi.v) IS NOT NULL AS INTEGER) AS available FROM rq "
+         "LEFT JOIN sv ON sv.store_id = rq.store_id AND sv.date = rq.date LEFT JOIN hi ON hi.store_id = rq.store_id AND hi.date = rq.date")
+def lookup_reconciled(spark, sf_dir):
+    """Every order is a request for its store and day: the reconciled forecast where there is one, else
+    the day's actual, else available = 0."""
+    ctx = Context(spark, sf_dir, fitted)
+    served = reconciled(spark, sf_dir, "OLS", ctx).where("gid = 1").select("store_id", "date", F.col("yhat_rec").alias("_f"))
+    history = levels(spark, sf_dir).where("gid = 1").select("store_id", "date", F.col("y").cast("double").alias("_h"))
+    return lookup.serve(adapters.order_requests(spark, sf_dir), served, history)
+
+
 # --- O8, O2: seeded sample of at most five series per level, for export -----------------------------------
 
 @query("series_sample_export", "O8 O2 O1",

@@ -147,9 +147,9 @@ def _seasonal_input(spark, sf_dir, shift=adapters.CALENDAR_SHIFT_YEARS):
     fut = b.select("store_id", F.explode(F.sequence(F.date_add("d1", 1), F.date_add("d1", HORIZON))).alias("date"),
                    F.lit(None).cast("bigint").alias("y"))
     allr = d.withColumn("is_future", F.lit(0)).unionByName(fut.withColumn("is_future", F.lit(1)))
-    allr = allr.join(b.select("store_id", "d0"), "store_id")
+    allr = allr.join(b.select("store_id", "d0", F.datediff("d1", "d0").alias("span")), "store_id")
     t = F.datediff("date", "d0")
-    feats = learn.seasonal_features(t, span_days=2400)
+    feats = learn.seasonal_features(t, span_days=F.col("span"))
     feats["semester_phase"] = cal.phase_rule_a("date").cast("double")
     return allr.withColumns(feats), list(feats)
 

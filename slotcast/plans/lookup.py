@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import explore, lookup
+from ..session import cut_lineage
 from ..sources import dims
 from ..sources.tables import read_table
 from . import slots as SL
@@ -69,12 +70,14 @@ def lookup_forecast(spark, sf_dir):
 
 @query("lookup_response", "L3 L5 C13 H24",
        _with(REQ_SQL, *RES_SQL, S.wide_cte(), S.open_cte(), *PROFILE_SQL, S.semester_values_cte())
-       + "SELECT fc2.request_id, fc2.store_id, fc2.slot_start, fc2.slot_end, fc2.source, fc2.value, fc2.available, "
+       + "SELECT fc2.request_id, fc2.store_id, fc2.is_valid, fc2.slot_start, fc2.slot_end, fc2.source, fc2.value, fc2.available, "
          "CAST(year(slot_start) AS INTEGER) AS year, CAST(month(slot_start) AS INTEGER) AS month, CAST(week(slot_start) AS INTEGER) AS week, "
          "CAST(day(slot_start) AS INTEGER) AS day, CAST(isodow(slot_start) - 1 AS INTEGER) AS weekday, CAST(hour(slot_start) AS INTEGER) AS hour, "
          "CAST(hour(slot_start) * 4 + minute(slot_start) // 15 AS INTEGER) AS interval, "
-         f"{S.calendar_select('fc2.slot_start')} FROM fc2 {S.calendar_joins('fc2', 'slot_start')} WHERE fc2.is_valid = 1")
+         f"{S.calendar_select('fc2.slot_start')} FROM fc2 {S.calendar_joins('fc2', 'slot_start')} WHERE fc2.is_valid = 1 "
+         "UNION ALL BY NAME SELECT request_id, store_id, is_valid, slot_start, slot_end, source, value, available FROM fc2 WHERE is_valid = 0")
 def lookup_response(spark, sf_dir):
-    fc = _forecast(spark, sf_dir).where("is_valid = 1")
-    out = lookup.feature_record(fc)
-    return out.drop("request", "is_valid")
+    """One answer per request: an invalid one has is_valid = 0, available = 0 and no features."""
+    fc = cut_lineage(_forecast(spark, sf_dir).drop("request"))
+    valid = lookup.feature_record(fc.where("is_valid = 1"))
+    return valid.unionByName(fc.where("is_valid = 0"), allowMissingColumns=True)

@@ -121,11 +121,11 @@ def trim_after_first_sold(spark, sf_dir):
 
 # --- grids (J1, J4-J6) --------------------------------------------------------------------
 
-GRID_BOUNDS = ("2023-12-01", "2024-02-29")
+GRID_PAD = 31       # days added before the first and after the last observed day
 
 
 @query("calendar_grid_fill", "J1 F9 F10",
-       _with(S.wide_cte(), S.open_cte(), S.grid_sql("wopen", "g", "day", "2023-01-01", "2024-12-31", dims.OPENING_SLOTS))
+       _with(S.wide_cte(), S.open_cte(), S.grid_sql("wopen", "g", "day", "2023-01-01", "2024-12-31", dims.OPENING_SLOTS, cover=True))
        + "SELECT * FROM g")
 def calendar_grid_fill(spark, sf_dir):
     return grid.calendar_grid_fill(wide_open(spark, sf_dir), MEAS)
@@ -137,15 +137,15 @@ def grid_interval(spark, sf_dir):
 
 
 @query("grid_day", "J5 F10",
-       _with(S.wide_cte(), S.open_cte(), S.grid_sql("wopen", "g", "day", *GRID_BOUNDS)) + "SELECT * FROM g")
+       _with(S.wide_cte(), S.open_cte(), S.grid_sql("wopen", "g", "day", pad=GRID_PAD)) + "SELECT * FROM g")
 def grid_day(spark, sf_dir):
-    return grid.dense_grid(wide_open(spark, sf_dir), "day", MEAS, start=GRID_BOUNDS[0], end=GRID_BOUNDS[1])
+    return grid.dense_grid(wide_open(spark, sf_dir), "day", MEAS, pad_days=GRID_PAD)
 
 
 @query("grid_period", "J6 U4",
-       _with(S.wide_cte(), S.open_cte(), S.grid_sql("wopen", "g", "period", *GRID_BOUNDS)) + "SELECT * FROM g")
+       _with(S.wide_cte(), S.open_cte(), S.grid_sql("wopen", "g", "period", pad=GRID_PAD)) + "SELECT * FROM g")
 def grid_period(spark, sf_dir):
-    return grid.dense_grid(wide_open(spark, sf_dir), "period", MEAS, start=GRID_BOUNDS[0], end=GRID_BOUNDS[1])
+    return grid.dense_grid(wide_open(spark, sf_dir), "period", MEAS, pad_days=GRID_PAD)
 
 
 # --- calendar and time features (C1-C6, C12, F1-F7) -----------------------------------------
@@ -174,13 +174,11 @@ def time_features(spark, sf_dir):
 
 # --- level roll-ups (A2, F8, P25) -----------------------------------------------------------
 
-ROLLUP_BOUNDS = ("2024-01-01", "2024-01-31")
-
-
-def _rollup_frame(spark, sf_dir):
-    """Reference order (F20): cleaned slots -> 96-slot densify -> period densify in bounds."""
+def _rollup_frame(spark, sf_dir, start: str | None = None, end: str | None = None):
+    """Reference order (F20): cleaned slots -> 96-slot densify -> period densify. The bounds default to
+    the data's own first and last day, so no sale is left out; given bounds cut and extend."""
     return grid.model_grid(wide_open(spark, sf_dir), MEAS, add_missing_intervals=True,
-                           add_missing_days=False, start=ROLLUP_BOUNDS[0], end=ROLLUP_BOUNDS[1])
+                           add_missing_days=False, start=start, end=end)
 
 
 def _rollup_sql(level: str) -> str:
@@ -195,7 +193,7 @@ def _rollup_sql(level: str) -> str:
     sums = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in MEAS)
     return (_with(S.wide_cte(), S.open_cte(),
                   S.grid_sql("wopen", "g1", "interval"),
-                  S.grid_sql("g1", "g2", "period", *ROLLUP_BOUNDS),
+                  S.grid_sql("g1", "g2", "period"),
                   S.semester_values_cte(),
                   f"feat AS (SELECT g2.*, {date} AS pdate, {sel}, {S.calendar_select('g2.datetime')} FROM g2 {S.calendar_joins('g2')})")
             + f"SELECT pdate AS date, {', '.join(keys[1:])}, {sums} FROM feat GROUP BY pdate, {', '.join(keys[1:])}")
@@ -214,7 +212,7 @@ for _lvl in ("interval", "hour", "day", "week"):
 
 # --- profiles and correlations (A3-A9, O3, O4) -----------------------------------------------
 
-CORR_COLS = ADAPTER_CATS + [dims.TOTAL]
+CORR_COLS = MEAS
 SUM_CATS = " + ".join(CATS)
 
 
@@ -261,7 +259,8 @@ def weekday_daily_total(spark, sf_dir):
 
 
 def _corr_sql() -> str:
-    parts = [f"SELECT store_id, '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM wopen GROUP BY store_id"
+    parts = [f"SELECT store_id, '{a}' AS col_a, '{b}' AS col_b, "
+             f"CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN round(corr({a}, {b}), 6) END AS corr FROM wopen GROUP BY store_id"
              for a in CORR_COLS for b in CORR_COLS]
     return _with(S.wide_cte(), S.open_cte()) + " UNION ALL ".join(parts)
 
@@ -322,7 +321,7 @@ def _total_rollup_sql() -> str:
     comb = "comb AS (SELECT datetime, " + ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in MEAS) + " FROM wopen GROUP BY datetime)"
     return (_with(S.wide_cte(), S.open_cte(), comb,
                   S.grid_sql("comb", "g1", "interval", stores=False),
-                  S.grid_sql("g1", "g2", "period", *ROLLUP_BOUNDS, stores=False),
+                  S.grid_sql("g1", "g2", "period", stores=False),
                   S.semester_values_cte(),
                   f"feat AS (SELECT g2.*, {sel}, {S.calendar_select('g2.datetime')} FROM g2 {S.calendar_joins('g2')})")
             + f"SELECT date, {', '.join(tcols + ccols)}, {sums} FROM feat GROUP BY date, {', '.join(tcols + ccols)}")
@@ -332,7 +331,4 @@ def _total_rollup_sql() -> str:
 def level_rollup_day_total(spark, sf_dir):
     """Model frame with ``store_ids=None``: the summed-store scan (S2), then the reference's
     densify order (F20), time + calendar keys, day roll-up."""
-    cfg = rollup.DataConfig(temporal_level="day", time_columns=level_time_columns("day"),
-                            calendar_columns=cal.LEVEL_CALENDAR["day"], category_columns=MEAS, store_ids=None,
-                            add_missing_days=False, start_date=ROLLUP_BOUNDS[0], end_date=ROLLUP_BOUNDS[1])
-    return rollup.model_frame(wide_open(spark, sf_dir), cfg)
+    return rollup.model_frame(wide_open(spark, sf_dir), rollup.FrameSpec("day", targets=tuple(MEAS), stores=rollup.SUMMED))

@@ -113,22 +113,26 @@ def calendar_joins(src_alias: str, ts: str = "datetime") -> str:
 
 
 def grid_sql(src: str, name: str, mode: str, start: str | None = None, end: str | None = None,
-             slots: list[str] | None = None, measures: list[str] | None = None, stores: bool = True) -> str:
+             slots: list[str] | None = None, measures: list[str] | None = None, stores: bool = True,
+             pad: int = 0, cover: bool = False) -> str:
     """Dense grid CTEs mirroring operators.grid.dense_grid."""
     measures = measures or CATS + ["TOTAL_SALES"]
+    first, last = (f"(SELECT {f}(CAST(datetime AS DATE)) FROM {src})" for f in ("min", "max"))
+    lo = f"{first} - {pad}" if start is None else f"least(DATE '{start}', {first})" if cover else f"DATE '{start}'"
+    hi = f"{last} + {pad}" if end is None else f"greatest(DATE '{end}', {last})" if cover else f"DATE '{end}'"
     if mode == "interval":
         dates = f"SELECT DISTINCT CAST(datetime AS DATE) AS date FROM {src}"
     elif mode == "day":
-        dates = f"SELECT CAST(unnest(generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 DAY)) AS DATE) AS date"
+        dates = f"SELECT CAST(unnest(generate_series({lo}, {hi}, INTERVAL 1 DAY)) AS DATE) AS date"
     else:
         dates = f"""SELECT date FROM (SELECT DISTINCT CAST(datetime AS DATE) AS date FROM {src}) o
-            WHERE date BETWEEN DATE '{start}' AND DATE '{end}'
+            WHERE date BETWEEN {lo} AND {hi}
           UNION
-          SELECT CAST(unnest(generate_series(DATE '{start}', d0 - 1, INTERVAL 1 DAY)) AS DATE)
-            FROM (SELECT min(CAST(datetime AS DATE)) AS d0 FROM {src}) b WHERE d0 > DATE '{start}'
+          SELECT CAST(unnest(generate_series({lo}, d0 - 1, INTERVAL 1 DAY)) AS DATE)
+            FROM (SELECT min(CAST(datetime AS DATE)) AS d0 FROM {src}) b WHERE d0 > {lo}
           UNION
-          SELECT CAST(unnest(generate_series(d1 + 1, DATE '{end}', INTERVAL 1 DAY)) AS DATE)
-            FROM (SELECT max(CAST(datetime AS DATE)) AS d1 FROM {src}) b WHERE d1 < DATE '{end}'"""
+          SELECT CAST(unnest(generate_series(d1 + 1, {hi}, INTERVAL 1 DAY)) AS DATE)
+            FROM (SELECT max(CAST(datetime AS DATE)) AS d1 FROM {src}) b WHERE d1 < {hi}"""
     if slots is not None:
         mins = ", ".join(str(int(s[:2]) * 60 + int(s[3:])) for s in slots)
         times = f"SELECT unnest([{mins}]) AS tmin"
@@ -152,5 +156,10 @@ def grid_sql(src: str, name: str, mode: str, start: str | None = None, end: str
            FROM {name}_g g LEFT JOIN {src} s ON g.store_id = s.store_id AND g.datetime = s.datetime)"""
 
 
+def date_hash_sql(d: str, seed: str) -> str:
+    """operators.splits.date_hash."""
+    return f"CAST('0x' || substr(md5(CAST(({seed}) AS VARCHAR) || ':' || CAST({d} AS VARCHAR)), 1, 8) AS BIGINT)"
+
+
 def r6(expr: str) -> str:
     return f"round(CAST({expr} AS DOUBLE), 6)"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 # Only used when this process starts the JVM (local runs, tests, bench).
-LOCAL_CONF = {"spark.driver.memory": "16g", "spark.driver.maxResultSize": "4g"}
+LOCAL_CONF = {"spark.driver.memory": "8g", "spark.driver.maxResultSize": "2g"}
 
 
 def get_session(master: str | None = None, app: str = "slotcast",
@@ -48,8 +49,8 @@ def get_session(master: str | None = None, app: str = "slotcast",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests)
-    fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``. Only a local master may go without: it gets a
+    fresh scratch folder; on a cluster executors do not share local folders, so that is an error."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext, the conf is all there is
@@ -59,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else "remote"
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="slotcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:

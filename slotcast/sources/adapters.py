@@ -84,6 +84,16 @@ def _order_rows(spark: SparkSession, sf_dir: str, shift_years: int = 0) -> DataF
                          F.col("o_orderpriority").alias("category"))
 
 
+def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One look-up request per order: its store and day."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    joined = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.select(F.col("o_orderkey").alias("request_id"), F.col("n_regionkey").cast("int").alias("store_id"),
+                         F.to_date("o_orderdate").alias("date"))
+
+
 def daily_store_totals(spark: SparkSession, sf_dir: str, shift_years: int = 0) -> DataFrame:
     """Daily total per store ``(store_id, date, y)`` (S7), aggregated straight from the
     order rows (one shuffle, not long-aggregate then re-aggregate)."""

@@ -216,17 +216,19 @@ def test_coherence_and_bu(spark):
     assert np.allclose(leaves["yhat"], leaves["yhat_rec"])
 
 
-def _reference_lambda(E):
-    """Dense matrix form of the shrinkage intensity (T x n residuals)."""
-    T = E.shape[0]
-    covm = E.T @ E / T
-    sd = np.sqrt(np.diag(covm))
-    corm = covm / np.outer(sd, sd)
-    xs = E / sd
-    v = (1 / (T * (T - 1))) * ((xs ** 2).T @ (xs ** 2) - (1 / T) * (xs.T @ xs) ** 2)
-    np.fill_diagonal(v, 0)
-    d = (corm - np.eye(len(sd))) ** 2
-    return max(min(v.sum() / d.sum(), 1), 0)
+def _shrinkage_by_pairs(rows):
+    """Schaefer-Strimmer intensity, pair by pair: the variance of the mean standardised product, summed
+    over all pairs, against the sum of squared correlations."""
+    count, width = len(rows), len(rows[0])
+    scale = [(sum(r[k] ** 2 for r in rows) / count) ** 0.5 for k in range(width)]
+    spread = strength = 0.0
+    for p in range(width):
+        for q in range(p):
+            products = [r[p] * r[q] / (scale[p] * scale[q]) for r in rows]
+            mean = sum(products) / count
+            spread += sum((x - mean) ** 2 for x in products) / (count * (count - 1))
+            strength += mean ** 2
+    return min(1.0, max(0.0, spread / strength))
 
 
 def test_lambda_aggregate_form(spark):
@@ -238,7 +240,7 @@ def test_lambda_aggregate_form(spark):
     gram = H.partial_gram(res, index)
     lam = R.shrinkage_lambda(gram).first()["lambda"]
     assert 0.0 <= lam <= 1.0
-    assert np.isclose(lam, _reference_lambda(E))
+    assert np.isclose(lam, _shrinkage_by_pairs(E.tolist()))
 
 
 def test_mint_matches_dense(spark):
@@ -261,7 +263,7 @@ def test_mint_matches_dense(spark):
     lam = R.shrinkage_lambda(gram)
     coef = R.mint_coefficients(gram, index, edges, "MinTSh", lam)
     got = R.apply_coefficients(base, coef, index).toPandas()
-    lam_v = _reference_lambda(E)
+    lam_v = _shrinkage_by_pairs(E.tolist())
     W1 = E.T @ E / 30
     W = lam_v * np.diag(np.diag(W1)) + (1 - lam_v) * W1
     Wi = np.linalg.inv(W)
@@ -328,3 +330,71 @@ def test_impute_variant_a_matches_pandas(spark):
         assert (m[f"{t}_exp"].astype(int) == m[f"{t}_got"].astype(int)).all()
     assert (got[dims.TOTAL] == got[dims.CATEGORIES].sum(axis=1)).all()      # P4
     assert (got[late] >= 0).all().all()
+
+
+def _days(spark, n):
+    return spark.createDataFrame([(D("2018-01-01") + dt.timedelta(days=i),) for i in range(n)], "date date")
+
+
+def test_date_hash_depends_on_the_seed(spark):
+    df = _days(spark, 1826)
+    folds = splits.hash_kfold(df, 5, 3, 42).toPandas().pivot(index="date", columns="repeat", values="fold")
+    for a, b in ((0, 1), (0, 2), (1, 2)):
+        table = [[int(((folds[a] == i) & (folds[b] == j)).sum()) for j in range(5)] for i in range(5)]
+        assert all(40 <= x <= 110 for row in table for x in row)        # independent: about 73 each
+    ten = splits.hash_kfold(df, 10, 1, 7).toPandas()["fold"].value_counts()
+    assert len(ten) == 10 and ten.min() > 130
+    picked = [{r.date for r in splits.sample_dates(df, 0.5, s).collect()} for s in (1, 42, 43, 999)]
+    for i, a in enumerate(picked):
+        assert len(a) == 913
+        for b in picked[i + 1:]:
+            assert 0.4 < len(a & b) / 913 < 0.6
+
+
+@pytest.mark.parametrize("n", [345, 587, 1761])
+def test_hash_draws_spread_over_the_dates(spark, n):
+    draws = _days(spark, 1).select(F.explode(F.sequence(F.lit(1), F.lit(40))).alias("s"), "date").select(
+        F.pmod(splits.date_hash("date", F.col("s") + 42), F.lit(n)).alias("r"))
+    assert draws.distinct().count() >= 30
+
+
+def test_cap_targets_equals_numpy(spark):
+    from slotcast.operators import rollup
+    rng = np.random.default_rng(3)
+    x = rng.gamma(2.0, 10.0, size=(200, 2))
+    df = spark.createDataFrame([(int(i), float(a), float(b)) for i, (a, b) in enumerate(x)], "i int, a double, b double")
+    got = rollup.cap_targets(df, ["a", "b"]).toPandas().sort_values("i")
+    for c, v in zip("ab", x.T):
+        assert np.allclose(got[c], np.clip(v, np.percentile(v, 1), np.percentile(v, 99)))
+
+
+def test_ema_equals_pandas(spark):
+    import pandas as pd
+    from slotcast.operators import smooth
+    y = [None, 3.0, None, None, 5.0, 1.0, None, 8.0]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(y)] + [(2, 0, 4.0)], "s int, t int, y double")
+    got = smooth.ema(df, "y", ["s"], "t", 7).where("s = 1").orderBy("t").toPandas()["ema"].astype(float)
+    want = pd.Series(y, dtype=float).ewm(span=7, adjust=False, ignore_na=False).mean()
+    assert np.allclose(got, want, equal_nan=True)
+
+
+def test_bootstrap_draws_and_sign(spark):
+    from conftest import SMALL
+    from slotcast.plans import hier
+    ctx = hier.Context(spark, SMALL)
+    full = hier.bootstrap(spark, SMALL, ctx=ctx).toPandas().set_index(["series_id", "date"]).sort_index()
+    some = hier.bootstrap(spark, SMALL, samples=60, ctx=ctx).toPandas().set_index(["series_id", "date"]).sort_index()
+    assert (full.q_lo <= full.q_mid).all() and (full.q_mid <= full.q_hi).all() and list(full.index) == list(some.index)
+    width = (some.q_hi - some.q_lo).mean() / (full.q_hi - full.q_lo).mean()
+    assert 0.7 < width < 1.2
+    mint = hier.bootstrap(spark, SMALL, method="MinTSa", ctx=ctx).toPandas()
+    assert len(mint) == len(full) and (mint.q_lo <= mint.q_hi).all()
+    cover = ((full.y >= full.q_lo) & (full.y <= full.q_hi)).mean()
+    assert cover > 0.8
+
+
+def test_dense_methods_refuse_large_hierarchies(spark, monkeypatch):
+    monkeypatch.setattr(R, "MAX_SERIES", 3)
+    index = spark.createDataFrame([(f"s{i}", 0, i) for i in range(4)], "series_id string, gid int, idx int")
+    with pytest.raises(ValueError):
+        R.check_size(index)
