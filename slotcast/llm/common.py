@@ -122,4 +122,13 @@ def written(df: DataFrame) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``written`` tables that every later step has already been written from."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

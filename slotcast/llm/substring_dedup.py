@@ -15,7 +15,8 @@ of its seeds decides them alone, and shards grow with the text, not with pairs o
 4. Every occurrence of a run compares its document with those smallest ones; the windows found
    are gathered by document, and the words they cover are removed. Judged on the input throughout.
 
-Words are compared by 64-bit hashes. Written tables carry the steps; nothing passes the driver.
+Words are compared by 64-bit hashes. Written tables carry the steps and go when the next is written;
+nothing passes the driver, and joins are plain ones that Spark splits where a key is hot.
 
 Defined results: null texts have no words; rows with null ids keep all their words and are no source of
 repeats; rows of equal id are one document (equal rows get equal results); texts shorter than a window keep
@@ -30,7 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from slotcast.llm.common import gram_hashes, hashed_bytes, size_checked, text_runs, written
+from slotcast.llm.common import discard, gram_hashes, hashed_bytes, text_runs, written
 from slotcast.llm.fm_index import FMIndex
 from slotcast.session import ship_package
 
@@ -38,8 +39,6 @@ SEED = 4
 HOT = 2000
 RUN = 64                    # windows in a run at most
 SHARD_WORDS = 250_000
-MAX_BROADCAST_SEEDS = 1_000_000
-MAX_BROADCAST_SPANS = 50_000
 
 
 def _raw(texts) -> list[bytes]:
@@ -100,7 +99,7 @@ def pieces(rows: DataFrame, table: DataFrame, size: int) -> DataFrame:
     route, body, sid. Runs of hot seeds come as single windows."""
     shared = written(table.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("c"))
                      .where("a < b").select("seed", (F.col("c") > HOT).alias("hot")))
-    places = written(table.join(size_checked(shared, MAX_BROADCAST_SEEDS), "seed").groupBy("doc", "sub").agg(
+    places = written(table.join(shared, "seed").groupBy("doc", "sub").agg(
         F.collect_list(F.struct((F.col("place") * 2 + F.col("hot").cast("int")).alias("p"), "seed")).alias("x"))
         .select("doc", "sub", F.col("x.p").alias("p"), F.col("x.seed").alias("seed")))
 
@@ -126,9 +125,12 @@ def pieces(rows: DataFrame, table: DataFrame, size: int) -> DataFrame:
                                     "first": first, "route": route, "n": count + size - 1,
                                     "body": [joined[x:y] for x, y in zip(lo, hi)]})
 
-    texts = rows.join(size_checked(places, MAX_BROADCAST_SPANS), ["doc", "sub"]).select("doc", "sub", "text", "p", "seed")
-    return written(texts.mapInPandas(cut, "doc long, sub int, first long, route long, n int, body binary")
-                   .withColumn("sid", F.unhex(F.md5("body"))))
+    discard(table, shared)
+    texts = rows.join(places, ["doc", "sub"]).select("doc", "sub", "text", "p", "seed")
+    found = written(texts.mapInPandas(cut, "doc long, sub int, first long, route long, n int, body binary")
+                    .withColumn("sid", F.unhex(F.md5("body"))))
+    discard(places)
+    return found
 
 
 def shard_matches(found: DataFrame, size: int) -> DataFrame:
@@ -157,7 +159,9 @@ def shard_matches(found: DataFrame, size: int) -> DataFrame:
         return pd.DataFrame({"sid": f["sid"].to_numpy()[keep], "least": pd.Series(firsts, dtype=object)})
 
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
-    return written(dealt.groupBy("shard").applyInPandas(match, "sid binary, least array<long>"))
+    least = written(dealt.groupBy("shard").applyInPandas(match, "sid binary, least array<long>"))
+    discard(distinct)
+    return least
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 13) -> DataFrame:
@@ -170,7 +174,9 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     hits = (found.select("sid", "doc", "sub", "first").join(least, "sid")
             .withColumn("w", F.expr("filter(transform(least, (x, i) -> if(x < doc, first + i, null)), x -> x is not null)"))
             .where(F.size("w") > 0))
-    return written(hits.groupBy("doc", "sub").agg(F.flatten(F.collect_list("w")).alias("windows")))
+    windows = written(hits.groupBy("doc", "sub").agg(F.flatten(F.collect_list("w")).alias("windows")))
+    discard(found, least)
+    return windows
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -200,7 +206,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pd.DataFrame({"doc": f["doc"], "n_words": [o[0] for o in out], "n_removed": [o[1] for o in out],
                                 "kept": [o[2] for o in out]})
 
-    rows = _rows(docs, id_col, text_col).join(size_checked(windows, MAX_BROADCAST_SPANS), ["doc", "sub"], "left")
+    rows = _rows(docs, id_col, text_col).join(windows, ["doc", "sub"], "left")
     schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     return rows.select("doc", "text", "windows").mapInPandas(strip, schema).select(
