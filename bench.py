@@ -29,10 +29,17 @@ HEADLINE = [
     "expanding_folds",
     "reconcile_ols",
     "reconcile_mint_shrink",
+    "reconcile_fitted_ols",
+    "bootstrap_intervals",
+    "recon_method_compare",
     "shrinkage_lambda",
     "impute_top7_variant_a",
     "seasonal_forecast",
+    "seasonal_cv",
+    "best_run",
+    "run_metrics",
     "lookup_response",
+    "lookup_reconciled",
 ]
 
 

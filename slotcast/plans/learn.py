@@ -238,14 +238,83 @@ def best_run(spark, sf_dir):
     and population std of fold MAE per run, and the argmin (``min_by``)."""
     ser = D.series_daily(spark, sf_dir)
     folds = splits.expanding_folds(ser, 5).where("role = 'test'").select("fold", "date")
-    runs = None
-    for wd in GRID_WINDOWS:   # one frame per run: window frames need literal bounds
-        w = Window.partitionBy("store_id", "category").orderBy("date").rowsBetween(-wd, -1)
-        r = ser.select(F.lit(wd).alias("window_days"), "date", "y", F.avg("y").over(w).alias("yhat"),
-                       F.count("y").over(w).alias("_c")).where(F.col("_c") == wd)
-        runs = r if runs is None else runs.unionByName(r)
+    # all windows share one partitioning and order, so one sort serves them; then one row per run
+    base = Window.partitionBy("store_id", "category").orderBy("date")
+    wide = ser.select("date", "y", *[F.struct(F.lit(wd).alias("window_days"), F.avg("y").over(base.rowsBetween(-wd, -1)).alias("yhat"),
+                                              F.count("y").over(base.rowsBetween(-wd, -1)).alias("c")).alias(f"w{wd}")
+                                     for wd in GRID_WINDOWS])
+    runs = wide.select("date", "y", F.explode(F.array(*[f"w{wd}" for wd in GRID_WINDOWS])).alias("r")) \
+               .where("r.c = r.window_days").select("date", "y", "r.window_days", "r.yhat")
     per_fold = runs.join(folds, "date").groupBy("window_days", "fold").agg(metrics.mae().alias("mae"))
     s = per_fold.groupBy("window_days").agg(F.avg("mae").alias("mean_mae"), F.stddev_pop("mae").alias("std_mae"))
     best = s.agg(F.min_by("window_days", "mean_mae")).scalar()
     return s.select("window_days", F.round("mean_mae", 6).alias("mean_mae"), F.round("std_mae", 6).alias("std_mae"),
                     (F.col("window_days") == best).alias("is_best"))
+
+
+# --- M17, M19, M23, M24: runs fitted on folds --------------------------------------------------------------
+
+RUN_LAGS = (1, 7, 14, 28)       # the grid: which earlier day predicts (one linear model per store)
+RUN_FOLDS = 5
+
+
+def _run_ctes() -> tuple[str, ...]:
+    runs = " UNION ALL ".join(f"SELECT {k} AS lag_days, store_id, date, y, lag(y, {k}) OVER (PARTITION BY store_id ORDER BY date) AS x FROM dense"
+                              for k in RUN_LAGS)
+    s = RUN_FOLDS
+    return (*D.DENSE, f"runs AS (SELECT * FROM ({runs}) WHERE x IS NOT NULL)",
+            "rk AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS rank, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM dense))",
+            f"q AS (SELECT date, CAST((n - rank - 1) // (n // {s + 1}) + 1 AS INTEGER) AS j, "
+            f"CAST(greatest(floor({s} - (n - rank) / (n // {s + 1})) + 1, 0) AS INTEGER) AS ft FROM rk)",
+            f"tr AS (SELECT date, CAST(unnest(generate_series(ft, {s - 1})) AS INTEGER) AS fold FROM q WHERE ft <= {s - 1})",
+            f"te AS (SELECT date, CAST({s} - j AS INTEGER) AS fold FROM q WHERE j BETWEEN 1 AND {s})",
+            "co AS (SELECT lag_days, store_id, fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM runs JOIN tr USING (date) GROUP BY ALL)",
+            "pr AS (SELECT r.lag_days, r.store_id, te.fold, r.y, co.a + co.b * r.x AS yhat FROM runs r JOIN te ON te.date = r.date "
+            "JOIN co ON co.lag_days = r.lag_days AND co.store_id = r.store_id AND co.fold = te.fold)",
+            "rm AS (SELECT lag_days, store_id, fold, avg(abs(y - yhat)) AS mae, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, count(*) AS n "
+            "FROM pr GROUP BY ALL)")
+
+
+def fitted_runs(spark, sf_dir, lags=RUN_LAGS, n_splits: int = RUN_FOLDS):
+    """Every run x store x expanding fold, fitted together: each row adds its products to the first fold
+    it trains, and a prefix sum over the folds gives every fold's system. Rows are replicated per run
+    (the grid), never per fold; the coefficient table has one row per run, store and fold."""
+    d = cut_lineage(D.dense(spark, sf_dir))
+    w = Window.partitionBy("store_id").orderBy("date")
+    wide = d.select("store_id", "date", "y", *[F.lag("y", k).over(w).alias(str(k)) for k in lags])
+    runs = wide.unpivot(["store_id", "date", "y"], [str(k) for k in lags], "lag_days", "x").where("x is not null") \
+               .withColumn("lag_days", F.col("lag_days").cast("int"))
+    folds = cut_lineage(splits.expanding_folds(d, n_splits))
+    first = folds.where("role = 'train'").groupBy("date").agg(F.min("fold").alias("ft"))
+    tested = folds.where("role = 'test'").select("date", F.col("fold").alias("tf"))
+    tagged = cut_lineage(runs.join(first, "date", "left").join(tested, "date", "left"))
+    keys = ["lag_days", "store_id"]
+    part = tagged.where("ft is not null").groupBy(*keys, "ft").agg(
+        F.count("*").alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
+        F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
+    sums = ["n", "sx", "sy", "sxx", "sxy"]
+    total = part.withColumn("fold", F.explode(F.sequence("ft", F.lit(n_splits - 1)))).groupBy(*keys, "fold").agg(
+        *[F.sum(c).cast("double").alias(c) for c in sums])
+    spread = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    slope = F.when(spread > 0, (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / spread)
+    models = total.select(*keys, "fold", slope.alias("b"), ((F.col("sy") - slope * F.col("sx")) / F.col("n")).alias("a"))
+    scored = tagged.where("tf is not null").withColumnRenamed("tf", "fold").join(models, [*keys, "fold"]) \
+                   .withColumn("yhat", F.col("a") + F.col("b") * F.col("x"))
+    return scored.groupBy(*keys, "fold").agg(metrics.mae().alias("mae"), metrics.rmse().alias("rmse"), F.count("*").alias("n"))
+
+
+@query("run_metrics", "M17 M19 M23 M24",
+       _with(*_run_ctes()) + "SELECT lag_days, store_id, fold, round(mae, 6) AS mae, round(rmse, 6) AS rmse, n FROM rm")
+def run_metrics(spark, sf_dir):
+    return metrics.round6(fitted_runs(spark, sf_dir), ["mae", "rmse"])
+
+
+@query("best_fitted_run", "M23 A15 A16",
+       _with(*_run_ctes(), "s AS (SELECT lag_days, avg(mae) AS mean_mae, stddev_pop(mae) AS std_mae, avg(rmse) AS mean_rmse FROM rm GROUP BY lag_days)")
+       + "SELECT lag_days, round(mean_mae, 6) AS mean_mae, round(std_mae, 6) AS std_mae, round(mean_rmse, 6) AS mean_rmse, "
+         "lag_days = (SELECT arg_min(lag_days, mean_mae) FROM s) AS is_best FROM s")
+def best_fitted_run(spark, sf_dir):
+    s = cut_lineage(fitted_runs(spark, sf_dir).groupBy("lag_days").agg(
+        F.avg("mae").alias("mean_mae"), F.stddev_pop("mae").alias("std_mae"), F.avg("rmse").alias("mean_rmse")))
+    best = s.agg(F.min_by("lag_days", "mean_mae")).scalar()
+    return metrics.round6(s, ["mean_mae", "std_mae", "mean_rmse"]).withColumn("is_best", F.col("lag_days") == best)
