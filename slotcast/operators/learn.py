@@ -78,16 +78,18 @@ def _unpack(zz, k: int) -> np.ndarray:
 
 
 def solve_groups(stats: DataFrame, groups: list[str], features: list[str], ridge: float = 0.0,
-                 mask_col: str | None = None) -> DataFrame:
+                 mask_col: str | None = None, with_sigma: bool = False) -> DataFrame:
     """Solve each group's centred normal equations (intercept unpenalised). ``ridge`` is an
     L2 penalty on standardised features (like Spark ML ``regParam`` with
     standardisation); rank-deficient systems get the minimum-norm solution (as a least
     squares solver would). ``mask_col`` (array<boolean>) selects predictors per group.
-    Output: groups + ``intercept`` + ``coef`` (array aligned with ``features``)."""
+    Output: groups + ``intercept`` + ``coef`` (array aligned with ``features``), and with ``with_sigma``
+    the root mean squared residual of the fit, from the same sums."""
     k = len(features)
     fields = [stats.schema[g] for g in groups]
     schema = T.StructType(fields + [T.StructField("intercept", T.DoubleType()),
-                                    T.StructField("coef", T.ArrayType(T.DoubleType()))])
+                                    T.StructField("coef", T.ArrayType(T.DoubleType()))]
+                          + ([T.StructField("sigma", T.DoubleType())] if with_sigma else []))
     cols = groups + ["zz"] + ([mask_col] if mask_col else [])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -110,8 +112,12 @@ def solve_groups(stats: DataFrame, groups: list[str], features: list[str], ridge
                 beta_sel, *_ = np.linalg.lstsq(a, b, rcond=None)
                 beta[sel] = beta_sel
             inter = my - float(mx @ beta)
-            out.append([r[c] for c in groups] + [inter, beta.tolist()])
-        return pd.DataFrame(out, columns=groups + ["intercept", "coef"])
+            row = [r[c] for c in groups] + [inter, beta.tolist()]
+            if with_sigma:
+                rss = g[k + 1, k + 1] - n * my * my - 2 * beta @ cxy + beta @ cxx @ beta
+                row.append(float(np.sqrt(max(rss, 0.0) / n)))
+            out.append(row)
+        return pd.DataFrame(out, columns=groups + ["intercept", "coef"] + (["sigma"] if with_sigma else []))
 
     ship_package(stats.sparkSession)
     return stats.select(*cols).groupBy(*groups).applyInPandas(solve, schema)

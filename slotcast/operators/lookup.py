@@ -16,13 +16,20 @@ from ..functions.timecols import minute_of_day, slot_label, time_columns
 from ..sources import dims
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+# The ISO forms that a request may have: date alone, minutes, seconds, fractions; 'T' or a space between.
+ISO_FORMATS = [ISO_FORMAT, "yyyy-MM-dd"] + [f"yyyy-MM-dd{sep}{time}" for sep in ("'T'", " ")
+                                           for time in ("HH:mm:ss.SSSSSS", "HH:mm:ss.SSS", "HH:mm:ss", "HH:mm", "HH")
+                                           if (sep, time) != ("'T'", "HH:mm:ss")]
 
 
 def parse_request(request: Column) -> tuple[Column, Column]:
     """(is_valid, TIMESTAMP_NTZ) for an ISO timestamp string; invalid -> null, no error."""
-    valid = F.try_to_timestamp(request, F.lit(ISO_FORMAT)).isNotNull()
-    ts = F.to_timestamp_ntz(F.when(valid, request), F.lit(ISO_FORMAT))
-    return valid, ts
+    ts = None
+    for form in ISO_FORMATS:
+        fits = F.try_to_timestamp(request, F.lit(form)).isNotNull()
+        one = F.to_timestamp_ntz(F.when(fits, request), F.lit(form))
+        ts = one if ts is None else F.coalesce(ts, one)
+    return ts.isNotNull(), ts
 
 
 def closest_previous_slot(ts: Column) -> Column:

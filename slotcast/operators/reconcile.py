@@ -44,6 +44,30 @@ def check_size(index: DataFrame) -> int:
     return n
 
 
+def check_inputs(base: DataFrame, residuals: DataFrame | None = None, keys: list[str] | None = None) -> None:
+    """Raise on null keys or values, on duplicate (series, key) rows, and when base forecasts and residuals
+    do not cover the same series. Three aggregations, each with a one-row result."""
+    keys = ["series_id", *(keys or ["date"])]
+    for name, df, value in (("base", base, "yhat"), ("residuals", residuals, "e")):
+        if df is None:
+            continue
+        bad = F.col(value).isNull() | F.isnan(F.col(value).cast("double"))
+        for k in keys:
+            bad = bad | F.col(k).isNull()
+        nulls = df.agg(F.count_if(bad)).first()[0]
+        if nulls:
+            raise ValueError(f"{name}: {nulls} rows with null keys or values")
+        twice = df.groupBy(*keys).agg(F.count("*").alias("c")).agg(F.count_if(F.col("c") > 1)).first()[0]
+        if twice:
+            raise ValueError(f"{name}: {twice} duplicate keys")
+    if residuals is not None:
+        ids = base.select("series_id").distinct().withColumn("b", F.lit(1)).join(
+            residuals.select("series_id").distinct().withColumn("r", F.lit(1)), "series_id", "full")
+        odd = ids.agg(F.count_if(F.col("b").isNull() | F.col("r").isNull())).first()[0]
+        if odd:
+            raise ValueError(f"{odd} series are in only one of base forecasts and residuals")
+
+
 # --- weights ----------------------------------------------------------------------------------
 
 def diagonal_weights(method: str, nodes_df: DataFrame, resid: DataFrame | None = None) -> DataFrame:
@@ -68,7 +92,11 @@ def reconcile_tree(base: DataFrame, weights: DataFrame, labels: list[str] = H.LA
     keys = keys or ["date"]
     k = len(labels)
     # the weighted input is read by every level of both passes: write it once
-    b = cut_lineage(base.join(weights, "series_id").withColumn("_d", H.node_depth(labels)))
+    # an aggregate without weight (dropped by P20) carries no information of its own (infinite variance),
+    # so its subtree still adds up; a bottom series without weight is left out
+    b = base.join(weights, "series_id", "left").withColumn("_d", H.node_depth(labels))
+    b = cut_lineage(b.where((F.col("_d") < k) | F.col("w").isNotNull())
+                    .withColumn("w", F.coalesce("w", F.lit(float("inf")))))
     up = {k: b.where(F.col("_d") == k).select(*labels, *keys, F.col("yhat").alias("m"), F.col("w").alias("v"))}
     agg = {}
     for m in range(k - 1, -1, -1):

@@ -137,6 +137,7 @@ def gbt_importance(spark, sf_dir):
 
 HORIZON = 60
 RIDGE = 0.01
+Z80 = 1.2815515655446004        # normal quantile of an 80 % interval
 
 
 def _seasonal_input(spark, sf_dir, shift=adapters.CALENDAR_SHIFT_YEARS):
@@ -200,13 +201,16 @@ def seasonal_cv(spark, sf_dir, n_splits: int = 5):
     zz = ex.groupBy("store_id", "fold", "pos").agg(F.sum("v").alias("v")) \
            .groupBy("store_id", "fold").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))),
                                                         lambda s: s["v"]).alias("zz"))
-    coefs = learn.solve_groups(zz, ["store_id", "fold"], feats, ridge=RIDGE)
+    coefs = learn.solve_groups(zz, ["store_id", "fold"], feats, ridge=RIDGE, with_sigma=True)
     test = tagged.where(F.col("tf").isNotNull()).withColumnRenamed("tf", "fold")
     pred = learn.predict(test, coefs, ["store_id", "fold"], feats)
+    # The normal 80 % interval of the fold's own fit
+    half = F.lit(Z80) * F.col("sigma")
+    pred = pred.withColumns({"lo": F.col("yhat") - half, "hi": F.col("yhat") + half})
     per_fold = pred.groupBy("fold").agg(metrics.mae("_label", "yhat").alias("mae"),
                                         metrics.rmse("_label", "yhat").alias("rmse"),
-                                        metrics.coverage("_label", "yhat", "yhat").alias("exact_share"))
-    return metrics.round6(metrics.fold_summary(per_fold, ["mae", "rmse"]), ["mean", "std"])
+                                        metrics.coverage("_label", "lo", "hi").alias("coverage"))
+    return metrics.round6(metrics.fold_summary(per_fold, ["mae", "rmse", "coverage"]), ["mean", "std"])
 
 
 # --- M21-M24, A16: parameter grid evaluated on the data --------------------------------------------------

@@ -398,3 +398,40 @@ def test_dense_methods_refuse_large_hierarchies(spark, monkeypatch):
     index = spark.createDataFrame([(f"s{i}", 0, i) for i in range(4)], "series_id string, gid int, idx int")
     with pytest.raises(ValueError):
         R.check_size(index)
+
+
+def test_iso_requests(spark):
+    texts = ["2024-01-05T12:40:00", "2024-01-05T12:40", "2024-01-05 12:40:10", "2024-01-05", "2024-01-05T12:40:00.250", "x", "", None,
+             "2024-13-01", "05.01.2024", "2024-01-05T12:40:00x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, request string")
+    got = {r.i: (r.is_valid, r.slot_start) for r in lookup.resolve(df).collect()}
+    assert [got[i][0] for i in range(len(texts))] == [1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0]
+    assert got[1][1] == dt.datetime(2024, 1, 5, 12, 30) and got[3][1] == dt.datetime(2024, 1, 4, 14, 0)
+
+
+def test_input_checks(spark):
+    day = D("2024-01-01")
+    ok = spark.createDataFrame([("a", day, 1.0), ("b", day, 2.0)], "series_id string, date date, yhat double")
+    res = ok.withColumnRenamed("yhat", "e")
+    R.check_inputs(ok, res)
+    null = spark.createDataFrame([("a", day, None)], ok.schema)
+    for base, e in ((ok.unionByName(ok.limit(1)), None), (null, None), (ok, res.where("series_id = 'a'")), (ok, res.union(res))):
+        with pytest.raises(ValueError):
+            R.check_inputs(base, e)
+
+
+def test_tree_keeps_subtree_of_unweighted_node(spark):
+    base, weights, ids, _ = _tree_frames(spark)
+    got = R.reconcile_tree(base, weights.where("series_id <> 'A|*'")).toPandas()
+    assert got["yhat_rec"].notna().all()
+    for _, g in got.groupby("date"):
+        v = g.set_index("series_id")["yhat_rec"]
+        assert np.isclose(v["A|*"], v["A|x"] + v["A|y"] + v["A|z"]) and np.isclose(v["*|*"], v["A|*"] + v["B|*"])
+
+
+def test_null_rows_are_no_observations(spark):
+    rows = [(1, float(x), 2.0 * x + 1.0) for x in range(20)]
+    df = spark.createDataFrame(rows + [(1, None, 5.0), (1, 3.0, None), (1, float("nan"), 1.0), (1, float("inf"), 1.0)],
+                               "g int, x double, y double")
+    c = learn.solve_groups(learn.normal_equations(df, ["g"], ["x"], "y"), ["g"], ["x"], with_sigma=True).first()
+    assert np.isclose(c["intercept"], 1.0) and np.isclose(c["coef"][0], 2.0) and c["sigma"] < 1e-6
