@@ -42,6 +42,7 @@ BANDS = 18
 BATCH = 16
 MISS = 1e-6
 TILE = 512
+LOT = 4000
 _MULTIPLIERS = np.random.default_rng(77).integers(1 << 62, (1 << 64) - 1, HASHES, dtype=np.uint64) | np.uint64(1)
 
 
@@ -117,12 +118,12 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
 
 
 def bucket_members(rows: DataFrame) -> DataFrame:
-    """Written table (bucket, node, k, lead) of the buckets with several nodes; ``k`` is the node's hash
-    and ``lead`` the bucket's smallest."""
+    """Written table (bucket, band, node, k, lead) of the buckets with several nodes; ``k`` is the node's
+    hash and ``lead`` the bucket's smallest."""
     width = 4 * ROWS
     bands = rows.where("node is not null").select(
-        F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(sig, i * {width} + 1, {width})))"))
-        .alias("bucket"), "node", F.xxhash64("node").alias("k"))
+        F.posexplode(F.expr(f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(sig, i * {width} + 1, {width})))"))
+        .alias("band", "bucket"), "node", F.xxhash64("node").alias("k"))
     several = (bands.groupBy("bucket").agg(F.min("k").alias("lead"), F.max("k").alias("last"))
                .where("lead <> last").select("bucket", "lead"))
     return written(bands.join(several, "bucket").distinct())
@@ -182,20 +183,21 @@ def signatures(column) -> np.ndarray:
 
 def closing_links(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the components that still share a bucket. The nodes outside a bucket's largest
-    component meet the bucket in tiles of about ``TILE`` x ``TILE`` nodes. A tile tests its pairs on
-    signatures, then on full sets, most alike first, and joins components as it goes; it returns only
-    links that joined two, so at most one per node."""
-    placed = written(members.select("bucket", "node").join(size_checked(roots), "node", "left")
-                     .select("bucket", "node", F.coalesce("root", "node").alias("root")))
+    component meet the bucket in tiles of about ``TILE`` x ``TILE`` nodes; tiles are dealt to lots of about
+    ``LOT`` rows, one task call each. A tile returns only links that joined two components, so at most
+    one per node."""
+    placed = written(members.select("bucket", "band", "node").join(size_checked(roots), "node", "left")
+                     .select("bucket", "band", "node", F.coalesce("root", "node").alias("root")))
     sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("c"))
-    tiles = (sizes.groupBy("bucket").agg(F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all"))
-             .where("m.c < all").select("bucket", F.col("m.root").alias("main"), F.ceil((F.col("all") - F.col("m.c")) / TILE).alias("rows"),
-                                        F.ceil(F.col("all") / TILE).alias("cols")))
-    open_ = written(placed.join(tiles, "bucket").join(_side(sets, "node", "sig").withColumnRenamed("v_node", "sig"), "node")
-                    .join(sets.select("node", "shingles"), "node"))
+    tiles = written(sizes.groupBy("bucket").agg(F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("all"))
+                    .where("m.c < all").select("bucket", F.col("m.root").alias("main"), "all", (F.col("all") - F.col("m.c")).alias("out"))
+                    .withColumns({"rows": F.ceil(F.col("out") / TILE), "cols": F.ceil(F.col("all") / TILE)}))
+    lots = -(-(tiles.agg(F.sum(F.expr("all * rows + out * cols"))).first()[0] or 0) // LOT) or 1
+    open_ = written(placed.join(tiles, "bucket").join(sets, "node"))
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    columns = ["node", "root", "n_node", "sig", "shingles"]
+    lot = F.pmod(F.xxhash64("bucket", "r", "c"), F.lit(lots)).alias("lot")
+    columns = ["bucket", "r", "c", "node", "root", "n", "sig", "shingles"]
     others = open_.where("root <> main").withColumn("r", place("rows")).withColumn("c", every("cols"))
     bucket = open_.withColumn("c", place("cols")).withColumn("r", every("rows"))
     least = least_matches(percent / 100, MISS)
@@ -203,46 +205,71 @@ def closing_links(members: DataFrame, roots: DataFrame, sets: DataFrame, percent
     def meet(f: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(f) and len(g):
-            one, two = signatures(f["sig"]), signatures(g["sig"])
-            rf, rg, main = f["root"].to_numpy(), g["root"].to_numpy(), f["main"].iloc[0]
-            nf, ng = f["n_node"].to_numpy(), g["n_node"].to_numpy()
-            # two outside components meet once, by their order; the main one meets each of them
-            wanted = np.array([[y == main or x < y for y in rg] for x in rf])
-            wanted &= 100 * np.minimum(nf[:, None], ng) >= percent * np.maximum(nf[:, None], ng)
-            i, j = np.nonzero(wanted)
-            alive = surviving(one, two, least, i, j)
-            i, j = i[alive], j[alive]
-            order = np.argsort(-(one[i] == two[j]).sum(axis=1), kind="stable")
-            above: dict = {}
-
-            def find(x):
-                while x in above:
-                    x = above[x]
-                return x
-
-            own: dict = {}
-
-            def shingles(node, packed):
-                if node not in own:
-                    own[node] = frozenset(np.frombuffer(packed, np.uint64).tolist())
-                return own[node]
-
-            node_f, node_g = f["node"].to_numpy(), g["node"].to_numpy()
-            set_f, set_g = f["shingles"].to_numpy(), g["shingles"].to_numpy()
-            for x, y in zip(i[order].tolist(), j[order].tolist()):
-                a, b = find(rf[x]), find(rg[y])
-                if a != b:
-                    p, q = shingles(node_f[x], set_f[x]), shingles(node_g[y], set_g[y])
-                    shared = len(p & q)
-                    if 100 * shared >= percent * (len(p) + len(q) - shared):
-                        above[b] = a
-                        out.append((node_f[x], node_g[y]))
+            sides = [Side(x) for x in (f, g)]
+            there = g.groupby(["bucket", "r", "c"]).indices
+            main, band = f["main"].to_numpy(), f["band"].to_numpy()
+            for key, rows in f.groupby(["bucket", "r", "c"]).indices.items():
+                if key in there:
+                    out += tile_links(*sides, rows, there[key], main[rows[0]], int(band[rows[0]]), least, percent)
         return pd.DataFrame({"a": pd.Series([o[0] for o in out], dtype=object),
                              "b": pd.Series([o[1] for o in out], dtype=object)})
 
-    keys = ["bucket", "r", "c"]
-    return written(others.select(*keys, "main", *columns).groupBy(*keys).cogroup(
-        bucket.select(*keys, *columns).groupBy(*keys)).applyInPandas(meet, "a binary, b binary").distinct())
+    return written(others.select(lot, "main", "band", *columns).groupBy("lot").cogroup(
+        bucket.select(lot, *columns).groupBy("lot")).applyInPandas(meet, "a binary, b binary").distinct())
+
+
+class Side:
+    """One side of a lot as arrays; shingle sets are unpacked when first needed."""
+
+    def __init__(self, frame: pd.DataFrame):
+        self.node, self.root = frame["node"].to_numpy(), frame["root"].to_numpy()
+        self.n, self.sig, self.packed = frame["n"].to_numpy(), signatures(frame["sig"]), frame["shingles"].to_numpy()
+        self.sets: dict[bytes, frozenset] = {}
+
+    def shingles(self, k: int) -> frozenset:
+        node = self.node[k]
+        if node not in self.sets:
+            self.sets[node] = frozenset(np.frombuffer(self.packed[k], np.uint64).tolist())
+        return self.sets[node]
+
+
+def tile_links(f: Side, g: Side, rows: np.ndarray, cols: np.ndarray, main: bytes, band: int, least: list[int],
+               percent: int) -> list[tuple]:
+    """Joining links of one tile. Two outside components meet once, by their order; the main one meets
+    each of them. A pair is judged in the first band whose bucket it shares, on signatures and then on full
+    sets, the most alike first; a pair whose components have met in the tile is skipped."""
+    x = np.repeat(np.arange(len(rows)), len(cols))
+    i, j = rows[x], np.tile(cols, len(rows))
+    label = {r: k for k, r in enumerate(sorted({*f.root[rows], *g.root[cols]}))}
+    low, high = (np.array([label[r] for r in s.root[at]]) for s, at in ((f, rows), (g, cols)))
+    low, high = low[x], np.tile(high, len(rows))
+    wanted = ((high == label.get(main, -1)) | (low < high)) & (low != high)
+    wanted &= 100 * np.minimum(f.n[i], g.n[j]) >= percent * np.maximum(f.n[i], g.n[j])
+    i, j = i[wanted], j[wanted]
+    for b in range(band):
+        part = slice(b * ROWS, (b + 1) * ROWS)
+        fresh = (f.sig[i, part] != g.sig[j, part]).any(axis=1)
+        i, j = i[fresh], j[fresh]
+    alive = surviving(f.sig, g.sig, least, i, j)
+    i, j = i[alive], j[alive]
+    order = np.argsort(-(f.sig[i] == g.sig[j]).sum(axis=1), kind="stable")
+    above: dict = {}
+
+    def find(r):
+        while r in above:
+            r = above[r]
+        return r
+
+    out = []
+    for p, q in zip(i[order].tolist(), j[order].tolist()):
+        a, b = find(f.root[p]), find(g.root[q])
+        if a != b:
+            one, two = f.shingles(p), g.shingles(q)
+            shared = len(one & two)
+            if 100 * shared >= percent * (len(one) + len(two) - shared):
+                above[b] = a
+                out.append((f.node[p], g.node[q]))
+    return out
 
 
 def groups(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:

@@ -62,6 +62,7 @@ def test_query_equals_all_pairs(spark):
 
 def test_chains_and_near_misses(spark, monkeypatch):
     monkeypatch.setattr(nd, "TILE", 7)
+    monkeypatch.setattr(nd, "LOT", 40)
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(3000)]
     docs = []
