@@ -12,9 +12,10 @@ from conftest import SMALL  # noqa: E402
 from oracle_check import rows_of  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from slotcast.plans import registry  # noqa: E402
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+registry.load_all()
+QUERIES, ORACLES = dict(registry.QUERIES), dict(registry.ORACLES)      # optional queries have their own tests
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -5,9 +5,10 @@ import pytest
 
 from conftest import SMALL
 
-import __spark_entry__ as entry
+from slotcast.plans import registry
 
-QUERIES = entry.queries()
+registry.load_all()
+QUERIES = dict(registry.QUERIES)
 HEAVY = {"gbt_eval", "gbt_importance", "recon_method_compare", "bootstrap_intervals", "interval_miss_counts",
          "impute_variant_b", "recon_scores"}
 
@@ -31,3 +32,10 @@ def test_calendar_join_is_broadcast(spark):
 def test_no_cross_products(spark, name):
     p = plan_of(QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+@pytest.mark.parametrize("name", ["grid_interval", "grid_day", "calendar_features", "level_rollup_hour", "level_rollup_day_total"])
+def test_grids_scan_events_once(spark, name):
+    """The grid is built from one written table; the raw events do not appear in the final plan."""
+    p = plan_of(QUERIES[name](spark, SMALL))
+    assert "events.parquet" not in p and "slotcast-tables" in p
