@@ -1,12 +1,14 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
-Texts and benchmark items are normalised (lower case, white space runs as one space). Items longer
-than ``SEGMENT`` characters are cut into overlapping segments; each segment of m characters has an
-edit budget k of a tenth of m, lowered where the q-gram bound would be empty. An occurrence with at
-most k edits shares at least m + 1 - q (k + 1) character q-grams with its segment, all within
-2 k + 1 neighbouring diagonals. Shared q-grams are counted in overlapping diagonal bands of twice
-that width, regions that reach the bound are retained, and a banded alignment computes the exact
-edit distance in each. A text is contaminated if any segment is within its budget.
+Texts and benchmark items are normalised (lower case, white space runs as one space). Items are cut
+into overlapping segments of ``SEGMENT`` and of ``PART`` characters (shorter items stay whole); a
+verbatim passage of ``PART + STRIDE - 1`` characters holds a whole segment wherever it starts. Each
+segment of m characters has an edit budget k of a tenth of m, lowered where the q-gram bound would
+be empty. An occurrence with at most k edits shares at least m + 1 - q (k + 1) character q-grams
+with its segment, all within 2 k + 1 neighbouring diagonals. Shared q-grams are counted in
+overlapping diagonal bands of twice that width, first for all segments of one length in an item
+together, then, where these reach the bound, for each segment. Bit vectors bound the
+distance of short segments, and a banded alignment computes it exactly in the regions that remain. A text is contaminated if any segment is within its budget.
 
 The benchmark is read in blocks of ``BLOCK_CHARS`` characters; the driver refuses more than
 ``MAX_CHARS`` in all, and one block's index is a bounded broadcast. Texts are never shuffled.
@@ -31,6 +33,8 @@ from slotcast.session import ship_package
 Q = 8
 RATE = 0.1
 SEGMENT = 128
+PART = 64
+STRIDE = 16
 MIN_SHARED = 4
 BLOCK_CHARS = 4 << 20
 MAX_CHARS = 256 << 20
@@ -53,11 +57,17 @@ def edit_budget(m: int) -> int:
     return min(int(RATE * m), (m + 1 - MIN_SHARED) // Q - 1)
 
 
+def layout(n: int) -> dict[int, list[int]]:
+    """Starts of the segments of an item of n characters, by segment length."""
+    out = {}
+    for length, stride in ((SEGMENT, SEGMENT // 2), (PART, STRIDE)):
+        m = min(length, n)
+        out[m] = [*range(0, n - m, stride), n - m]
+    return out
+
+
 def segments(text: str) -> list[str]:
-    if len(text) <= SEGMENT:
-        return [text]
-    starts = [*range(0, len(text) - SEGMENT, SEGMENT // 2), len(text) - SEGMENT]
-    return [text[s:s + SEGMENT] for s in starts]
+    return [text[s:s + m] for m, starts in layout(len(text)).items() for s in starts]
 
 
 def codes(text: str) -> np.ndarray:
@@ -76,38 +86,54 @@ def grams(points: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Inverted q-gram index over the segments of one block."""
+    """Inverted q-gram index over the items of one block; a group is the segments of one length in an item."""
 
     items: np.ndarray           # item id of each segment
     patterns: list              # code points of each segment
-    budget: np.ndarray
-    need: np.ndarray
+    start: np.ndarray           # of each segment in its item
+    group: np.ndarray           # of each segment, ascending; starts ascend within a group
+    length: np.ndarray          # segment length of each group
+    budget: np.ndarray          # of each group
+    need: np.ndarray            # of each group
     keys: np.ndarray            # sorted distinct grams
     first: np.ndarray           # postings of keys[i] are at first[i]:first[i + 1]
-    segment: np.ndarray
-    offset: np.ndarray
+    owner: np.ndarray           # group of each posting
+    offset: np.ndarray          # item offset of each posting
     bits: int
     seen: np.ndarray            # prefilter over hashed grams
 
 
 def build_index(items: list[tuple[int, str]]) -> Index:
     """Index of (item id, normalised text) pairs; equal segments of an item are kept once."""
-    rows = list(dict.fromkeys((i, s) for i, t in items for s in segments(t) if edit_budget(len(s)) >= 0))
-    patterns = [codes(s) for _, s in rows]
-    budget = np.array([edit_budget(len(p)) for p in patterns], dtype=np.int64)
-    need = np.array([len(p) + 1 - Q * (k + 1) for p, k in zip(patterns, budget)], dtype=np.int64)
-    each = [grams(p) for p in patterns]
+    ids, patterns, start, group, length, each = [], [], [], [], [], []
+    for i, t in dict.fromkeys(items):
+        points = codes(t)
+        for m, starts in layout(len(points)).items():
+            if edit_budget(m) < 0:
+                continue
+            distinct: dict = {}
+            for s in starts:
+                distinct.setdefault(points[s:s + m].tobytes(), s)
+            ids += [i] * len(distinct)
+            patterns += [points[s:s + m] for s in distinct.values()]
+            start += distinct.values()
+            group += [len(length)] * len(distinct)
+            length.append(m)
+            each.append(grams(points))
+    budget = np.array([edit_budget(m) for m in length], dtype=np.int64)
     sizes = np.array([len(g) for g in each], dtype=np.int64)
     every = np.concatenate(each) if each else np.zeros(0, dtype=np.uint64)
-    seg = np.repeat(np.arange(len(each)), sizes)
+    owner = np.repeat(np.arange(len(each)), sizes)
     off = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     order = np.argsort(every, kind="stable")
     keys, first = np.unique(every[order], return_index=True)
     bits = int(np.clip(np.ceil(np.log2(max(1, len(keys)))) + 4, 16, 26))
     seen = np.zeros(1 << bits, dtype=bool)
     seen[((keys * _SPREAD) >> np.uint64(64 - bits)).astype(np.int64)] = True
-    return Index(np.array([i for i, _ in rows], dtype=np.int64), patterns, budget, need, keys,
-                 np.append(first, len(every)), seg[order], off[order], bits, seen)
+    long = np.array(length, dtype=np.int64)
+    return Index(np.array(ids, dtype=np.int64), patterns, np.array(start, dtype=np.int64), np.array(group, dtype=np.int64),
+                 long, budget, long + 1 - Q * (budget + 1), keys, np.append(first, len(every)), owner[order], off[order],
+                 bits, seen)
 
 
 def read_blocks(benchmark: DataFrame, item_col: str, text_col: str, min_chars: int) -> Iterator[Index]:
@@ -131,8 +157,8 @@ def read_blocks(benchmark: DataFrame, item_col: str, text_col: str, min_chars: i
 
 
 def _regions(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(segment, band) pairs whose diagonal band shares enough q-grams; ``band`` covers the
-    diagonals from band * w on, two widths w = 2 k + 1 wide."""
+    """(segment, band) pairs whose diagonal band shares enough q-grams; ``band`` covers the diagonals
+    (text minus item position) from band * w on, two widths w = 2 k + 1 wide."""
     g = grams(points)
     at = np.flatnonzero(index.seen[((g * _SPREAD) >> np.uint64(64 - index.bits)).astype(np.int64)])
     found = np.searchsorted(index.keys, g[at])
@@ -141,17 +167,52 @@ def _regions(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at, found = at[hit], found[hit]
     n = index.first[found + 1] - index.first[found]
     post = np.repeat(index.first[found] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    seg = index.segment[post]
-    w = 2 * index.budget[seg] + 1
-    band = (np.repeat(at, n) - index.offset[post]) // w
+    owner, offset = index.owner[post], index.offset[post]
+    band = (np.repeat(at, n) - offset) // (2 * index.budget[owner] + 1)
     span, shift = np.int64(1 << 40), np.int64(1 << 20)      # bands left of the first text are negative
-    key, count = np.unique(np.concatenate((seg * span + band + shift, seg * span + band + shift - 1)),
-                           return_counts=True)
+    key = np.concatenate((owner * span + band + shift, owner * span + band + shift - 1))
+    owner, offset = np.concatenate((owner, owner)), np.concatenate((offset, offset))
+    _, place, count = np.unique(key, return_inverse=True, return_counts=True)
+    enough = count[place] >= index.need[owner]
+    key, owner, offset = key[enough], owner[enough], offset[enough]
+
+    order = index.group * span + index.start
+    low = np.searchsorted(order, owner * span + np.maximum(offset - index.length[owner] + Q, 0))
+    n = np.searchsorted(order, owner * span + offset, side="right") - low
+    seg = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    key, count = np.unique(seg * span + np.repeat(key % span, n), return_counts=True)
     seg, band = key // span, key % span - shift
-    keep = count >= index.need[seg]
+    keep = count >= index.need[index.group[seg]]
     return seg[keep], band[keep]
 
 
+def distances(patterns: list[np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
+    """Lower bound (exact but for characters folded to a byte each) of the edit distance of each pattern
+    of up to 64 characters to any substring of its text, by Myers' bit vectors."""
+    c, one = len(patterns), np.uint64(1)
+    rows, last = np.arange(c), np.array([len(p) - 1 for p in patterns], dtype=np.uint64)
+    mask = np.zeros((c, 257), dtype=np.uint64)
+    p = np.full((c, max(map(len, patterns))), 256, dtype=np.int64)
+    t = np.full((c, max(map(len, texts))), 256, dtype=np.int64)
+    for i, (a, b) in enumerate(zip(patterns, texts)):
+        p[i, :len(a)], t[i, :len(b)] = (a ^ (a >> 8)) & 255, (b ^ (b >> 8)) & 255
+    for i in range(p.shape[1]):
+        mask[rows, p[:, i]] |= one << np.uint64(i)
+    mask[:, 256] = 0
+    up, down = np.full(c, ~np.uint64(0)), np.zeros(c, dtype=np.uint64)
+    score = last.astype(np.int64) + 1
+    best = score.copy()
+    for j in range(t.shape[1]):
+        same = mask[rows, t[:, j]]
+        across = (((same & up) + up) ^ up) | same
+        more, less = down | ~(across | up), up & across
+        score += ((more >> last) & one).astype(np.int64) - ((less >> last) & one).astype(np.int64)
+        np.minimum(best, score, out=best)
+        more, less, vertical = more << one, less << one, same | down
+        up, down = less | ~(vertical | more), more & vertical
+    return best
+
+
 def align(patterns: list[np.ndarray], texts: list[np.ndarray], width: int, pad: int) -> list[tuple[int, int, int]]:
     """Banded alignment of each pattern inside its text: (edits, start, end). Column d of row i
     stands for i + d - pad consumed text positions; starts and ends in the text are free."""
@@ -185,7 +246,7 @@ def align(patterns: list[np.ndarray], texts: list[np.ndarray], width: int, pad:
 
 def search(index: Index, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
     """Per normalised text the (item id, start, end, edits) of its matches, one per item: the one
-    with the fewest edits, then the first."""
+    with the fewest edits, then of the longest segment, then the first."""
     best: list[dict] = [{} for _ in texts]
     if not len(index.items) or not texts:
         return [[] for _ in texts]
@@ -195,9 +256,9 @@ def search(index: Index, texts: list[str]) -> list[list[tuple[int, int, int, int
     seg, band = _regions(index, points)
     jobs = []
     for s, b in zip(seg.tolist(), band.tolist()):
-        k, m = int(index.budget[s]), len(index.patterns[s])
+        k, m, x = int(index.budget[index.group[s]]), len(index.patterns[s]), int(index.start[s])
         w = 2 * k + 1
-        lo, hi = b * w - k, (b + 2) * w + m + k
+        lo, hi = b * w + x - k, (b + 2) * w + x + m + k
         d = max(0, int(np.searchsorted(begin, lo, side="right")) - 1)
         while d < len(texts) and begin[d] < hi:
             x, y = max(lo, int(begin[d])), min(hi, int(begin[d] + sizes[d]))
@@ -205,17 +266,24 @@ def search(index: Index, texts: list[str]) -> list[list[tuple[int, int, int, int
                 jobs.append((y - x - m + k + 1, s, d, x, y))
             d += 1
     jobs.sort()
+    small = [j for j in jobs if len(index.patterns[j[1]]) <= PART]
+    jobs = [j for j in jobs if len(index.patterns[j[1]]) > PART]
+    for i in range(0, len(small), 8 * BATCH):
+        some = small[i:i + 8 * BATCH]
+        bound = distances([index.patterns[j[1]] for j in some], [points[j[3]:j[4]] for j in some])
+        jobs += [j for j, e in zip(some, bound.tolist()) if e <= index.budget[index.group[j[1]]]]
+    jobs.sort()
     for i in range(0, len(jobs), BATCH):
         some = jobs[i:i + BATCH]
-        pad = max(int(index.budget[j[1]]) for j in some)
+        pad = max(int(index.budget[index.group[j[1]]]) for j in some)
         got = align([index.patterns[j[1]] for j in some], [points[j[3]:j[4]] for j in some], some[-1][0] + pad, pad)
         for (_, s, d, x, _), (edits, start, end) in zip(some, got):
-            if edits <= index.budget[s]:
+            if edits <= index.budget[index.group[s]]:
                 item, at = int(index.items[s]), int(x - begin[d])
-                found = (edits, at + start, at + end)
+                found = (edits, -len(index.patterns[s]), at + start, at + end)
                 if item not in best[d] or found < best[d][item]:
                     best[d][item] = found
-    return [[(i, x, y, e) for i, (e, x, y) in sorted(b.items())] for b in best]
+    return [[(i, x, y, e) for i, (e, _, x, y) in sorted(b.items())] for b in best]
 
 
 def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:

@@ -97,3 +97,18 @@ def test_blocks_and_edges(spark, monkeypatch):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 4]
     assert dc.drop_contaminated(docs, bench.limit(0)).count() == 7
     assert dc.find_contaminated(docs.limit(0), bench).count() == 0
+
+
+def test_verbatim_passages_at_every_offset():
+    rng = random.Random(8)
+    item = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n)).replace("  ", "qr").strip()
+    items = [(i, dc.normalise(item(n))) for i, n in enumerate((95, 110, 128, 140, 260, 517))]
+    index = dc.build_index(items)
+    texts, want = [], []
+    for size in (dc.PART + dc.STRIDE - 1, 110):
+        for i, t in items:
+            for s in range(len(t) - size + 1):
+                texts.append(dc.normalise("zz " * 9 + t[s:s + size] + " yy" * 9))
+                want.append(i)
+    assert len(want) > 1000
+    assert [[f[0] for f in found] for found in dc.search(index, texts)] == [[i] for i in want]
