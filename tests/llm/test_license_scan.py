@@ -98,3 +98,30 @@ def test_edited_wrapped_and_odd_rows(spark):
     assert ls.scan_licenses(df, min_coverage=0.4).where("doc_id = 2").first().licenses == ["mit-permission"]
     assert ls.scan_licenses(df.limit(0)).count() == 0
     assert ls.scan_licenses(df, {}).where("licensed").count() == 0
+
+
+def test_pieces_of_a_template_are_summed(spark):
+    mit = ls.TEMPLATES["mit-permission"]
+    at = int(len(mit) * 0.68)
+    inserted = mit[:at] + " [as changed by the vendor] " + mit[at:]
+    omitted = mit[:150] + mit[190:]
+    replaced = mit[:220] + "q7" * 20 + mit[260:]
+    rows = [(1, "pre " + inserted + " post"), (2, omitted), (3, replaced), (4, mit[:len(mit) // 2]),
+            (5, "Released under the terms of the MIT License."), (6, "Licensed under the Apache License 2.0"),
+            (7, mit[at:] + " " + mit[:at]), (8, inserted + "\n" + inserted),
+            (9, "Licensed under the Mozilla Public License, version 2.0"), (10, ls.TEMPLATES["gpl-3.0-notice"])]
+    got = {r.doc_id: r for r in ls.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].licenses == ["mit-permission"] and got[1].coverage[0] > 0.98 and got[1].licensed
+    assert got[1].starts == [4] and got[1].ends == [4 + len(inserted)] and len(got[1].spans[0]) == 4
+    assert got[2].licenses == ["mit-permission"] and 0.8 < got[2].coverage[0] < 0.9
+    assert got[3].licenses == [] and 0.8 < max(got[3].partial_coverage) < 0.9
+    assert got[9].licenses == [] and "apache-2.0-notice" in got[9].partial_licenses
+    assert got[10].licenses == ["gpl-3.0-notice"]
+    assert got[5].licenses == ["mit-notice"] and got[5].spans == [[0, 19, 27, 43]]
+    for i, name, low in ((4, "mit-permission", 0.45), (6, "apache-2.0-notice", 0.7)):
+        r = got[i]
+        assert not r.licensed and r.licenses == []
+        assert low < dict(zip(r.partial_licenses, r.partial_coverage))[name] < 0.8
+    assert got[7].licenses == [] and sorted(round(c, 1) for n, c in zip(got[7].partial_licenses, got[7].partial_coverage)
+                                            if n == "mit-permission" and c > 0.1) == [0.3, 0.7]
+    assert got[8].licenses == ["mit-permission"] * 2 and got[8].starts == [0, len(inserted) + 1]
