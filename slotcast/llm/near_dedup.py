@@ -12,7 +12,8 @@
    first, and a pair whose components have met is skipped. So every pair of a bucket is either decided or
    connected, pairs are never written out, and a tile returns at most one link per node.
 
-A pair of similarity 0.85 shares no band with probability (1 - 0.85^5)^18 = 2.6e-5.
+The bands follow from the threshold (``banding``): a pair at it shares no band with probability
+``BAND_MISS`` at most, (1 - 0.85^5)^18 = 2.6e-5 at 0.85 and (1 - 0.8^5)^25 = 4.9e-5 at 0.8.
 
 Defined results: A-Z are folded, words are runs of non-ASCII-space bytes; a text with fewer words
 than a shingle has its whole word sequence as the one shingle; null texts and texts without words
@@ -41,6 +42,7 @@ ROWS = 5
 BANDS = 18
 BATCH = 16
 MISS = 1e-6
+BAND_MISS = 5e-5
 TILE = 512
 LOT = 4000
 _MULTIPLIERS = np.random.default_rng(77).integers(1 << 62, (1 << 64) - 1, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -64,6 +66,17 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype("<u4")
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Number of bands and hashes in each: the longest bands of up to ROWS hashes, at least BANDS of them where
+    the signature has room, with which a pair at the threshold is missed with probability BAND_MISS at most."""
+    for rows in range(ROWS, 0, -1):
+        unlike = 1 - (percent / 100) ** rows
+        bands = max(min(BANDS, HASHES // rows), math.ceil(math.log(BAND_MISS) / math.log(unlike)) if 0 < unlike < 1 else 0)
+        if bands * rows <= HASHES and unlike ** bands <= BAND_MISS:
+            return bands, rows
+    raise ValueError(f"{HASHES} hashes are too few for a similarity of {percent} %")
+
+
 def least_matches(threshold: float, miss: float) -> list[int]:
     """For n = BATCH, 2 BATCH, ...: the fewest of n equal hashes at which the posterior
     P(similarity >= threshold) is at least ``miss``. With a uniform prior the posterior is Beta(m + 1,
@@ -117,12 +130,13 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
     return written(rows.mapInPandas(run, schema))
 
 
-def bucket_members(rows: DataFrame) -> DataFrame:
+def bucket_members(rows: DataFrame, percent: int) -> DataFrame:
     """Written table (bucket, band, node, k, lead) of the buckets with several nodes; ``k`` is the node's
     hash and ``lead`` the bucket's smallest."""
-    width = 4 * ROWS
+    count, width = banding(percent)
+    width *= 4
     bands = rows.where("node is not null").select(
-        F.posexplode(F.expr(f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(sig, i * {width} + 1, {width})))"))
+        F.posexplode(F.expr(f"transform(sequence(0, {count - 1}), i -> xxhash64(i, substring(sig, i * {width} + 1, {width})))"))
         .alias("band", "bucket"), "node", F.xxhash64("node").alias("k"))
     several = (bands.groupBy("bucket").agg(F.min("k").alias("lead"), F.max("k").alias("last"))
                .where("lead <> last").select("bucket", "lead"))
@@ -246,8 +260,9 @@ def tile_links(f: Side, g: Side, rows: np.ndarray, cols: np.ndarray, main: bytes
     wanted = ((high == label.get(main, -1)) | (low < high)) & (low != high)
     wanted &= 100 * np.minimum(f.n[i], g.n[j]) >= percent * np.maximum(f.n[i], g.n[j])
     i, j = i[wanted], j[wanted]
+    _, width = banding(percent)
     for b in range(band):
-        part = slice(b * ROWS, (b + 1) * ROWS)
+        part = slice(b * width, (b + 1) * width)
         fresh = (f.sig[i, part] != g.sig[j, part]).any(axis=1)
         i, j = i[fresh], j[fresh]
     alive = surviving(f.sig, g.sig, least, i, j)
@@ -276,7 +291,7 @@ def groups(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int)
     """Rows of ``describe`` (key, id, n) with ``root``, the component's node (null: empty set)."""
     ship_package(docs.sparkSession)
     rows = describe(docs, id_col, text_col, size)
-    members = bucket_members(rows)
+    members = bucket_members(rows, percent)
     sets = full_sets(rows, members, docs, id_col, text_col, size)
     leaders = members.where("k = lead").select("bucket", F.col("node").alias("a"))
     pairs = written(members.where("k <> lead").join(leaders, "bucket")

@@ -115,3 +115,15 @@ def test_components_of_paths_and_stars(spark):
     got = {int(bytes(r.node)): int(bytes(r.root)) for r in components(df).collect()}
     want = {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(200)} | {2000: 2000, 2001: 2000}
     assert got == want
+
+
+def test_bands_follow_the_threshold(spark):
+    assert nd.banding(85) == (18, 5) and nd.banding(80) == (25, 5)
+    for percent in (30, 60, 70, 80, 85, 95, 100):
+        bands, rows = nd.banding(percent)
+        assert bands * rows <= nd.HASHES and (1 - (percent / 100) ** rows) ** bands <= 5e-5
+    a = np.arange(nd.HASHES, dtype="<u4")
+    b = a + np.uint32(1000)
+    b[100:105] = a[100:105]         # alike in the twenty-first band only
+    sigs = spark.createDataFrame([(b"a", a.tobytes()), (b"b", b.tobytes())], "node binary, sig binary")
+    assert nd.bucket_members(sigs, 80).count() == 2
