@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import ann, decontaminate, language_id, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, token_count
+from slotcast.llm import (ann, chat_format, decontaminate, language_id, license_scan, mixing, near_dedup, phrases, quality,
+                          sharding, substring_dedup, token_count, vector_codes)
 from slotcast.llm.common import crc_fold
 from slotcast.sources.tables import read_table
 
@@ -106,3 +107,35 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return token_count.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_vector_codes"] = vector_codes.oracle()
+
+# Conversation -1: texts full of control strings.
+CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    turns = read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    rows = ", ".join(f"({c}L, {t}L, '{r}', '{x}')" for c, t, r, x in CONTROL_TURNS)
+    control = spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(columns)})")
+    return chat_format.digest(chat_format.format_windows(turns.union(control)))
+
+
+ORACLES["op12_chat_format"] = chat_format.oracle(CONTROL_TURNS)
+
+
+@query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+ORACLES["op13_phrases"] = phrases.oracle()
