@@ -13,7 +13,6 @@ trees are single-output).
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd
@@ -132,29 +131,6 @@ def predict(df: DataFrame, coefs: DataFrame, groups: list[str], features: list[s
     return j.withColumn(name, pred).drop("intercept", "coef")
 
 
-# --- seasonal additive model (re-aimed M8/M9) --------------------------------------------------------
-
-YEAR_DAYS = 365.25
-
-
-def seasonal_features(t: Column, yearly_order: int = 10, weekly_order: int = 3, changepoints: int = 10,
-                      span_days: Column | int = 365) -> dict[str, Column]:
-    """Trend, hinge trend at evenly spaced change points (first 80 % of the history),
-    yearly and weekly Fourier terms (Taylor & Letham 2018). ``t`` = days since start."""
-    feats = {"trend": t.cast("double")}
-    for c in range(changepoints):
-        cp = (F.lit(span_days) * 0.8 * (c + 1) / (changepoints + 1)) if not isinstance(span_days, int) \
-            else F.lit(span_days * 0.8 * (c + 1) / (changepoints + 1))
-        feats[f"cp_{c}"] = F.greatest(t.cast("double") - cp, F.lit(0.0))
-    for k in range(1, yearly_order + 1):
-        ang = 2 * math.pi * k * t / YEAR_DAYS
-        feats[f"ys_{k}"], feats[f"yc_{k}"] = F.sin(ang), F.cos(ang)
-    for k in range(1, weekly_order + 1):
-        ang = 2 * math.pi * k * t / 7.0
-        feats[f"ws_{k}"], feats[f"wc_{k}"] = F.sin(ang), F.cos(ang)
-    return feats
-
-
 # --- gradient-boosted trees -------------------------------------------------------------------------------
 
 def fit_gbt(train: DataFrame, features: list[str], target: str, max_iter: int = 20, max_depth: int = 5,

@@ -133,86 +133,6 @@ def gbt_importance(spark, sf_dir):
     return spark.createDataFrame(rows, "target string, feature string, importance double")
 
 
-# --- M8-M12, M14, M30: seasonal additive model as grouped ridge regression ------------------------------
-
-HORIZON = 60
-RIDGE = 0.01
-Z80 = 1.2815515655446004        # normal quantile of an 80 % interval
-
-
-def _seasonal_input(spark, sf_dir, shift=adapters.CALENDAR_SHIFT_YEARS):
-    """Daily store totals (dense) plus the future frame (M12): each store's next HORIZON
-    days with null y; the phase-rule regressor C7 on calendar-aligned dates."""
-    d = D.dense(spark, sf_dir, shift)
-    b = d.groupBy("store_id").agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
-    fut = b.select("store_id", F.explode(F.sequence(F.date_add("d1", 1), F.date_add("d1", HORIZON))).alias("date"),
-                   F.lit(None).cast("bigint").alias("y"))
-    allr = d.withColumn("is_future", F.lit(0)).unionByName(fut.withColumn("is_future", F.lit(1)))
-    allr = allr.join(b.select("store_id", "d0", F.datediff("d1", "d0").alias("span")), "store_id")
-    t = F.datediff("date", "d0")
-    feats = learn.seasonal_features(t, span_days=F.col("span"))
-    feats["semester_phase"] = cal.phase_rule_a("date").cast("double")
-    return allr.withColumns(feats), list(feats)
-
-
-def seasonal(spark, sf_dir, multiplicative: bool = False):
-    frame, feats = _seasonal_input(spark, sf_dir)
-    label = F.log1p(F.col("y").cast("double")) if multiplicative else F.col("y").cast("double")
-    frame = frame.withColumn("_label", label)
-    hist = frame.where("is_future = 0")
-    coefs = learn.solve_groups(learn.normal_equations(hist, ["store_id"], feats, "_label"), ["store_id"], feats,
-                               ridge=RIDGE)
-    pred = learn.predict(frame, coefs, ["store_id"], feats, name="_fit")
-    pred = pred.withColumn("yhat", F.expm1("_fit") if multiplicative else F.col("_fit"))
-    # interval = fitted value + residual quantiles (10 %, 90 %) of the store's history
-    resid = pred.where("is_future = 0").groupBy("store_id").agg(
-        F.percentile(F.col("y") - F.col("yhat"), F.array(F.lit(0.1), F.lit(0.9))).alias("_q"))
-    out = pred.join(resid, "store_id")
-    return out.select("store_id", "date", "y", "is_future", F.round("yhat", 4).alias("yhat"),
-                      F.round(F.col("yhat") + F.col("_q")[0], 4).alias("yhat_lower"),
-                      F.round(F.col("yhat") + F.col("_q")[1], 4).alias("yhat_upper"))
-
-
-@query("seasonal_forecast", "M8 M10 M12 M29 J13 L6")
-def seasonal_forecast(spark, sf_dir):
-    return seasonal(spark, sf_dir)
-
-
-@query("seasonal_forecast_mult", "M9 M25")
-def seasonal_forecast_mult(spark, sf_dir):
-    return seasonal(spark, sf_dir, multiplicative=True)
-
-
-@query("seasonal_cv", "M14 M17 M30 A15 M11")
-def seasonal_cv(spark, sf_dir, n_splits: int = 5):
-    """Expanding 5-fold CV of the seasonal model, all folds fitted together: every date
-    contributes its partial Gram to the first fold it trains, and fold f's system is the
-    prefix sum over folds <= f (n_splits rows per store), so rows are not replicated."""
-    frame, feats = _seasonal_input(spark, sf_dir)
-    hist = frame.where("is_future = 0").withColumn("_label", F.col("y").cast("double"))
-    folds = splits.expanding_folds(hist, n_splits)
-    first_train = folds.where("role = 'train'").groupBy("date").agg(F.min("fold").alias("ft"))
-    test_fold = folds.where("role = 'test'").select("date", F.col("fold").alias("tf"))
-    tagged = hist.join(first_train, "date", "left").join(test_fold, "date", "left")
-    part = learn.normal_equations(tagged.where(F.col("ft").isNotNull()), ["store_id", "ft"], feats, "_label")
-    # prefix-sum the partial Grams over folds: fold f uses every ft <= f (explode to <= n_splits folds)
-    ex = part.select("store_id", F.explode(F.sequence("ft", F.lit(n_splits - 1))).alias("fold"),
-                     F.posexplode("zz").alias("pos", "v"))
-    zz = ex.groupBy("store_id", "fold", "pos").agg(F.sum("v").alias("v")) \
-           .groupBy("store_id", "fold").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))),
-                                                        lambda s: s["v"]).alias("zz"))
-    coefs = learn.solve_groups(zz, ["store_id", "fold"], feats, ridge=RIDGE, with_sigma=True)
-    test = tagged.where(F.col("tf").isNotNull()).withColumnRenamed("tf", "fold")
-    pred = learn.predict(test, coefs, ["store_id", "fold"], feats)
-    # The normal 80 % interval of the fold's own fit
-    half = F.lit(Z80) * F.col("sigma")
-    pred = pred.withColumns({"lo": F.col("yhat") - half, "hi": F.col("yhat") + half})
-    per_fold = pred.groupBy("fold").agg(metrics.mae("_label", "yhat").alias("mae"),
-                                        metrics.rmse("_label", "yhat").alias("rmse"),
-                                        metrics.coverage("_label", "lo", "hi").alias("coverage"))
-    return metrics.round6(metrics.fold_summary(per_fold, ["mae", "rmse", "coverage"]), ["mean", "std"])
-
-
 # --- M21-M24, A16: parameter grid evaluated on the data --------------------------------------------------
 
 GRID_WINDOWS = [3, 7, 14, 28]

@@ -118,3 +118,25 @@ def holiday_window_df(spark: SparkSession, variant: str = "A") -> DataFrame:
         "holiday",
         F.explode(F.sequence(F.to_date("first"), F.to_date("last"))).alias("ds"),
         F.lit(0).alias("lower_window"), "upper_window")
+
+
+def holiday_table(spark: SparkSession, variant: str = "A") -> DataFrame:
+    """Public holidays and the custom windows in one table (holiday, ds, lower_window, upper_window)."""
+    public = holiday_df(spark).select(F.col("name").alias("holiday"), F.col("date").alias("ds"),
+                                      F.lit(0).alias("lower_window"), F.lit(0).alias("upper_window"))
+    return public.unionByName(holiday_window_df(spark, variant))
+
+
+def holiday_terms(variant: str = "A") -> tuple[str, ...]:
+    """Names of the holiday terms: one per holiday and day of its window."""
+    custom = HOLIDAY_WINDOWS_A if variant == "A" else HOLIDAY_WINDOWS_B
+    return tuple(sorted({f"{n}_0" for _, n in HOLIDAYS} | {f"{n}_{d}" for n, _, _, up in custom for d in range(up + 1)}))
+
+
+def holiday_days(spark: SparkSession, variant: str = "A") -> DataFrame:
+    """(date, terms): the places in ``holiday_terms`` of the terms that hold on a day. Fixed, a few hundred rows."""
+    day = F.explode(F.sequence("lower_window", "upper_window")).alias("d")
+    names = F.array(*[F.lit(n) for n in holiday_terms(variant)])
+    rows = holiday_table(spark, variant).select("holiday", "ds", day).select(
+        F.date_add("ds", F.col("d")).alias("date"), F.concat_ws("_", "holiday", F.col("d").cast("string")).alias("term"))
+    return rows.groupBy("date").agg(F.array_sort(F.collect_set((F.array_position(names, F.col("term")) - 1).cast("int"))).alias("terms"))
