@@ -27,7 +27,7 @@ def synthetic(stores=3, days=700, future=0, seed=0):
         y = (100 + 0.05 * t + 0.2 * np.maximum(t - 300, 0) + 8 * np.sin(2 * np.pi * e / 7) + 15 * np.cos(2 * np.pi * e / 365.25)
              + 20 * np.array([0 in x for x in terms]) - 9 * np.array([2 in x for x in terms]) + 4 * reg + rng.normal(0, 3, len(t)))
         y = np.where(t < days, y, np.nan)
-        y[40 + s] = np.nan          # not observed
+        y[40 + s:41 + s] = np.nan          # not observed
         out.append(pd.DataFrame({"store_id": s, "date": [dt.date(1970, 1, 1) + dt.timedelta(int(x)) for x in e], "t": t, "e": e,
                                  "hist": days, "terms": [x or None for x in terms], "reg": reg, "y": y, "is_future": (t >= days).astype(int)}))
     return pd.concat(out, ignore_index=True)
