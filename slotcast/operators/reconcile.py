@@ -9,23 +9,26 @@ level at a time, for all dates at once. No matrix is formed.
 
 (M and V are the columns ``sum_m``/``sum_v``: Spark column names are case-insensitive.)
 
-R2 — dense weights (MinTSa, MinTSh): the data-sized work (Gram matrices, lambda, and
-applying the coefficients to every date) stays in Spark; only the n x n solve of the
-hierarchy (n = number of series) runs in one ``applyInPandas`` group per tree.
+R2 — dense weights (MinTSa, MinTSh): W = A + B B' with A = lambda diag(W1), B = sqrt((1 - lambda) / T) E. With P the
+tree passes under the diagonal weights A, the reconciled forecasts are P y - P B a, where a solves the T x T
+system (I + (RB)' A^-1 (RB)) a = (RB)' A^-1 R y, R = I - P (T = residual dates). So the residual vectors are
+reconciled like forecasts, one more pass of group-by/join, and neither W nor G (series x series) is ever
+formed: the work grows with series x dates, and only T x T sums, as large as the calendar, meet in one task.
+MinTSa takes lambda = ``SAMPLE_SHARE`` instead of 0, which keeps W regular with more series than dates.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage, ship_package
 from . import hierarchy as H
 
-MAX_SERIES = 4000
+SAMPLE_SHARE = 1e-6
 METHODS = ["BU", "OLS", "SS", "VS", "MinTSa", "MinTSh"]
 
 
@@ -36,14 +39,6 @@ def check_method(method: str) -> str:
     return method
 
 
-def check_size(index: DataFrame) -> int:
-    """The dense methods solve one n x n system, so n is bounded."""
-    n = index.count()
-    if n > MAX_SERIES:
-        raise ValueError(f"{n} series: dense reconciliation takes at most {MAX_SERIES}; use a diagonal method")
-    return n
-
-
 def check_inputs(base: DataFrame, residuals: DataFrame | None = None, keys: list[str] | None = None) -> None:
     """Raise on null keys or values, on duplicate (series, key) rows, and when base forecasts and residuals
     do not cover the same series. Three aggregations, each with a one-row result."""
@@ -150,7 +145,6 @@ def series_index(nodes_df: DataFrame) -> DataFrame:
     row per series of the hierarchy (31 here, a few thousand for large hierarchies), so
     a plain ordered window is the cheapest correct plan; the dense MinT solve needs the
     whole hierarchy in one group anyway."""
-    from pyspark.sql import Window
     w = Window.orderBy("series_id")
     return nodes_df.select("series_id", "gid", (F.row_number().over(w) - 1).cast("int").alias("idx"))
 
@@ -172,81 +166,136 @@ def shrinkage_lambda(gram: DataFrame) -> DataFrame:
     return s.select(lam.alias("lambda"), t.cast("bigint").alias("n_dates"))
 
 
-def _solve_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One tree: W from the Gram entries, S from the edges; G = (S'W^-1 S)^-1 S'W^-1 with
-    ``solve`` (no explicit inverse)."""
-    n = int(pdf["n"].iloc[0])
-    t = float(pdf["t"].iloc[0])
-    lam = float(pdf["lam"].iloc[0])
-    shrink = bool(pdf["shrink"].iloc[0])
-    wr = pdf[pdf["kind"] == "w"]
-    W = np.zeros((n, n))
-    W[wr["i"].to_numpy(), wr["j"].to_numpy()] = wr["value"].to_numpy() / t
-    W = np.triu(W) + np.triu(W, 1).T
-    if shrink:
-        W = lam * np.diag(np.diag(W)) + (1.0 - lam) * W
-    sr = pdf[pdf["kind"] == "s"]
-    bottoms = np.sort(sr["j"].unique())
-    bpos = {b: p for p, b in enumerate(bottoms)}
-    S = np.zeros((n, len(bottoms)))
-    S[sr["i"].to_numpy(), [bpos[b] for b in sr["j"].to_numpy()]] = 1.0
-    X = np.linalg.solve(W, S)                 # W^-1 S
-    A = S.T @ X                               # S' W^-1 S
-    G = np.linalg.solve(A, X.T)               # (S'W^-1S)^-1 S'W^-1
-    bi, si = np.meshgrid(np.arange(len(bottoms)), np.arange(n), indexing="ij")
-    return pd.DataFrame({"bottom_idx": bottoms[bi.ravel()].astype("int32"),
-                         "idx": si.ravel().astype("int32"), "g": G.ravel()})
-
-
-def mint_coefficients(gram: DataFrame, index: DataFrame, edges: DataFrame, method: str,
-                      lam: DataFrame | None = None) -> DataFrame:
-    """``(bottom_idx, idx, g)``: the combination matrix G of MinTSa / MinTSh."""
+def dates_in_order(resid: DataFrame, date: str = "date") -> DataFrame:
+    """(date, idx): residual dates numbered from 0. One row per date of the calendar, so a plain window does."""
+    return resid.select(date).distinct().select(date, (F.row_number().over(Window.orderBy(date)) - 1).cast("int").alias("idx"))
+
+
+def _sum_rows(parts: DataFrame) -> DataFrame:
+    """Element-wise sums of the tasks' partial rows (row, v): one group per row, one entry per task."""
+    def add(f: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"row": [f["row"].iloc[0]], "v": [np.sum(np.vstack(f["v"]), axis=0).tolist()]})
+
+    return parts.groupBy("row").applyInPandas(add, "row int, v array<double>")
+
+
+def lambda_by_dates(resid: DataFrame, value: str = "e") -> DataFrame:
+    """H17 without pairs of series: with z = e / sqrt(w_ii), the sum of r_ij^2 over all pairs is |Z'Z|^2 / T^2 and the
+    sum of q_ij / (w_ii w_jj) is, per date, (sum_i z_i^2)^2, both less their diagonal. Z'Z has one row per date."""
+    resid = resid.select("series_id", "date", F.col(value).cast("double").alias("e"))
+    dates = cut_lineage(dates_in_order(resid))
+    t = dates.count()
+    whole = resid.groupBy("series_id").agg((F.sum(F.col("e") * F.col("e")) / t).alias("w")).where("w > 0")      # P20
+    z = resid.join(dates, "date").join(whole, "series_id").select("series_id", "idx", (F.col("e") / F.sqrt("w")).alias("z"))
+    rows = cut_lineage(z.groupBy("series_id").agg(F.collect_list("idx").alias("ix"), F.collect_list("z").alias("z")))
+
+    def partial(frames):
+        cross, square, fourth, n = np.zeros((t, t)), np.zeros(t), 0.0, 0
+        for f in frames:
+            m = _matrix(f["ix"], f["z"], t)
+            cross += m.T @ m
+            square += (m ** 2).sum(axis=0)
+            fourth += float((m ** 4).sum())
+            n += len(m)
+        if n:
+            yield pd.DataFrame({"row": [*range(t), t, t + 1], "v": [*cross.tolist(), square.tolist(), [fourth, float(n)]]})
+
+    ship_package(resid.sparkSession)
+    sums = _sum_rows(rows.coalesce(H.GRAM_TASKS).mapInPandas(partial, "row int, v array<double>"))
+    add_squares = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)
+    one = sums.agg(F.sum(F.when(F.col("row") < t, add_squares)).alias("cross"), F.sum(F.when(F.col("row") == t, add_squares)).alias("dated"),
+                   F.max(F.when(F.col("row") == t + 1, F.get("v", F.lit(0)))).alias("fourth"),
+                   F.max(F.when(F.col("row") == t + 1, F.get("v", F.lit(1)))).alias("n"))
+    sr = F.col("cross") / (t * t) - F.col("n")
+    sv = ((F.col("dated") - F.col("fourth")) - t * sr) / (t * (t - 1)) if t > 1 else F.lit(0.0)
+    return one.select(F.greatest(F.least(sv / sr, F.lit(1.0)), F.lit(0.0)).alias("lambda"), F.lit(t).cast("bigint").alias("n_dates"))
+
+
+def _matrix(ix: pd.Series, values: pd.Series, width: int) -> np.ndarray:
+    out = np.zeros((len(ix), width))
+    for r, (i, v) in enumerate(zip(ix, values)):
+        out[r, np.asarray(i, dtype=int)] = np.asarray(v, dtype=float)
+    return out
+
+
+def reconcile_mint(base: DataFrame, resid: DataFrame, method: str, labels: list[str] = H.LABELS,
+                   keys: list[str] | None = None) -> DataFrame:
+    """``base`` (labels, series_id, keys, yhat) reconciled under W of ``method``; ``resid`` has the label
+    columns, series_id, date and e, one row per series and residual date. Series whose residuals are all zero
+    have no weight (P20) and are handled as in ``reconcile_tree``."""
     check_method(method)
-    check_size(index)
-    n = index.agg(F.count(F.lit(1))).scalar()
-    t = gram.where("i = -1").select("w_sum").scalar()
-    lam_c = lam.select("lambda").scalar() if (lam is not None and method == "MinTSh") else F.lit(0.0)
-    w_rows = gram.where("i >= 0").select(F.lit("w").alias("kind"), "i", "j", F.col("w_sum").alias("value"))
-    ix = index.select("series_id", "idx")
-    s_rows = (edges.join(ix, "series_id")
-              .join(ix.select(F.col("series_id").alias("bottom_id"), F.col("idx").alias("j")), "bottom_id")
-              .select(F.lit("s").alias("kind"), F.col("idx").alias("i"), "j", F.lit(1.0).alias("value")))
-    rows = w_rows.unionByName(s_rows).select(
-        F.lit(0).alias("tree_id"), "kind", "i", "j", "value", n.cast("int").alias("n"), t.alias("t"),
-        lam_c.cast("double").alias("lam"), F.lit(method == "MinTSh").alias("shrink"))
-    ship_package(gram.sparkSession)
-    return rows.groupBy("tree_id").applyInPandas(_solve_group, "bottom_idx int, idx int, g double")
-
-
-def apply_coefficients(base: DataFrame, coef: DataFrame, index: DataFrame, labels: list[str] = H.LABELS,
-                       keys: list[str] | None = None) -> DataFrame:
-    """Reconciled bottoms b = G yhat for every date, then S b by a grouping-sets roll-up. G (bottoms x
-    series, at most MAX_SERIES squared) goes to the tasks; each date's forecasts form one vector and a
-    task multiplies a block of them, so no date x series x bottom rows exist."""
     keys = keys or ["date"]
-    rows = coef.toPandas()          # bounded by check_size
-    bottoms = np.sort(rows["bottom_idx"].unique())
-    g = np.zeros((len(bottoms), int(rows["idx"].max()) + 1))
-    g[np.searchsorted(bottoms, rows["bottom_idx"]), rows["idx"]] = rows["g"]
-    ix = index.select("series_id", "idx")
-    vectors = (base.select("series_id", *keys, "yhat").join(ix, "series_id").groupBy(*keys)
-               .agg(F.collect_list(F.struct("idx", "yhat")).alias("v"))
-               .select(*keys, F.col("v.idx").alias("ix"), F.col("v.yhat").alias("v")))
-
-    def multiply(frames):
+    spark = base.sparkSession
+    ship_package(spark)
+    resid = resid.select("series_id", *labels, "date", F.col("e").cast("double").alias("e"))
+    if method == "MinTSh":
+        lam = float(lambda_by_dates(resid).first()["lambda"] or 0.0)       # one row
+    else:
+        lam = 0.0
+    lam = min(max(lam, SAMPLE_SHARE), 1.0)
+    dates = cut_lineage(dates_in_order(resid))
+    t = dates.count()
+    weights = cut_lineage(resid.groupBy("series_id").agg((F.sum(F.col("e") * F.col("e")) / t * lam).alias("w")).where("w > 0"))
+    first = cut_lineage(reconcile_tree(base, weights, labels, keys))
+    if lam >= 1.0 or t == 0:
+        return first
+    # P B: every residual date is a vector to reconcile; then one row per series with its dates as arrays
+    moved = reconcile_tree(resid.withColumnRenamed("e", "yhat"), weights, labels, ["date"])
+    factor = float(np.sqrt((1.0 - lam) / t))
+    rows = moved.join(dates, "date").groupBy("series_id").agg(
+        F.collect_list("idx").alias("ix"), F.collect_list(F.coalesce("yhat_rec", "yhat") * factor).alias("pb"),
+        F.collect_list(F.coalesce(F.col("yhat") - F.col("yhat_rec"), F.lit(0.0)) * factor).alias("rb"))
+    rows = cut_lineage(rows.join(weights, "series_id", "left"))
+    horizon = cut_lineage(first.select(*keys).distinct().withColumn("h", F.xxhash64(*keys)))
+    ahead = first.where("yhat_rec is not null").withColumn("h", F.xxhash64(*keys))
+    ry = ahead.groupBy("series_id").agg(F.collect_list("h").alias("h"), F.collect_list(F.col("yhat") - F.col("yhat_rec")).alias("ry"))
+    both = cut_lineage(rows.where("w is not null").join(ry, "series_id").select("ix", "rb", "w", "h", "ry"))
+
+    def partial(frames):
+        system, right, n = np.zeros((t, t)), {}, 0
         for f in frames:
-            if len(f):
-                y = np.zeros((len(f), g.shape[1]))
-                for r, (i, v) in enumerate(zip(f["ix"], f["v"])):
-                    y[r, np.asarray(i, dtype=int)] = np.asarray(v, dtype=float)
-                out = f[keys].loc[f.index.repeat(len(bottoms))].reset_index(drop=True)
-                yield out.assign(bottom_idx=np.tile(bottoms, len(f)).astype("int32"), b=(y @ g.T).ravel())
-
-    ship_package(base.sparkSession)
-    schema = T.StructType([base.schema[k] for k in keys] + [T.StructField("bottom_idx", T.IntegerType()),
-                                                            T.StructField("b", T.DoubleType())])
-    b = vectors.mapInPandas(multiply, schema)
-    lab = base.where(H.node_depth(labels) == len(labels)).select("series_id", *labels).distinct() \
-              .join(ix, "series_id").select(F.col("idx").alias("bottom_idx"), *labels)
-    rec = rollup_bottom(b.join(lab, "bottom_idx"), "b", labels, keys).select("series_id", *keys, "yhat_rec")
-    return base.join(rec, ["series_id", *keys], "left")
+            m = _matrix(f["ix"], f["rb"], t)
+            scaled = m / f["w"].to_numpy()[:, None]
+            system += scaled.T @ m
+            n += len(f)
+            names, place = np.unique(np.concatenate([np.asarray(h) for h in f["h"]]), return_inverse=True)
+            y = np.zeros((len(f), len(names)))
+            y[np.repeat(np.arange(len(f)), [len(h) for h in f["h"]]), place] = np.concatenate([np.asarray(v, dtype=float) for v in f["ry"]])
+            for name, v in zip(names.tolist(), (scaled.T @ y).T):
+                right[name] = right.get(name, 0.0) + v
+        if n:
+            yield pd.DataFrame({"kind": 0, "h": np.arange(t), "v": system.tolist()})
+            for part in np.array_split(np.array(list(right)), max(1, len(right) // 1024)):
+                yield pd.DataFrame({"kind": 1, "h": part, "v": [right[x].tolist() for x in part.tolist()]})
+
+    def add(f: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"kind": [f["kind"].iloc[0]], "h": [f["h"].iloc[0]], "v": [np.sum(np.vstack(f["v"]), axis=0).tolist()]})
+
+    sums = both.coalesce(H.GRAM_TASKS).mapInPandas(partial, "kind int, h long, v array<double>")
+    sums = sums.groupBy("kind", "h").applyInPandas(add, "kind int, h long, v array<double>")
+
+    def answer(f: pd.DataFrame) -> pd.DataFrame:
+        """The T x T system, as large as the calendar, for all horizon dates at once."""
+        system = np.vstack(f[f["kind"] == 0].sort_values("h")["v"]) + np.eye(t)
+        right = f[f["kind"] == 1]
+        a = np.linalg.solve(system, np.vstack(right["v"]).T).T if len(right) else np.zeros((0, t))
+        return pd.DataFrame({"h": right["h"], "a": list(a)})
+
+    shares = cut_lineage(sums.groupBy(F.lit(0).alias("g")).applyInPandas(answer, "h long, a array<double>"))
+    # blocks of horizon dates meet blocks of series; a row carries arrays as long as the calendar
+    block = F.pmod("h", F.lit(8))
+    packs = shares.groupBy(block.alias("block")).agg(F.collect_list("h").alias("hs"), F.collect_list("a").alias("as"))
+    spread = rows.select("series_id", "ix", "pb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("block"))
+
+    def subtract(frames):
+        for f in frames:
+            for _, g in f.groupby("block"):
+                m = _matrix(g["ix"], g["pb"], t)
+                hs, a = np.asarray(g["hs"].iloc[0]), np.vstack(g["as"].iloc[0])
+                shift = m @ a.T
+                yield pd.DataFrame({"series_id": np.repeat(g["series_id"].to_numpy(), len(hs)), "h": np.tile(hs, len(g)), "shift": shift.ravel()})
+
+    shift = spread.join(packs, "block").mapInPandas(subtract, "series_id string, h long, shift double")
+    named = horizon.join(shift, "h").drop("h")
+    return first.join(named, ["series_id", *keys], "left").withColumn(
+        "yhat_rec", F.col("yhat_rec") - F.coalesce("shift", F.lit(0.0))).drop("shift")

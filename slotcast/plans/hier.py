@@ -151,6 +151,8 @@ class Context:
         self.spark, self.sf_dir = spark, sf_dir
         self.b, self.rd, self.res, self.hz = parts(spark, sf_dir, forecast)
         self.nd = nodes(spark, sf_dir, self.b)
+        self.vectors = self.b.join(self.rd, "date", "left_semi").withColumn("e", F.col("yhat") - F.col("y"))
+        R.check_inputs(self.hz, self.vectors)       # H22
         self._gram = None
 
     def gram(self):
@@ -223,11 +225,7 @@ def reconciled(spark, sf_dir, method: str, ctx: Context | None = None, rows=None
     ctx = ctx or Context(spark, sf_dir)
     rows = ctx.hz if rows is None else rows
     if method in ("MinTSa", "MinTSh"):
-        gram, index, nd, *_ = ctx.gram()
-        edges = H.summing_edges(nd)
-        lam = R.shrinkage_lambda(gram) if method == "MinTSh" else None
-        coef = R.mint_coefficients(gram, index, edges, method, lam)
-        return R.apply_coefficients(rows, coef, index)
+        return R.reconcile_mint(rows, ctx.vectors, method)
     if method == "BU":
         return R.reconcile_bu(rows)
     w = R.diagonal_weights(method, ctx.nd, ctx.res)
@@ -284,7 +282,7 @@ def _make_rec(method):
 
 for _m, _ids in (("bu", "H12 H18"), ("ols", "H11 H18 R1"), ("ss", "H13 R1"), ("vs", "H14 R1")):
     query(f"reconcile_{_m}", _ids, _rec_sql(_m.upper()))(_make_rec(_m.upper()))
-query("reconcile_mint_sample", "H15 R2 S13")(_make_rec("MinTSa"))
+query("reconcile_mint_sample", "H15 R2")(_make_rec("MinTSa"))
 query("reconcile_mint_shrink", "H16 R2 H24")(_make_rec("MinTSh"))
 
 
@@ -351,7 +349,7 @@ def bootstrap(spark, sf_dir, samples: int | None = None, alpha: float = 0.1, met
     subtracts it, else it is added (which doubles a bias)."""
     ctx = ctx or Context(spark, sf_dir)
     rec = reconciled(spark, sf_dir, method, ctx).select("series_id", "level", "date", "y", F.col("yhat_rec").alias("m"))
-    vectors = ctx.b.join(ctx.rd, "date", "left_semi").withColumn("yhat", F.col("yhat") - F.col("y"))
+    vectors = ctx.vectors.withColumn("yhat", F.col("e")).drop("e")
     sign = F.lit(-1.0 if centred else 1.0)
     e = reconciled(spark, sf_dir, method, ctx, vectors).select("series_id", F.col("date").alias("rdate"),
                                                                (sign * F.col("yhat_rec")).alias("e"))

@@ -243,34 +243,59 @@ def test_lambda_aggregate_form(spark):
     assert np.isclose(lam, _shrinkage_by_pairs(E.tolist()))
 
 
-def test_mint_matches_dense(spark):
+def _labelled_residuals(spark, base, ids, E):
+    res = spark.createDataFrame([(ids[j], i, float(E[i, j])) for i in range(len(E)) for j in range(len(ids))],
+                                "series_id string, date int, e double")
+    return res.join(base.select("series_id", *H.LABELS).distinct(), "series_id")
+
+
+@pytest.mark.parametrize("method", ["MinTSh", "MinTSa"])
+def test_mint_matches_dense(spark, method):
     base, _, ids, _ = _tree_frames(spark, seed=5, dates=2)
     rng = np.random.default_rng(5)
-    E = rng.normal(size=(30, len(ids)))
-    res = spark.createDataFrame([(ids[j], i, float(E[i, j])) for i in range(30) for j in range(len(ids))],
-                                "series_id string, date int, e double")
-    nodes = spark.createDataFrame([(i, 0) for i in ids], "series_id string, gid int")
-    index = R.series_index(nodes)
-    gram = H.partial_gram(res, index)
-    edges_rows = []
-    S = _summing(ids)
-    leaves = [i for i in ids if "*" not in i]
-    for r, sid in enumerate(ids):
-        for j, leaf in enumerate(leaves):
-            if S[r, j]:
-                edges_rows.append((sid, leaf))
-    edges = spark.createDataFrame(edges_rows, "series_id string, bottom_id string")
-    lam = R.shrinkage_lambda(gram)
-    coef = R.mint_coefficients(gram, index, edges, "MinTSh", lam)
-    got = R.apply_coefficients(base, coef, index).toPandas()
-    lam_v = _shrinkage_by_pairs(E.tolist())
-    W1 = E.T @ E / 30
-    W = lam_v * np.diag(np.diag(W1)) + (1 - lam_v) * W1
-    Wi = np.linalg.inv(W)
+    E = rng.normal(size=(60, len(ids)))
+    got = R.reconcile_mint(base, _labelled_residuals(spark, base, ids, E), method).toPandas()
+    W = E.T @ E / 60
+    if method == "MinTSh":
+        lam = _shrinkage_by_pairs(E.tolist())
+        W = lam * np.diag(np.diag(W)) + (1 - lam) * W
+    S, Wi = _summing(ids), np.linalg.inv(W)
     G = np.linalg.inv(S.T @ Wi @ S) @ S.T @ Wi
+    assert got["date"].nunique() == 2
     for d, g in got.groupby("date"):
         y = g.set_index("series_id").loc[ids, "yhat"].to_numpy()
-        assert np.allclose(g.set_index("series_id").loc[ids, "yhat_rec"].to_numpy(), S @ G @ y)
+        assert np.allclose(g.set_index("series_id").loc[ids, "yhat_rec"].to_numpy(), S @ G @ y, rtol=1e-4, atol=1e-3)
+
+
+def test_lambda_by_dates_matches_pairs(spark):
+    base, _, ids, _ = _tree_frames(spark, seed=8, dates=1)
+    E = np.random.default_rng(8).normal(size=(25, len(ids))) + np.arange(25)[:, None] / 5
+    E[:, 2] = 0         # dropped (P20)
+    got = R.lambda_by_dates(_labelled_residuals(spark, base, ids, E)).first()
+    assert got["lambda"] == pytest.approx(_shrinkage_by_pairs(np.delete(E, 2, axis=1).tolist())) and got["n_dates"] == 25
+
+
+def test_mint_with_more_series_than_dates(spark):
+    """1,200 series on 12 residual dates: equal to the dense formula, with a zero-residual store and bottom."""
+    rng = np.random.default_rng(3)
+    bottoms = [(s, f"c{c}") for s in range(40) for c in range(29)]
+    nodes = [(None, None)] + [(s, None) for s in range(40)] + bottoms
+    ids = ["|".join("*" if x is None else str(x) for x in n) for n in nodes]
+    y = rng.normal(50, 10, (len(nodes), 3))
+    E = rng.normal(size=(12, len(nodes))) + rng.normal(size=(12, 1))
+    E[:, 5] = 0
+    base = spark.createDataFrame([(ids[i], *nodes[i], d, float(y[i, d])) for i in range(len(nodes)) for d in range(3)],
+                                 "series_id string, store_id int, category string, date int, yhat double")
+    got = R.reconcile_mint(base, _labelled_residuals(spark, base, ids, E), "MinTSh").toPandas().pivot(
+        index="series_id", columns="date", values="yhat_rec").loc[ids].to_numpy()
+    live = np.delete(np.arange(len(ids)), 5)
+    W = E[:, live].T @ E[:, live] / 12
+    lam = float(R.lambda_by_dates(_labelled_residuals(spark, base, ids, E)).first()["lambda"])
+    W = lam * np.diag(np.diag(W)) + (1 - lam) * W
+    S = np.array([[a[0] in (None, b[0]) and a[1] in (None, b[1]) for b in bottoms] for a in nodes], dtype=float)
+    X = np.linalg.solve(W, S[live])
+    b = np.linalg.solve(S[live].T @ X, X.T @ y[live])
+    assert 0 < lam < 1 and np.allclose(got, S @ b, rtol=1e-6, atol=1e-6)
 
 
 def test_single_child_parent_is_not_bottom(spark):
@@ -393,13 +418,6 @@ def test_bootstrap_draws_and_sign(spark):
     assert cover > 0.8
 
 
-def test_dense_methods_refuse_large_hierarchies(spark, monkeypatch):
-    monkeypatch.setattr(R, "MAX_SERIES", 3)
-    index = spark.createDataFrame([(f"s{i}", 0, i) for i in range(4)], "series_id string, gid int, idx int")
-    with pytest.raises(ValueError):
-        R.check_size(index)
-
-
 def test_iso_requests(spark):
     texts = ["2024-01-05T12:40:00", "2024-01-05T12:40", "2024-01-05 12:40:10", "2024-01-05", "2024-01-05T12:40:00.250", "x", "", None,
              "2024-13-01", "05.01.2024", "2024-01-05T12:40:00x"]
