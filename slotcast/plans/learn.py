@@ -79,7 +79,7 @@ def impute_variant_b(spark, sf_dir):
 
 # --- M5-M7: gradient-boosted trees on the interval-level model frame ---------------------------------
 
-GBT_SPLIT = "2024-01-22"
+GBT_TRAIN_PERCENT = 70
 GBT_PARAMS = dict(max_iter=10, max_depth=5, step_size=0.1, subsampling=0.8)
 
 
@@ -88,6 +88,13 @@ def gbt_frame(spark, sf_dir):
     return SL._make_rollup("interval")(spark, sf_dir)
 
 
+def gbt_split(frame):
+    """The first ``GBT_TRAIN_PERCENT`` of the data's days train, the rest test."""
+    b = frame.agg(F.min("date").alias("d0"), F.max("date").alias("d1")).first()
+    cut = F.date_add(F.lit(b["d0"]).cast("date"), 1 + (b["d1"] - b["d0"]).days * GBT_TRAIN_PERCENT // 100) if b["d0"] else F.lit(None).cast("date")
+    return frame.where(F.col("date") < cut), frame.where(F.col("date") >= cut)
+
+
 def gbt_targets(spark, sf_dir, frame):
     """Targets = categories with any sale (P2: all-zero columns are dropped)."""
     prof = clean.zero_column_profile(frame, CATS).where("kept").select("column_name")
@@ -102,8 +109,7 @@ def gbt_runs(spark, sf_dir):
 
     frame = cut_lineage(gbt_frame(spark, sf_dir).withColumn("store_id", F.col("store_id").cast("double")))
     feats = ["store_id"] + level_time_columns("interval") + cal.LEVEL_CALENDAR["interval"]
-    train = frame.where(F.col("date") < F.lit(GBT_SPLIT).cast("date"))
-    test = frame.where(F.col("date") >= F.lit(GBT_SPLIT).cast("date"))
+    train, test = gbt_split(frame)
     targets = gbt_targets(spark, sf_dir, frame)
     with ThreadPoolExecutor(max_workers=max(1, len(targets))) as pool:
         models = list(pool.map(lambda t: learn.fit_gbt(train, feats, t, **GBT_PARAMS), targets))

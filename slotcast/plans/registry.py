@@ -29,4 +29,4 @@ def query(name: str, ids: str = "", oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so its queries register."""
-    from . import daily, forecast, hier, learn, lookup, slots  # noqa: F401
+    from . import daily, forecast, hier, learn, lookup, slots, trees  # noqa: F401
