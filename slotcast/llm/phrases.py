@@ -43,7 +43,7 @@ SCORE_SCALE = 2_000_000
 COVER_PERCENT = 80
 TOP = 2000
 UNKNOWN = "und"
-RUN_BYTES = 8_000_000
+RUN_BYTES = 3_000_000
 FILTER_BITS = 1 << 27
 BLOCK_BITS = 16         # filter bits are gathered in blocks of 2^16
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
