@@ -43,16 +43,21 @@ MARKS = "([<\\[])(~*)(/?s>|/?SYS\\]|/?INST\\]|ANS\\]|/?ROLE\\]|ROLE [0-9A-F]*\\]
 ESCAPED = MARKS.replace("(~*)", "~(~*)")
 ROLES = {"system": ("[SYS]", "[/SYS]"), "user": ("[INST]", "[/INST]"), "assistant": ("[ANS]", "</s>")}
 START = "<s>"
-TURN_END = "(?<=</s>|\\[/INST\\]|\\[/SYS\\]|\\[/ROLE\\])"
+TURN_END = "(?<=[>\\]])(?<=</s>|\\[/INST\\]|\\[/SYS\\]|\\[/ROLE\\])"
 TURN = "(?s)^\\[([^\\]]*)\\](.*)(?:</s>|\\[/[A-Z]+\\])\\z"
 
 
+def _where_marked(text: Column, changed: Column) -> Column:
+    """``changed`` only for texts that hold an opening character: the others need no pattern search."""
+    return F.when((F.instr(text, "<") > 0) | (F.instr(text, "[") > 0), changed).otherwise(text)
+
+
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, MARKS, "$1~$2$3")
+    return _where_marked(text, F.regexp_replace(text, MARKS, "$1~$2$3"))
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, ESCAPED, "$1$2$3")
+    return _where_marked(text, F.regexp_replace(text, ESCAPED, "$1$2$3"))
 
 
 def estimated_tokens(text: Column) -> Column:
