@@ -112,3 +112,72 @@ def test_verbatim_passages_at_every_offset():
                 want.append(i)
     assert len(want) > 1000
     assert [[f[0] for f in found] for found in dc.search(index, texts)] == [[i] for i in want]
+
+
+def short_hits(items, text):
+    out = []
+    for i, t in items:
+        at = -1
+        while (at := text.find(t, at + 1)) >= 0:
+            if not (text[at - 1:at] if at else "").isalnum() and not text[at + len(t):at + len(t) + 1].isalnum():
+                out.append(i)
+                break
+    return out
+
+
+def test_short_items_match_verbatim_between_word_boundaries():
+    rng = random.Random(3)
+    items = [(i, dc.normalise("".join(rng.choice("abcde fgh") for _ in range(n)) + "z")) for i, n in enumerate(list(range(10, 29)) * 3)]
+    items = [(i, t) for i, t in items if dc.MIN_CHARS <= len(t) < dc.SHORT]
+    texts = []
+    for _ in range(300):
+        _, t = rng.choice(items)
+        t = edit(rng, t, 1) if rng.random() < .3 else t
+        texts.append(dc.normalise(f"some words {rng.choice(['', 'x', '('])}{t}{rng.choice(['', 'y', '.', ' more'])}"))
+    got = [[f[0] for f in found] for found in dc.search(dc.build_index(items), texts)]
+    want = [short_hits(items, t) for t in texts]
+    assert got == want and sum(map(bool, want)) > 80 and not all(want)
+
+
+def test_repetitive_texts_in_bounded_memory():
+    """A run of one character against an item that holds such a run: counted range by range, and still found."""
+    import tracemalloc
+    item = "abc " + "_" * 56 + " the quick brown fox jumps over the lazy dog again and again until the evening comes"
+    index = dc.build_index([(1, item), (2, "_" * 300)])
+    text = "_" * 150_000 + " " + item
+    tracemalloc.start()
+    found = dc.search(index, [text, "_" * 40])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f[0] for f in found[0]] == [1, 2] and found[0][0][3] == 0 and not found[1]
+    assert peak < 700e6
+
+
+def test_ranges_and_pieces_change_nothing(monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice(["th", "er", "on", "an", "in"]) for _ in range(rng.randint(1, 3)))
+    items = [(i, " ".join(word() for _ in range(rng.choice([12, 40, 200])))) for i in range(20)]
+    texts = [" ".join(word() for _ in range(60)) + " " + edit(rng, t[:rng.choice([90, 300])], rng.choice([0, 3])) + " " + word() * 9 for _, t in items]
+    texts.append(" ".join(texts))
+    whole = dc.search(dc.build_index(items), texts)
+    assert sum(map(len, whole)) > 20
+    monkeypatch.setattr(dc, "POSTINGS", 300)
+    monkeypatch.setattr(dc, "CHUNK_CHARS", 700)
+    monkeypatch.setattr(dc, "ITEM_CHARS", 400)
+    parts = dc.search(dc.build_index(items), texts)
+    assert [[f[0] for f in a] for a in parts] == [[f[0] for f in a] for a in whole]
+
+
+def test_several_passes_equal_one(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    texts = [r.text for r in bench.limit(3).collect()]
+    docs = docs.unionByName(spark.createDataFrame([(1000 + i, "pre " + t + " post", None, None, 0) for i, t in enumerate(texts)], docs.schema))
+    rows = lambda: sorted((r.doc_id, r.contaminated, tuple(sorted(zip(r.item_ids, r.starts, r.ends, r.edits))))
+                          for r in dc.find_contaminated(docs, bench).collect())
+    one, left = rows(), sorted(r.doc_id for r in dc.drop_contaminated(docs, bench).collect())
+    monkeypatch.setattr(dc, "BLOCK_CHARS", 2500)
+    monkeypatch.setattr(dc, "PASS_BLOCKS", 1)
+    assert len(list(dc._passes(bench, "item_id", "text", dc.MIN_CHARS))) > 2
+    assert rows() == one and sorted(r.doc_id for r in dc.drop_contaminated(docs, bench).collect()) == left
+    assert len(left) + sum(c for _, c, _ in one) == 63
