@@ -34,9 +34,9 @@ SHARD_BYTES = 1 << 20
 @query
 def op1_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.assign(documents(spark, sf_dir), SHARD_BYTES)
-    shards = rows.groupBy("shard_depth", "shard_prefix").agg(
-        F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_rows"))
-    return rows.drop("key_hash").join(shards, ["shard_depth", "shard_prefix"])
+    shard = ["shard_depth", "shard_prefix", "page"]
+    shards = rows.groupBy(*shard).agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_rows"))
+    return rows.drop("key_hash").join(shards, shard)
 
 
 ORACLES["op1_extendible_shards"] = sharding.oracle(SHARD_BYTES)

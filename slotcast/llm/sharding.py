@@ -70,6 +70,20 @@ def shard_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(F.octet_length(docs[text_col].cast("string")), F.lit(0)).cast("long").alias("__bytes"))
 
 
+def with_pages(rows: DataFrame, limit: int) -> DataFrame:
+    """``page`` for the rows of over-full shards. The rows of one hash are equal, so any order deals them alike: each
+    partition numbers its own, from the sum of the counts of the partitions before it."""
+    rows = cut_lineage(rows.withColumn("__part", F.spark_partition_id()))
+    counts = rows.groupBy("__h", "__part").agg(F.count("*").alias("__c"))
+    before = Window.partitionBy("__h").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("__h", "__part", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("__h", "__part").orderBy(F.lit(0))) - 1
+    fits = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("__bytes")))
+    return (rows.withColumn("__own", own).join(counts, ["__h", "__part"])
+            .withColumn("page", F.floor((F.col("__before") + F.col("__own")) / fits).cast("long"))
+            .drop("__own", "__before", "__part"))
+
+
 def assign(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_bytes, shard_depth, shard_prefix, page."""
     rows = directory(cut_lineage(shard_keys(docs, id_col, text_col)), limit)
@@ -77,10 +91,7 @@ def assign(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str =
     full = (rows.groupBy(*shard).agg(F.sum("__bytes").alias("shard_bytes"), F.count("*").alias("shard_rows")))
     over = full.where((F.col("shard_bytes") > limit) & (F.col("shard_rows") > 1)).select(*shard)
     rest = rows.join(over, shard, "left_anti").withColumn("page", F.lit(0).cast("long"))
-    # rows of an over-full shard are equal, so any order deals them alike
-    seq = F.row_number().over(Window.partitionBy("__h").orderBy("__id")) - 1
-    paged = rows.join(over, shard, "left_semi").withColumn(
-        "page", F.floor(seq / F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("__bytes")))).cast("long"))
+    paged = with_pages(rows.join(over, shard, "left_semi"), limit)
     return rest.unionByName(paged.select(rest.columns)).select(
         F.col("__id").alias(id_col), F.col("__bytes").alias("n_bytes"), *shard, "page", F.col("__h").alias("key_hash"))
 
@@ -93,23 +104,37 @@ def shard_name(depth: Column, prefix: Column) -> Column:
 
 def attach(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "text",
            out_col: str = "shard_id", max_directory: int = 1_000_000) -> DataFrame:
-    """``docs`` with the shard of every row in ``out_col`` (equal rows stay together). A directory of
-    at most ``max_directory`` shards is broadcast, one level at a time, so texts are not shuffled;
-    a larger one is joined by key hash."""
+    """``docs`` with the shard of every row in ``out_col``. A directory of at most ``max_directory`` shards is broadcast,
+    one level at a time, so texts are not shuffled; a larger one is joined by key hash. Rows of an over-full shard,
+    which are equal, get the shard of their overflow page: its name ends in ``-`` and the page."""
     rows = directory(cut_lineage(shard_keys(docs, id_col, text_col)), limit)
-    shards = cut_lineage(rows.groupBy("shard_depth", "shard_prefix").agg(F.count("*").alias("n")))
+    shards = cut_lineage(rows.groupBy("shard_depth", "shard_prefix").agg(F.count("*").alias("n"), F.sum("__bytes").alias("b")))
     name = shard_name(F.col("shard_depth"), F.col("shard_prefix"))
     out = docs.withColumn("__h", hash60(key_text(docs[id_col], docs[text_col])))
     keep = [F.col(f"`{c}`") for c in docs.columns if c != out_col]
     if shards.count() > max_directory:
         by_key = rows.select("__h", name.alias("__shard")).distinct()
-        return out.join(by_key, "__h").select(*keep, F.col("__shard").alias(out_col))
+        return _paged(out.join(by_key, "__h"), shards, name, limit, docs[text_col], keep, "__shard", out_col)
     found = F.lit(None).cast("string")
     for d in [r[0] for r in shards.select("shard_depth").distinct().orderBy("shard_depth").collect()]:   # <= 61
         level = shards.where(F.col("shard_depth") == d).select(F.col("shard_prefix").alias(f"__p{d}"), name.alias(f"__n{d}"))
         out = out.withColumn(f"__p{d}", F.shiftright("__h", BITS - d)).join(F.broadcast(level), f"__p{d}", "left")
         found = F.coalesce(found, F.col(f"__n{d}"))
-    return out.select(*keep, found.alias(out_col))
+    return _paged(out.withColumn("__shard", found), shards, name, limit, docs[text_col], keep, "__shard", out_col)
+
+
+def _paged(out: DataFrame, shards: DataFrame, name: Column, limit: int, text: Column, keep: list[Column], shard: str,
+           out_col: str) -> DataFrame:
+    """The columns ``keep`` and the shard in ``out_col``, with the page where a shard of equal rows is over-full."""
+    over = shards.where((F.col("b") > limit) & (F.col("n") > 1)).select(name.alias(shard))
+    if over.isEmpty():
+        return out.select(*keep, F.col(shard).alias(out_col))
+    size = F.coalesce(F.octet_length(text.cast("string")), F.lit(0)).alias("__bytes")
+    cols = [*keep, F.col("__h"), F.col(shard), size]
+    rest = out.join(over, shard, "left_anti").select(*keep, F.col(shard).alias(out_col))
+    equal = with_pages(out.join(over, shard, "left_semi").select(*cols), limit)
+    paged = F.concat(F.col(shard), F.lit("-"), F.lpad(F.col("page").cast("string"), 6, "0"))
+    return rest.unionByName(equal.select(*[F.col(f"`{c}`") for c in rest.columns if c != out_col], paged.alias(out_col)))
 
 
 def write_shards(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -123,7 +148,7 @@ def oracle(limit: int) -> str:
     """DuckDB SQL of ``op1``: every prefix of every length, the shortest that fits."""
     return f"""
 WITH r AS (
-  SELECT doc_id, coalesce(strlen(text), 0) AS b,
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(strlen(text), 0) AS b,
          CAST('0x' || substr(md5(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':'
               || md5(coalesce(text, chr(0))))), 1, 15) AS BIGINT) AS h
   FROM documents),
@@ -132,7 +157,11 @@ n AS (
   FROM r, (SELECT CAST(range AS INTEGER) AS d FROM range(0, {BITS + 1})) GROUP BY 1, 2),
 c AS (
   SELECT r.doc_id, r.b, r.h, min(n.d) AS d
-  FROM r JOIN n ON n.p = r.h >> ({BITS} - n.d) WHERE n.nb <= {limit} OR n.alone GROUP BY 1, 2, 3)
-SELECT c.doc_id, CAST(c.b AS BIGINT) AS n_bytes, c.d AS shard_depth, n.p AS shard_prefix, CAST(0 AS BIGINT) AS page,
-       CAST(n.nb AS BIGINT) AS shard_bytes, n.nr AS shard_rows
-FROM c JOIN n ON n.d = c.d AND n.p = c.h >> ({BITS} - c.d)"""
+  FROM r JOIN n ON n.p = r.h >> ({BITS} - n.d) WHERE n.nb <= {limit} OR n.alone GROUP BY 1, 2, 3, rid),
+g AS (
+  SELECT c.doc_id, CAST(c.b AS BIGINT) AS n_bytes, c.d AS shard_depth, n.p AS shard_prefix,
+         CASE WHEN n.nb > {limit} AND n.nr > 1 THEN CAST((row_number() OVER (PARTITION BY c.h) - 1) // greatest(1, {limit} // c.b) AS BIGINT)
+              ELSE 0 END AS page
+  FROM c JOIN n ON n.d = c.d AND n.p = c.h >> ({BITS} - c.d))
+SELECT *, CAST(sum(n_bytes) OVER w AS BIGINT) AS shard_bytes, count(*) OVER w AS shard_rows
+FROM g WINDOW w AS (PARTITION BY shard_depth, shard_prefix, page)"""
