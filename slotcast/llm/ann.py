@@ -15,7 +15,7 @@ sample's own nearest neighbours. Every row is indexed. Lists are packed into til
 sizes are bounded and one list with a third of all rows is many tiles.
 
 Defined results: vectors null, zero, or with null or non-finite components, null ids, and vectors
-of another length than the most frequent take no part. Equal vectors are searched once and expanded
+of another length than the most frequent take no part; of rows that share an id the least vector stands. Equal vectors are searched once and expanded
 (only their smallest ids can rank). Ties go to the smaller id. A query with fewer than k candidates
 gets all of them; an empty table gives no rows. Only the id and the vector column are read.
 """
@@ -46,6 +46,7 @@ def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~bad
                       & F.exists("v", lambda x: x != 0))
+    rows = cut_lineage(rows.groupBy("vec_id").agg(F.min("v").alias("v")))
     width = (rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c"))
              .orderBy(F.desc("c"), F.desc("d")).first())
     return rows.where(F.size("v") == (width["d"] if width else 0))
@@ -174,7 +175,6 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col
         else:
             room -= sizes[i]
     held = np.array([sizes.get(i, 0) for i in range(lists)])
-    chunks = -(-distinct.where("q").count() // CHUNK) or 1
 
     def spread(frames):
         """Each query once per tile it probes, with the probed lists."""
@@ -194,12 +194,14 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col
                 out += [(t, vid, v, p) for t, p in tiles.items()]
             yield pd.DataFrame(out, columns=["tile", "qid", "v", "lists"])
 
-    asked = (listed.where("q").select("v", "vid").mapInPandas(spread, "tile int, qid long, v array<double>, lists array<int>")
-             .withColumn("chunk", F.pmod(F.xxhash64("qid"), F.lit(chunks))))
+    asked = cut_lineage(listed.where("q").select("v", "vid").mapInPandas(spread, "tile int, qid long, v array<double>, lists array<int>"))
+    # a tile is copied once per ``CHUNK`` queries that ask for it, and not at all if none does
+    chunks = asked.groupBy("tile").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    asked = asked.join(chunks, "tile").withColumn("chunk", F.pmod(F.xxhash64("qid"), F.col("chunks"))).drop("chunks")
     places = F.create_map(*[F.lit(int(x)) for i in sizes for x in (i, first[i])]) if sizes else None
     parts = F.create_map(*[F.lit(int(x)) for i in sizes for x in (i, cuts[i])])
     stored = (listed.withColumn("tile", (places[F.col("list")] + F.pmod(F.xxhash64("vid"), parts[F.col("list")])).cast("int"))
-              .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+              .join(chunks, "tile").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
               .select("tile", "chunk", "vid", "v", "list"))
 
     def meet(f: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:

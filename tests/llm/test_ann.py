@@ -75,3 +75,10 @@ def test_edges(spark):
     assert ann.search(frame(spark, rows).limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert ann.search(frame(spark, rows[1:2]), F.col("vec_id") % 20 == 0).count() == 0
     assert ann.search(frame(spark, rows[:1]), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_repeated_ids(spark):
+    """Equal rows count once; of different vectors under one id the least stands."""
+    rows = [(20, [1.0, 0.0])] * 2 + [(2, [0.5, 0.5])] * 2 + [(1, [0.9, 0.0]), (40, [0.2, 0.1]), (40, [3.0, 3.0])]
+    got = [tuple(r) for r in ann.search(frame(spark, rows), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()]
+    assert [(q, k, i) for q, k, i, _ in got] == [(20, 1, 1), (20, 2, 2), (20, 3, 40), (40, 1, 20), (40, 2, 1), (40, 3, 2)]
