@@ -7,10 +7,10 @@ language with the smallest total wins. Narrow margins are reported as rejected.
 Training sample (documented bound): per language ``buckets`` snippets of ``snippet_chars``
 characters. Training texts are dealt into buckets by hash and each bucket keeps the text with
 the smallest second hash, so one partial aggregation gathers them without a per-language
-group, and the driver holds at most languages x buckets x snippet_chars characters.
+group; a snippet is a window drawn from the whole text that holds a letter; and the driver holds at most languages x buckets x snippet_chars characters.
 
 Defined results: null texts and texts without any letter give ``und`` with score 0; without
-training rows every text does; rows with null text, null lang or letterless text teach nothing;
+training rows every text does; rows with null text, null or empty lang or letterless text teach nothing;
 equal sizes go to the alphabetically first language; repeated rows give equal rows; whole texts
 are encoded; only the id, text and lang columns are read.
 """
@@ -25,21 +25,30 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from slotcast.session import ship_package
 
 UNDETERMINED = "und"
+LETTER = "\\p{L}"
 LEVEL = 3
 CHUNK_BYTES = 2048
 SHARPNESS = 40.0        # score = 1 / sum over languages of 2^(-SHARPNESS * relative excess size)
 
 
+def snippet(text: Column, draw: Column, chars: int) -> Column:
+    """A window of ``chars`` characters of the text, at a place drawn from all; without a letter there, the window
+    from the text's first letter on."""
+    places = F.greatest(F.length(text) - chars + 1, F.lit(1))
+    window = F.substring(text, (F.pmod(draw, places) + 1).cast("int"), F.lit(chars))
+    return F.when(window.rlike(LETTER), window).otherwise(F.substring(text, F.regexp_instr(text, F.lit(LETTER)), F.lit(chars)))
+
+
 def train_dictionaries(docs: DataFrame, where: Column, text_col: str = "text", lang_col: str = "lang",
                        buckets: int = 32, snippet_chars: int = 4096) -> dict[str, bytes]:
     """Raw dictionary content of each language among the rows that satisfy ``where``."""
     text = F.col("__text")
     rows = (docs.where(where)
             .select(docs[text_col].cast("string").alias("__text"), docs[lang_col].cast("string").alias("__lang"))
-            .where(F.col("__lang").isNotNull() & text.rlike("\\p{L}"))
+            .where(F.col("__lang").isNotNull() & (F.col("__lang") != "") & text.rlike(LETTER))
             .withColumn("__bucket", F.pmod(F.xxhash64(text, F.lit(1)), F.lit(buckets)))
             .withColumn("__key", F.xxhash64(text, F.lit(2)))
-            .withColumn("__text", F.substring(text, 1, snippet_chars)))
+            .withColumn("__text", snippet(text, F.xxhash64(text, F.lit(3)), snippet_chars)))
     picked = rows.groupBy("__lang", "__bucket").agg(F.min(F.struct("__key", "__text")).alias("p")).collect()
     found: dict[str, list] = {}
     for r in sorted(picked, key=lambda r: (r["__lang"], r["__bucket"])):

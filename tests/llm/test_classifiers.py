@@ -92,3 +92,37 @@ def test_quality_edges(spark):
     assert quality.keep_good(df, none).columns == df.columns
     assert len(quality.text_stats(None)) == len(quality.STATS)
     assert queries.op9_quality(spark, SMALL).count() == 200
+
+
+def test_language_equals_plain_compression(spark):
+    """Every prediction against the smallest total of separate compressions."""
+    import zstandard as z
+    from slotcast.llm import language_id as li
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    dictionaries = li.train_dictionaries(docs, F.col("doc_id") % 4 != 2)
+    got = {r.doc_id: r for r in li.identify(docs, dictionaries).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows) and len(dictionaries) == 4
+    for r in rows:
+        if not r.text or not any(map(str.isalpha, r.text)):
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        raw, total = r.text.encode(), {}
+        for lang, content in dictionaries.items():
+            coder = z.ZstdCompressor(level=li.LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False,
+                                     dict_data=z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT))
+            total[lang] = sum(len(coder.compress(raw[i:i + li.CHUNK_BYTES])) for i in range(0, len(raw), li.CHUNK_BYTES))
+        least = min(total.values())
+        assert abs(total[got[r.doc_id].lang_pred] - least) <= 0.002 * least      # precomputed dictionaries may pick other matches
+        if sorted(total.values())[1] > 1.01 * least:
+            assert got[r.doc_id].lang_pred == min(total, key=total.get)
+
+
+def test_training_snippets_hold_letters(spark):
+    from slotcast.llm import language_id as li
+    words = "quelques mots en bon ordre pour apprendre la langue " * 40
+    docs = spark.createDataFrame([(i, "1 " * 9000 + words + "2 " * 9000, "fr") for i in range(3)]
+                                 + [(9, words, ""), (10, "1 2 3", "de"), (11, "1 2 3 x", "es")], "doc_id long, text string, lang string")
+    found = li.train_dictionaries(docs, F.lit(True), snippet_chars=500)
+    assert sorted(found) == ["es", "fr"]
+    assert any(map(str.isalpha, found["fr"].decode())) and found["es"].decode() == "1 2 3 x"
