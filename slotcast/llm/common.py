@@ -82,6 +82,22 @@ def size_checked(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+HOT_SHARE = 1000
+
+
+def join_totals(rows: DataFrame, totals: DataFrame, key: str, n: str, size: int) -> DataFrame:
+    """``rows`` (written, ``size`` of them) left-joined with ``totals``, one row per value of ``key`` with its number of
+    rows in ``n``. Keys that hold more than 1 / ``HOT_SHARE`` of the rows, so ``HOT_SHARE`` of them at most, are
+    broadcast; only the others are shuffled, and rows with a null key are not joined at all."""
+    values = [c for c in totals.columns if c not in (key, n)]
+    much = F.col(n) * HOT_SHARE > size
+    hot = totals.where(much).select(key, F.lit(True).alias("__hot"), *values)
+    near = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left")
+    far = near.where("__hot is null").drop("__hot", *values).join(totals.where(~much).drop(n), key, "left")
+    return (near.where("__hot").drop("__hot").unionByName(far)
+            .unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True))
+
+
 def text_runs(texts: list, limit: int = 4_000_000):
     """Index ranges of consecutive texts of about ``limit`` characters together."""
     start, size = 0, 0

@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from slotcast.llm.common import gram_hashes, hashed_words, size_checked, text_runs, written
+from slotcast.llm.common import gram_hashes, hashed_words, join_totals, size_checked, text_runs, written
 from slotcast.llm.components import components
 from slotcast.llm.sharding import key_text
 from slotcast.session import ship_package
@@ -309,9 +309,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = 80) -> DataFrame:
     """One row per input row: id, n_shingles, component_id, kept (the id is the component's id)."""
     rows = groups(docs, id_col, text_col, size, percent)
-    least = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("first"))
-    out = rows.join(least, "root", "left").select(
-        "id", "n", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("first")).alias("component_id"))
+    least = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("first"), F.count("*").alias("held"))
+    # most components are one row, which is its own least; only the others are joined
+    shared = written(least.where("held > 1").withColumn("shared", F.lit(True)))
+    out = join_totals(rows, shared, "root", "held", rows.count()).select(
+        "id", "n", F.when(F.col("shared"), F.col("first")).otherwise(F.col("id")).alias("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
@@ -323,9 +325,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     once."""
     rows = groups(docs, id_col, text_col, size, percent)
     order = F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))
-    best = rows.where("root is not null").groupBy("root").agg(F.min(order).alias("m")).select(
-        F.col("m.key").alias("keep"), "root")
-    lost = rows.join(best, "root").where("key <> keep").select("key").distinct().withColumn("times", F.lit(0))
+    best = written(rows.where("root is not null").groupBy("root").agg(F.min(order).alias("m"), F.count("*").alias("held"))
+                   .where("held > 1").select(F.col("m.key").alias("keep"), "root", "held"))
+    lost = join_totals(rows, best, "root", "held", rows.count()).where("key <> keep").select("key").distinct() \
+        .withColumn("times", F.lit(0))
     again = rows.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
     # decisions only for the rows that something happens to: 0 dropped, else that many equal rows
     marks = written(lost.unionByName(again).groupBy("key").agg(F.min("times").alias("times"))

@@ -127,3 +127,12 @@ def test_bands_follow_the_threshold(spark):
     b[100:105] = a[100:105]         # alike in the twenty-first band only
     sigs = spark.createDataFrame([(b"a", a.tobytes()), (b"b", b.tobytes())], "node binary, sig binary")
     assert nd.bucket_members(sigs, 80).count() == 2
+
+
+def test_join_totals_splits_hot_keys_and_nulls(spark):
+    from slotcast.llm.common import join_totals
+    rows = spark.createDataFrame([(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i}") for i in range(6000)], "id int, root string")
+    totals = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("first"), F.count("*").alias("held"))
+    got = join_totals(rows, totals, "root", "held", 6000).collect()
+    assert len(got) == 6000
+    assert all(r.first == (None if r.root is None else 0 if r.root == "hot" else r.id) for r in got)
