@@ -149,11 +149,15 @@ def fit(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_col:
     truth = (labels.select(labels[label_id].alias("__id"), labels[label_col].cast("double").alias("__y"))
              .where("__id is not null and __y is not null").groupBy("__id").agg(F.avg("__y").alias("y")))
     key = F.xxhash64(F.col("__id").cast("string"), F.lit(SEED))
-    joined = cut_lineage(rows.mapInPandas(measure, schema).join(truth, "__id")
-                         .select("x", "y", F.pmod(key, F.lit(FOLDS)).cast("int").alias("fold"),
-                                 F.pmod(F.shiftright(key, 8), F.lit(1_000_000)).alias("pick")))
-    n = joined.count()
-    sample = joined if n <= max_rows else joined.where(F.col("pick") < int(1e6 * max_rows / n))
+    # ids meet their labels first; only the rows of the sample, a broadcast of about ``max_rows``, are measured
+    labelled = cut_lineage(rows.select("__id").join(truth, "__id").select(
+        "__id", "y", F.pmod(key, F.lit(FOLDS)).cast("int").alias("fold"),
+        F.pmod(F.shiftright(key, 8), F.lit(1_000_000)).alias("pick")))
+    n = labelled.count()
+    picked = labelled if n <= max_rows else labelled.where(F.col("pick") < int(1e6 * max_rows / n))
+    picked = picked.dropDuplicates(["__id"])        # repeated documents are measured each
+    sample = cut_lineage(rows.join(F.broadcast(picked.select("__id")), "__id", "left_semi").mapInPandas(measure, schema)
+                         .join(F.broadcast(picked), "__id").select("x", "y", "fold", "pick"))
     width = len(STATS)
     empty = np.zeros(0)
     if n == 0:
