@@ -8,6 +8,7 @@ that holds a third of all rows must not land in one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -44,6 +45,12 @@ def measure_columns(df: DataFrame, keys=("store_id", "datetime", "date"), exclud
             if isinstance(f.dataType, T.NumericType) and f.name not in keys and f.name not in exclude]
 
 
+def columns_like(df: DataFrame, *patterns: str, keys=("store_id", "datetime", "date")) -> list[str]:
+    """measure columns whose name contains a match of any of the patterns (regular expressions), in schema order."""
+    wanted = [re.compile(p) for p in patterns]
+    return [c for c in measure_columns(df, keys=keys, exclude=()) if any(p.search(c) for p in wanted)]
+
+
 def opening_hours(df: DataFrame, ts: str = "datetime") -> DataFrame:
     """Keep 11:30 <= time <= 14:00 (inclusive)."""
     return df.where(minute_of_day(ts).between(dims.OPEN_FIRST_MINUTE, dims.OPEN_LAST_MINUTE))

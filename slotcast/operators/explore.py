@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timecols import slot_label
 from ..sources import dims
@@ -58,15 +59,26 @@ def weekday_daily_total(df: DataFrame, categories: list[str], ts: str = "datetim
 
 
 def correlation_long(df: DataFrame, columns: list[str], by=("store_id",)) -> DataFrame:
-    """Pearson correlation of every column pair, one aggregation, long output
-    ``(by..., col_a, col_b, corr)``; null where a column does not vary."""
+    """Pearson correlation of every column pair, long output ``(by..., col_a, col_b, corr)``; null where a
+    column does not vary. One aggregation of plain sums and of the cross sums of half the (symmetric) pairs,
+    in decimals: exact for whole numbers, so that a constant column has no spread. A row with a null in
+    any of the columns takes no part."""
     pairs = [(a, b) for a in columns for b in columns]
-    sums = df.groupBy(*by).agg(*[F.covar_pop(a, b).alias(f"{a}__{b}") for a, b in pairs],
-                               *[F.stddev_pop(c).alias(f"_sd_{c}") for c in columns])
+    whole = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns)
+    x = {c: F.col(c).cast("decimal(18,0)" if whole else "double") for c in columns}
+    df = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in columns))
+    half = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    kind = (lambda digits: f"decimal({digits},0)") if whole else (lambda digits: "double")
+    sums = df.groupBy(*by).agg(F.count("*").cast(kind(15)).alias("_n"), *[F.sum(x[c]).cast(kind(19)).alias(f"_s_{c}") for c in columns],
+                               *[F.sum(x[a] * x[b]).cast(kind(23)).alias(f"_x_{a}__{b}") for a, b in half])
+
+    def spread(a: str, b: str):
+        a, b = sorted((a, b), key=columns.index)
+        return (F.col("_n") * F.col(f"_x_{a}__{b}") - F.col(f"_s_{a}") * F.col(f"_s_{b}")).cast("double")
 
     def corr(a: str, b: str):
-        sd = F.col(f"_sd_{a}") * F.col(f"_sd_{b}")
-        return F.when(sd > 0, F.col(f"{a}__{b}") / sd).alias(f"{a}__{b}")
+        varies = (spread(a, a) > 0) & (spread(b, b) > 0)
+        return F.when(varies, spread(a, b) / (F.sqrt(spread(a, a)) * F.sqrt(spread(b, b)))).alias(f"{a}__{b}")
 
     agg = sums.select(*by, *[corr(a, b) for a, b in pairs])
     long = agg.unpivot(list(by), [f"{a}__{b}" for a, b in pairs], "_pair", "corr")

@@ -56,7 +56,11 @@ def attach_forecast(resolved: DataFrame, history: DataFrame, profile: DataFrame,
     h = history.select("store_id", F.col("datetime").alias("slot_start"), F.col(value).cast("double").alias("_hist"))
     p = profile.select("store_id", "weekday", "slot_label", F.col("mean_total").alias("_prof"))
     r = resolved.withColumns({"weekday": F.weekday("slot_start"), "slot_label": slot_label("slot_start")})
+    # invalid requests have no slot: they would all meet in one task of the joins
+    invalid = r.where("slot_start is null")
+    r = r.where("slot_start is not null")
     j = r.join(h, ["store_id", "slot_start"], "left").join(p, ["store_id", "weekday", "slot_label"], "left")
+    j = j.unionByName(invalid, allowMissingColumns=True)
     src = F.when(F.col("_hist").isNotNull(), "history").when(F.col("_prof").isNotNull(), "profile")
     val = F.coalesce("_hist", "_prof")
     return j.withColumns({"source": src, "value": F.round(val, 6), "available": val.isNotNull().cast("int")}) \

@@ -322,6 +322,45 @@ def recon_scores(spark, sf_dir):
     return out.select("method", "level", "mae_base", "mae_rec", "rmse_base", "rmse_rec")
 
 
+CROSS_SHARE = 0.25
+
+
+def _cross_sql() -> str:
+    one = []
+    for m in R1_METHODS:
+        body = ("SELECT hz.date, hz.y, hz.yhat, rec.bval FROM hz JOIN rec ON hz.series_id = rec.sid AND hz.date = rec.date")
+        one.append("SELECT '" + m + "' AS method, * FROM (WITH " + ",\n".join(_rec_ctes(m)) + "\n" + body + ")")
+    rank = f"row_number() OVER (ORDER BY {HASH.replace(str(SEED), str(SEED + 1))}, date)"
+    return _base("al AS (" + "\nUNION ALL\n".join(one) + ")",
+                 f"sm AS (SELECT date FROM (SELECT date, {rank} AS r, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM hz)) WHERE r <= floor(n * {CROSS_SHARE}))",
+                 "pd AS (SELECT method, date, date IN (SELECT date FROM sm) AS sampled, avg(abs(yhat - y)) AS ab, avg(abs(bval - y)) AS ar, "
+                 "avg((yhat - y) * (yhat - y)) AS sb, avg((bval - y) * (bval - y)) AS sr FROM al GROUP BY ALL)",
+                 "sc AS (SELECT 'all' AS scope, * FROM pd UNION ALL SELECT 'sampled' AS scope, * FROM pd WHERE sampled)").replace(
+                     "hz AS (", "hz AS MATERIALIZED (").replace("base AS (", "base AS MATERIALIZED (") + (
+        "SELECT method, scope, round(avg(ab), 6) AS mase_base, round(avg(ar), 6) AS mase_rec, round(avg(sb), 6) AS mse_base, round(avg(sr), 6) AS mse_rec, "
+        "round(avg(sqrt(sb)), 6) AS rmse_base, round(avg(sqrt(sr)), 6) AS rmse_rec, count(*) AS n_dates FROM sc GROUP BY method, scope")
+
+
+@query("recon_cross_scores", "H19 H20", _cross_sql())
+def recon_cross_scores(spark, sf_dir):
+    """Mean over forecast dates of each date's scores over all series, on all dates and on a seeded sample
+    of them. ``mase`` is the mean absolute error, as the scores are defined; mse is a mean square (Q19)."""
+    ctx = Context(spark, sf_dir)
+    some = cut_lineage(splits.sample_dates(ctx.hz, CROSS_SHARE, SEED + 1)).withColumn("sampled", F.lit(True))
+    rows = None
+    for m in R1_METHODS:
+        part = reconciled(spark, sf_dir, m, ctx).select(F.lit(m).alias("method"), "date", "y", "yhat", "yhat_rec")
+        rows = part if rows is None else rows.unionByName(part)
+    b, r = F.col("yhat") - F.col("y"), F.col("yhat_rec") - F.col("y")
+    per = rows.where("yhat_rec is not null").groupBy("method", "date").agg(
+        F.avg(F.abs(b)).alias("ab"), F.avg(F.abs(r)).alias("ar"), F.avg(b * b).alias("sb"), F.avg(r * r).alias("sr"))
+    scope = F.explode(F.when(F.col("sampled"), F.array(F.lit("all"), F.lit("sampled"))).otherwise(F.array(F.lit("all")))).alias("scope")
+    out = per.join(some, "date", "left").select("*", scope).groupBy("method", "scope").agg(
+        *[F.round(F.avg(c), 6).alias(n) for c, n in (("ab", "mase_base"), ("ar", "mase_rec"), ("sb", "mse_base"), ("sr", "mse_rec"))],
+        F.round(F.avg(F.sqrt("sb")), 6).alias("rmse_base"), F.round(F.avg(F.sqrt("sr")), 6).alias("rmse_rec"), F.count("*").alias("n_dates"))
+    return out
+
+
 @query("recon_method_compare", "H20 H23")
 def recon_method_compare(spark, sf_dir):
     """Per-date RMSE over all series (cross_score), averaged over dates, per method."""
@@ -463,7 +502,8 @@ def series_sample_export(spark, sf_dir):
 # --- J8, F11: attach actuals to forecast rows by date; day-month-year key -----------------------------------
 
 @query("forecast_date_keys", "J8 F11 H6",
-       _base("tot AS (SELECT date, y FROM lv2 WHERE gid = 3)")
+       _base("tot AS (SELECT date, y FROM lv2 WHERE gid = 3)").replace("lv2 AS (", "lv2 AS MATERIALIZED (").replace(
+           "rd AS (", "rd AS MATERIALIZED (").replace("base AS (", "base AS MATERIALIZED (")
        + "SELECT hz.series_id, hz.date, concat_ws('-', CAST(day(hz.date) AS VARCHAR), CAST(month(hz.date) AS VARCHAR), "
          "CAST(year(hz.date) AS VARCHAR)) AS date_key, hz.yhat, tot.y AS total_actual FROM hz LEFT JOIN tot ON hz.date = tot.date "
          "WHERE hz.gid = 3")

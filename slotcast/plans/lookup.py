@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import explore, lookup
+from ..operators import asof, explore, lookup
 from ..session import cut_lineage
 from ..sources import dims
 from ..sources.tables import read_table
@@ -40,6 +40,19 @@ def lookup_closest_slot(spark, sf_dir):
     return lookup.resolve(requests(spark, sf_dir))
 
 
+@query("lookup_asof_sales", "J10 J11",
+       _with(S.wide_cte(), S.open_cte())
+       + "SELECT e.event_id AS request_id, e.store_id, e.ts AS request_time, w.datetime AS slot_time, w.TOTAL_SALES AS slot_total FROM "
+         "(SELECT event_id, CAST(user_id % 2 + 1 AS INTEGER) AS store_id, ts FROM events) e "
+         "ASOF LEFT JOIN wopen w ON e.store_id = w.store_id AND e.ts >= w.datetime")
+def lookup_asof_sales(spark, sf_dir):
+    """Every event asks for its store's latest slot with sales in opening hours, whatever the slots are."""
+    asked = read_table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("request_id"), (F.col("user_id") % 2 + 1).cast("int").alias("store_id"), F.col("ts").alias("request_time"))
+    slots = SL.wide_open(spark, sf_dir).select("store_id", F.col("datetime").alias("slot_time"), F.col(dims.TOTAL).alias("slot_total"))
+    return asof.asof_join(asked, slots, ["store_id"], "request_time", "slot_time")
+
+
 SUM_CATS = " + ".join(dims.CATEGORIES)
 PROFILE_SQL = (
     f"p AS (SELECT store_id, CAST(isodow(datetime) - 1 AS INTEGER) AS weekday, strftime(datetime, '%H:%M') AS slot_label, "

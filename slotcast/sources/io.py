@@ -78,9 +78,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         w.format(fmt).save(path)
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append run metrics (``run_id, fold, store_id, target, metric, value``)."""
-    metrics.write.mode("append").partitionBy("run_id").parquet(path)
+def write_metrics(metrics: DataFrame, path: str) -> None:
+    """Metrics or parameters of runs (``experiment, run_id`` and any others). The folders of the runs in
+    ``metrics`` are replaced and all others kept, so writing a run again leaves equal rows."""
+    (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("experiment", "run_id").parquet(path))
 
 
 def save_params(spark: SparkSession, params: dict, path: str) -> None:
@@ -93,5 +95,22 @@ def load_params(spark: SparkSession, path: str) -> dict:
     return spark.read.parquet(path).first().asDict()
 
 
+STATE = ("residuals", "nodes", "edges")
+
+
+def save_state(spark: SparkSession, path: str, residuals: DataFrame, nodes: DataFrame, edges: DataFrame, **params) -> None:
+    """One saved reconciliation state: the residual table, the series with their labels and level, the
+    summing matrix as (series, bottom) rows, and parameters such as lambda. Saving again replaces it."""
+    for name, df in zip(STATE, (residuals, nodes, edges)):
+        df.write.mode("overwrite").parquet(os.path.join(path, name))
+    save_params(spark, params, os.path.join(path, "params"))
+
+
+def load_state(spark: SparkSession, path: str) -> dict:
+    """The tables and parameters of ``save_state`` by name."""
+    state = {name: spark.read.parquet(os.path.join(path, name)) for name in STATE}
+    return {**state, **load_params(spark, os.path.join(path, "params"))}
+
+
 def exists(path: str) -> bool:
     return os.path.exists(path)

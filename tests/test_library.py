@@ -86,3 +86,70 @@ def test_step_chain_and_replace_column(spark):
     other = df.select("store_id", "datetime", (F.col("SIDE") * 10).alias("SIDE"))
     rep = clean.replace_column(df, other, "SIDE", ["store_id", "datetime"]).orderBy("datetime").collect()
     assert [r["SIDE"] for r in rep] == [0, 30]
+
+
+def test_metrics_sink_is_rerunnable(spark, tmp_path):
+    p = str(tmp_path / "metrics")
+    rows = lambda run, v: spark.createDataFrame([("exp", run, f, "mae", v + f) for f in range(3)],
+                                                "experiment string, run_id string, fold int, metric string, value double")
+    io.write_metrics(rows("a", 1.0).unionByName(rows("b", 5.0)), p)
+    io.write_metrics(rows("a", 2.0), p)
+    io.write_metrics(rows("a", 2.0), p)
+    got = sorted((r.run_id, r.fold, r.value) for r in spark.read.parquet(p).collect())
+    assert got == [("a", f, 2.0 + f) for f in range(3)] + [("b", f, 5.0 + f) for f in range(3)]
+
+
+def test_saved_state_reconciles_like_memory(spark, tmp_path):
+    import datetime as dt
+    import numpy as np
+    from slotcast.operators import hierarchy as H, reconcile as R
+    rng = np.random.default_rng(1)
+    labels = [(None, None), (1, None), (2, None), (1, "a"), (1, "b"), (2, "a")]
+    rows = [("|".join("*" if x is None else str(x) for x in n), *n, dt.date(2024, 1, 1 + d), float(rng.normal(10, 2)), float(rng.normal()))
+            for n in labels for d in range(12)]
+    df = spark.createDataFrame(rows, "series_id string, store_id int, category string, date date, yhat double, e double")
+    base, resid = df.where("date > '2024-01-10'").drop("e"), df.where("date <= '2024-01-10'").drop("yhat")
+    gid = F.when(F.col("category").isNotNull(), 0).when(F.col("store_id").isNotNull(), 1).otherwise(3).alias("gid")
+    nodes = df.select("series_id", gid, "store_id", "category").distinct()
+    lam = R.lambda_by_dates(resid).first()["lambda"]
+    for _ in range(2):
+        io.save_state(spark, str(tmp_path / "s"), resid, nodes, H.summing_edges(nodes), **{"lambda": lam, "labels": H.LABELS})
+    state = io.load_state(spark, str(tmp_path / "s"))
+    assert state["lambda"] == lam and state["edges"].count() == 9 and state["nodes"].count() == 6 and state["residuals"].count() == 60
+    one = {(r.series_id, r.date): r.yhat_rec for r in R.reconcile_mint(base, resid, "MinTSh").collect()}
+    two = {(r.series_id, r.date): r.yhat_rec for r in R.reconcile_mint(base, state["residuals"], "MinTSh").collect()}
+    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-9 for k in one)
+
+
+def test_columns_by_name_pattern(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, "x")], "store_id int, BAKED_GOOD int, GOODS_2 int, MAIN int, BAKED_NAME string")
+    assert clean.columns_like(df, "GOOD") == ["BAKED_GOOD", "GOODS_2"]
+    assert clean.columns_like(df, "^MAIN$", "2") == ["GOODS_2", "MAIN"] and clean.columns_like(df, "zzz") == []
+
+
+def test_asof_join_against_pandas(spark):
+    import datetime as dt
+    import numpy as np
+    import pandas as pd
+    from slotcast.operators.asof import asof_join
+    rng = np.random.default_rng(0)
+    day = lambda s: dt.datetime(2024, 3, 1) + dt.timedelta(seconds=int(s))
+    key = lambda: "hot" if rng.random() < .4 else f"k{rng.integers(5)}"
+    left = [(i, key(), day(rng.integers(0, 500_000))) for i in range(600)]
+    right = [(key(), day(rng.integers(100_000, 400_000)), i) for i in range(150)]
+    right += [(k, t, v + 1000) for k, t, v in right[:20]] + [("hot", left[0][2], 5000)]        # ties: the larger value; same time counts
+    odd = [(900, None, day(1)), (901, "hot", None), (902, "none", day(400_000)), (900, None, day(1))]
+    lt = spark.createDataFrame(left + odd, "id int, k string, at timestamp_ntz")
+    rt = spark.createDataFrame(right + [(None, day(5), 1), ("hot", None, 2)], "k string, since timestamp_ntz, v int")
+    pl = pd.DataFrame(left, columns=["id", "k", "at"]).sort_values("at")
+    pr = pd.DataFrame(right, columns=["k", "since", "v"]).sort_values(["since", "v"]).drop_duplicates(["k", "since"], keep="last")
+    for tolerance in (None, 20_000):
+        want = pd.merge_asof(pl, pr, left_on="at", right_on="since", by="k",
+                             tolerance=None if tolerance is None else pd.Timedelta(seconds=tolerance)).set_index("id")["v"]
+        got = asof_join(lt, rt, ["k"], "at", "since", bucket_seconds=7200, tolerance_seconds=tolerance).collect()
+        assert len(got) == 604 and all(r.v is None for r in got if r.id >= 900)
+        for r in got:
+            if r.id < 900:
+                assert r.v == (None if pd.isna(want[r.id]) else want[r.id])
+    assert asof_join(lt.limit(0), rt, ["k"], "at", "since").count() == 0
+    assert asof_join(lt, rt.limit(0), ["k"], "at", "since").where("v is null").count() == 604
