@@ -83,9 +83,14 @@ def dense_grid(df: DataFrame, mode: str, measures: list[str], keys: list[str] |
     keys = keys if keys is not None else (["store_id"] if "store_id" in df.columns else [])
     dates = grid_dates(df, mode, start, end, ts, pad_days, cover)
     times = grid_times(df, "interval" if all_slots else mode, ts, slots)
-    cols = [F.col("date"), F.explode(times).alias("_tmin")]
-    grid = dates.select(*cols)
-    for k in keys:
+    if keys:
+        # the dates are one array, as long as the calendar; the first key's values stay a distributed table
+        days = dates.select(F.array_sort(F.collect_list("date"))).scalar()
+        grid = df.select(keys[0]).where(F.col(keys[0]).isNotNull()).distinct().select(keys[0], F.explode(days).alias("date"))
+        grid = grid.select("*", F.explode(times).alias("_tmin"))
+    else:
+        grid = dates.select("date", F.explode(times).alias("_tmin"))
+    for k in keys[1:]:
         grid = grid.withColumn(k, F.explode(df.select(F.array_sort(F.collect_set(k))).scalar()))
     grid = grid.select(*keys, "date",
                        F.timestamp_add("MINUTE", F.col("_tmin"), F.col("date").cast("timestamp_ntz")).alias(ts))

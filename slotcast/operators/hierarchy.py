@@ -40,13 +40,11 @@ def node_depth(labels: list[str]) -> Column:
 
 
 def bottom_grid(df: DataFrame, value: str, labels: list[str] = LABELS, date: str = "date") -> DataFrame:
-    """Every bottom series on every day between the global first and last date, 0-filled.
-    Dates come from ``sequence``; the bottom set is attached as an array (scalar
-    subquery, sized by the hierarchy), so the grid needs no join."""
-    b = df.agg(F.min(date).alias("d0"), F.max(date).alias("d1"))
-    dates = b.select(F.explode(F.sequence("d0", "d1")).alias(date))
-    bottoms = df.select(F.array_sort(F.collect_set(F.struct(*labels)))).scalar()
-    g = dates.select(date, F.explode(bottoms).alias("_b")).select(date, *[F.col(f"_b.{c}").alias(c) for c in labels])
+    """Every bottom series on every day between the global first and last date, 0-filled. The series stay a
+    distributed table; the first and last date are one scalar, and every series explodes its own days."""
+    span = df.select(F.struct(F.min(date).alias("d0"), F.max(date).alias("d1"))).scalar()
+    bottoms = df.select(*labels).distinct()
+    g = bottoms.select(F.explode(F.sequence(span["d0"], span["d1"])).alias(date), *labels)
     return g.join(df.select(date, *labels, value), [date, *labels], "left") \
             .withColumn(value, F.coalesce(F.col(value), F.lit(0)).cast("bigint"))
 

@@ -7,8 +7,12 @@ not by the data volume; a hot store adds rows to its slots, not to its series.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import ship_package
 
 
 def _w(series: list[str], order: str) -> Window:
@@ -41,24 +45,16 @@ def back_then_forward_fill(value: str, series: list[str], order: str) -> Column:
 
 
 def ema(df: DataFrame, value: str, series: list[str], order: str, span: float, out: str = "ema") -> DataFrame:
-    """Recursive EMA (unadjusted weights) with the absolute-position gap rule: the past
-    weight decays by (1 - alpha) per row, missing rows carry the output.
-
-    A series is one array of its steps (bounded by the calendar), and ``aggregate`` folds it on the
-    JVM: state = (smoothed values so far, last value, past weight)."""
-    alpha = 2.0 / (span + 1.0)
-    steps = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("y"),
-                                                 F.col(value).alias("raw"))))
-    start = F.struct(F.array().cast("array<double>").alias("all"), F.lit(None).cast("double").alias("last"),
-                     F.lit(1.0).alias("w"))
-
-    def fold(s, x):
-        past = s["w"] * (1.0 - alpha)
-        new = (F.when(x["y"].isNull(), s["last"]).when(s["last"].isNull(), x["y"])
-               .otherwise((past * s["last"] + alpha * x["y"]) / (past + alpha)))
-        weight = F.when(x["y"].isNull(), past).otherwise(F.lit(1.0))
-        return F.struct(F.concat(s["all"], F.array(new)).alias("all"), new.alias("last"), weight.alias("w"))
-
-    g = df.groupBy(*series).agg(steps.alias("_s"))
-    z = g.select(*series, F.explode(F.arrays_zip("_s", F.aggregate("_s", start, fold)["all"].alias("e"))).alias("_z"))
-    return z.select(*series, F.col("_z._s.o").alias(order), F.col("_z._s.raw").alias(value), F.col("_z.e").alias(out))
+    """Recursive EMA (unadjusted weights) with the absolute-position gap rule: the past weight decays by
+    (1 - alpha) per row, missing rows carry the output, rows before the first value have none.
+
+    One pass over each series, whose steps (bounded by the calendar) meet in one group."""
+    def smoothed(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(order)
+        return f.assign(**{out: f[value].astype("float64").ewm(span=span, adjust=False, ignore_na=False).mean()})
+
+    rows = df.select(*series, order, value)
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.DoubleType())])
+    ship_package(df.sparkSession)
+    z = rows.groupBy(*series).applyInPandas(smoothed, schema)
+    return z.withColumn(out, F.when(~F.isnan(out), F.col(out)))

@@ -196,9 +196,8 @@ def _aligned_weekday_totals(spark, sf_dir):
     """Weekday daily totals of every store on the union of dates (J7 generalised): a
     store missing on a date gets a null (a gap for the EMA)."""
     t = adapters.daily_store_totals(spark, sf_dir).where(F.weekday("date") < 5)
-    dates = t.select("date").distinct()
-    stores = t.select(F.array_sort(F.collect_set("store_id"))).scalar()
-    grid = dates.select("date", F.explode(stores).alias("store_id"))
+    dates = t.select(F.array_sort(F.collect_set("date"))).scalar()        # as long as the calendar
+    grid = t.select("store_id").where("store_id is not null").distinct().select(F.explode(dates).alias("date"), "store_id")
     return grid.join(t, ["store_id", "date"], "left")
 
 
