@@ -5,11 +5,20 @@ from collections import Counter
 import corpus_pipeline as cp
 from conftest import SMALL
 from pyspark.sql import functions as F
-from slotcast.llm import quality
+from slotcast.llm import mixing, quality, sharding
 from test_decontaminate import brute_items, dc
 from test_near_dedup import brute
 
 
+def sql_over(df, sql):
+    """Rows of a query's DuckDB SQL over ``df`` as its documents."""
+    import duckdb
+    documents = df.toPandas()       # noqa: F841 - read by DuckDB
+    res = duckdb.connect().execute(sql)
+    names = [d[0] for d in res.description]
+    return [dict(zip(names, r)) for r in res.fetchall()]
+
+
 def test_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").cache()
     columns = docs.columns
@@ -39,11 +48,21 @@ def test_stages_against_brute_force(spark):
     assert s4.columns == columns and max(Counter(taken).values()) == 1 and set(taken) <= kept
     budget = int(sum(words.values()) * 0.9)
     assert 0.7 * budget < sum(words[d] for d in taken) <= budget
+    # the same rows from plain windows over what stage 3 kept
+    want = sql_over(s3, mixing.oracle({"domain": cp.DOMAIN_WEIGHTS}, *cp.TOKEN_SHARE, 1, cp.MIX_SEED))
+    assert sorted(taken) == sorted(r["doc_id"] for r in want) and all(r["copies"] == 1 for r in want)
 
     s5 = cp.shards(spark, s4, SMALL)
-    assert s5.columns == [*columns, "shard_id"] and sorted(r.doc_id for r in s5.collect()) == sorted(taken)
+    assert s5.columns == [*columns, "shard_id"]
+    got = sorted((r.doc_id, r.shard_id.lower()) for r in s5.collect())
+    want = sql_over(s4, sharding.oracle(cp.SHARD_BYTES))
+    assert got == sorted((r["doc_id"], f"{r['shard_depth']:02d}-{r['shard_prefix']:015x}") for r in want)
+    small = sql_over(s4, sharding.oracle(20_000))
+    assert len({(r["shard_depth"], r["shard_prefix"]) for r in small}) > 10
+    assert sorted((r.doc_id, r.shard_id.lower()) for r in sharding.attach(s4, 20_000).collect()) == sorted(
+        (r["doc_id"], f"{r['shard_depth']:02d}-{r['shard_prefix']:015x}") for r in small)
     final = cp.run(spark, SMALL)
-    assert sorted(r.doc_id for r in final.collect()) == sorted(taken)
+    assert sorted((r.doc_id, r.shard_id.lower()) for r in final.collect()) == got
     docs.unpersist()
 
 
