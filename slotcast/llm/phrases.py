@@ -6,10 +6,11 @@ w3, w4) then sums them to every shorter prefix: all occurrences of a phrase are
 that start with it, so phrases of all lengths, single words and the language totals come from one table.
 
 Windows are padded early where that provably changes no result: a phrase can only reach ``min_count`` if each
-pair of neighbouring words does. A first scan counts pairs by 64-bit hash (an upper bound, equal hashes
-add up) and keeps those that reach it as bits of a filter; a window ends before a pair that is not in it.
-The filter has ``filter_bits`` bits at most (a bounded broadcast); where more pairs are frequent it only lets
-more windows through. Counts are exact either way: words themselves are compared, never hashes.
+run of two and of three of its words does. Scans before count pairs, then triples of such pairs, by 64-bit
+hash (an upper bound, equal hashes add up) and keep those that reach it as bits of a filter; a window ends
+before a run that is not in it. A filter has ``filter_bits`` bits at most (a bounded broadcast); where more runs
+are frequent it only lets more windows through. Counts are exact either way: words themselves are
+compared, never hashes.
 
 A candidate of 2 to 4 words is cut after each word but the last; the cut's score is floor(2000000 a / (l + r))
 with a, l and r the counts of the candidate and its two parts; the least score, then the first cut counts.
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +91,28 @@ class Run:
         return at, mix64((first + word[self.ids[at + 1]]) * _SPREAD)
 
 
+    def triple_hashes(self, at: np.ndarray, pairs: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, 64-bit hashes) of the triples whose two pairs, at positions ``at`` with hashes ``pairs``, are linked."""
+        key = np.zeros(len(self.ids) + 1, dtype=np.uint64)
+        key[at] = pairs
+        on = np.zeros(len(self.ids) + 1, dtype=bool)
+        on[at] = linked
+        at = np.flatnonzero(on[:-1] & on[1:])
+        return at, mix64((key[at] ^ (key[at + 1] * _SPREAD)) * _SPREAD)
+
+
+@dataclass
+class Filter:
+    """Bits over the top bits of 64-bit hashes."""
+
+    bits: int
+    found: np.ndarray
+
+    def holds(self, key: np.ndarray) -> np.ndarray:
+        place = (key >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (self.found[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+
+
 def _hashes(words: pa.Array) -> np.ndarray:
     words = words.cast(pa.large_binary())
     ends = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset:words.offset + len(words) + 1]
@@ -124,18 +148,22 @@ def _runs(batches: Iterator[pa.RecordBatch], run_bytes: int) -> Iterator[Run]:
         yield Run(run)
 
 
-def frequent_pairs(rows: DataFrame, min_count: int, filter_bits: int, run_bytes: int) -> tuple[int, np.ndarray]:
-    """(bits, filter): pairs whose hash reaches ``min_count``, by the top bits of the hash."""
+def frequent_runs(rows: DataFrame, min_count: int, filter_bits: int, run_bytes: int, pairs: Filter | None = None) -> Filter:
+    """Filter of the pairs whose hash reaches ``min_count``, or, given that, of the triples of such pairs."""
+    shared = rows.sparkSession.sparkContext.broadcast(pairs)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches, run_bytes):
             at, key = run.pair_hashes()
+            if shared.value is not None:
+                at, key = run.triple_hashes(at, key, shared.value.holds(key))
             key, n = np.unique(key[run.own[at]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
     counted = rows.mapInArrow(count, "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
-    pairs = written(counted.where(F.col("n") >= min_count).select("key"))
+    kept = written(counted.where(F.col("n") >= min_count).select("key"))
     size = 1 << BLOCK_BITS
-    while size < min(filter_bits, 16 * pairs.count()):
+    while size < min(filter_bits, 16 * kept.count()):
         size *= 2
     bits = size.bit_length() - 1
     place = F.shiftrightunsigned("key", 64 - bits)
@@ -146,37 +174,40 @@ def frequent_pairs(rows: DataFrame, min_count: int, filter_bits: int, run_bytes:
                       map(np.asarray, b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(blocks, type=pa.binary())], ["block", "bits"])
 
-    blocks = pairs.select(place.alias("p")).distinct().groupBy(F.shiftright("p", BLOCK_BITS).alias("block")).agg(
+    blocks = kept.select(place.alias("p")).distinct().groupBy(F.shiftright("p", BLOCK_BITS).alias("block")).agg(
         F.collect_list((F.col("p") % (1 << BLOCK_BITS)).cast("int")).alias("p"))      # 2^16 places a block at most
     found = np.zeros(size // 8, dtype=np.uint8)
     step = (1 << BLOCK_BITS) // 8
     for r in blocks.mapInArrow(pack, "block long, bits binary").toLocalIterator():        # filter_bits / 8 bytes at most
         found[r["block"] * step:(r["block"] + 1) * step] = np.frombuffer(r["bits"], dtype=np.uint8)
-    discard(pairs)
-    return bits, found
+    discard(kept)
+    return Filter(bits, found)
 
 
-def count_windows(rows: DataFrame, bits: int, pairs: np.ndarray, run_bytes: int) -> DataFrame:
+def count_windows(rows: DataFrame, pairs: Filter, triples: Filter, run_bytes: int) -> DataFrame:
     """(lang, w1, w2, w3, w4, n): padded longest windows, counted run by run."""
-    shared = rows.sparkSession.sparkContext.broadcast(pairs)
+    shared = rows.sparkSession.sparkContext.broadcast((pairs, triples))
     columns = ["lang"] + [f"w{k + 1}" for k in range(LONGEST)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = shared.value
+        pairs, triples = shared.value
         for run in _runs(batches, run_bytes):
             at, key = run.pair_hashes()
-            place = (key >> np.uint64(64 - bits)).astype(np.int64)
-            at = at[(kept[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1]
-            follows = np.zeros(len(run.ids) + LONGEST, dtype=bool)
-            follows[at] = True
+            linked = pairs.holds(key)
+            third, both = run.triple_hashes(at, key, linked)
+            follows = np.zeros((2, len(run.ids) + LONGEST), dtype=bool)     # a pair, a triple starts here
+            follows[0, at[linked]] = True
+            follows[1, third[triples.holds(both)]] = True
             padded = np.concatenate((run.ids, np.full(LONGEST, -1)))
             start = np.flatnonzero((run.ids >= 0) & run.own)
             if not len(start):
                 continue
-            # lead columns: the next word while every pair up to it is in the filter
+            # lead columns: the next word while every pair and triple up to it is in its filter
             lead, on = [run.lang[start], run.ids[start]], np.ones(len(start), dtype=bool)
             for k in range(1, LONGEST):
-                on = on & follows[start + k - 1]
+                on = on & follows[0, start + k - 1]
+                if k > 1:
+                    on = on & follows[1, start + k - 2]
                 lead.append(np.where(on, padded[start + k], -1))
             # group by column after column; codes stay below the number of windows
             code = np.zeros(len(start), dtype=np.int64)
@@ -199,7 +230,9 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     spaces; k = 0 holds each language's number of words. One ROLLUP over the windows; written once."""
     ship_package(docs.sparkSession)
     rows = docs.select(docs[text_col].cast("string").alias("text"), F.coalesce(docs[lang_col].cast("string"), F.lit(UNKNOWN)).alias("lang"))
-    windows = count_windows(rows, *frequent_pairs(rows, min_count, filter_bits, run_bytes), run_bytes)
+    pairs = frequent_runs(rows, min_count, filter_bits, run_bytes)
+    triples = frequent_runs(rows, min_count, filter_bits, run_bytes, pairs)
+    windows = count_windows(rows, pairs, triples, run_bytes)
     words = [f"w{k + 1}" for k in range(LONGEST)]
     rolled = windows.rollup("lang", *words).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # grouping_id has one bit for every column summed away: 2^j - 1 for a prefix of 4 - j words
