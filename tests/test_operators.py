@@ -427,6 +427,25 @@ def test_iso_requests(spark):
     assert got[1][1] == dt.datetime(2024, 1, 5, 12, 30) and got[3][1] == dt.datetime(2024, 1, 4, 14, 0)
 
 
+def test_requests_are_parsed_once(spark):
+    """Each format is tried once a request in the whole look-up, and only on texts of its shape."""
+    texts = ["2024-01-05T12:40:00", "2024-01-06 12:40", "+02024-01-05", "2024-01-05t12:40:00.5", "2024-01-05T24:00:00", "2024-02-30",
+             "x", "2024-01-05T12:40:00x", None]
+    df = spark.createDataFrame([(i, 1, t) for i, t in enumerate(texts)], "i int, store_id int, request string").coalesce(1)
+    plain = F.coalesce(*[F.try_to_timestamp("request", F.lit(f)).cast("timestamp_ntz") for f in lookup.ISO_FORMATS])
+    rows = df.select("i", lookup.parse_request(F.col("request"))[1].alias("ts"), plain.alias("want")).collect()
+    assert [r.ts for r in rows] == [r.want for r in rows] and [r.ts is not None for r in rows] == [True] * 4 + [False] * 5
+    history = spark.createDataFrame([(1, TS("2024-01-05 12:30:00"), 7), (1, None, 9)], f"store_id int, datetime timestamp_ntz, {dims.TOTAL} int")
+    profile = spark.createDataFrame([(1, 5, "12:30", 3.0)], "store_id int, weekday int, slot_label string, mean_total double")
+    out = lookup.attach_forecast(lookup.resolve(df), history, profile)
+    assert out.columns == ["store_id", "slot_start", "i", "request", "is_valid", "slot_end", "source", "value", "available"]
+    got = {r.i: (r.source, r.value, r.available, r.is_valid) for r in out.collect()}
+    seven, none = ("history", 7.0, 1, 1), (None, None, 0, 0)
+    assert [got[i] for i in range(len(texts))] == [seven, ("profile", 3.0, 1, 1), (None, None, 0, 1), seven] + [none] * 5
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("gettimestamp(") <= 2 * len(lookup.ISO_FORMATS)
+
+
 def test_input_checks(spark):
     day = D("2024-01-01")
     ok = spark.createDataFrame([("a", day, 1.0), ("b", day, 2.0)], "series_id string, date date, yhat double")
