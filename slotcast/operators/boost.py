@@ -147,6 +147,8 @@ def histograms(rows: DataFrame, models: dict[str, Model], partial: dict[str, Tre
                     np.add.at(hist[:, j], (at, bins[:, j]), grad)
         for name, hist in acc.items():
             node, j = np.nonzero(hist[:, :, :, -1].sum(axis=2) > 0)
+            if not len(node):       # none of the task's rows is drawn or still splitting
+                continue
             yield pd.DataFrame({"model": name, "node": node + low, "feature": j, "hist": [hist[a, b].ravel().tolist() for a, b in zip(node, j)]})
 
     def split(f: pd.DataFrame) -> pd.DataFrame:

@@ -95,6 +95,18 @@ def test_sampling_is_seeded_and_learns(spark):
     assert sum(v for _, _, v in share) == pytest.approx(1)
 
 
+def test_tasks_without_drawn_rows(spark):
+    """A task may hold only rows that the tree's sample leaves out, or that are in finished leaves."""
+    x, y = data(30, 7)
+    df = frame(spark, x, y)
+    edges = B.bin_edges(df, FEATURES)
+    params = B.Params(trees=4, depth=4, rate=0.5, subsample=0.5)
+    rows = B.training_rows(df, F.lit("m"), FEATURES, [F.col("a"), F.col("b")], edges)
+    bins = np.array([[min(int(v), 63) for v in r] for r in x])
+    many, one = (B.fit(r, 3, B.MAX_BINS, params)["m"] for r in (rows.repartition(30, "bins"), rows.coalesce(1)))
+    assert len(many.trees) == 4 and np.allclose(many.predict(bins, 4), one.predict(bins, 4))
+
+
 def test_many_values_nulls_and_empty(spark):
     df = spark.createDataFrame([("m", float(i), float(i > 500)) for i in range(1000)] + [("m", None, 0.0), ("m", 1.0, None)], "name string, f double, y double")
     edges = B.bin_edges(df, ["f"])
